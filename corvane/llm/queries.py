@@ -7,17 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm.minhash import near_duplicates
+from corvane.llm.mixing import mix_sources
+from corvane.llm.substring import substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
+    "op7_substring": op7_substring,
     "op8_minhash": op8_minhash,
 }
 
@@ -25,6 +37,49 @@ _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op3_mixing": f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, CAST(len({_WORDS.format(text="coalesce(text, '')")}) AS BIGINT) AS size FROM documents
+),
+s AS (SELECT source, sum(size)::BIGINT AS n FROM d GROUP BY source),
+r AS (SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM s),
+l AS (
+  SELECT *, (sum(n) OVER ()::BIGINT - coalesce(sum(3 * n) OVER (ORDER BY 3 * n / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
+    / (sum(weight) OVER (ORDER BY 3 * n / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS level
+  FROM r
+),
+t AS (SELECT source, n, least(3e0 * n, max(level) OVER () * weight) AS target FROM l),
+p AS (SELECT *, CASE WHEN n > 0 THEN least(floor(target / n), 3)::BIGINT ELSE 0 END AS epochs FROM t),
+b AS (SELECT *, floor(target - epochs * n + 0.5e0)::BIGINT AS budget FROM p),
+k AS (
+  SELECT d.*, b.n, b.target, b.epochs, b.budget,
+    -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':7'), 1, 13))::BIGINT + 0.5e0) / 4503599627370496e0)
+      / CASE WHEN size > 0 THEN 1e0 / (1e0 + (length(t) - length(translate(t, '#$%&*|!<>{{}}@', ''))) / size) ELSE 1e0 END AS key
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+),
+c AS (
+  SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT - size AS before FROM k
+)
+SELECT doc_id, size, n AS source_size, target, size * epochs + greatest(0, least(size, budget - before)) AS taken FROM c
+""",
+    "op7_substring": f"""
+WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)
+),
+firsts AS (SELECT h, min(doc_id) AS f FROM win GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, p FROM (SELECT win.doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN firsts USING (h) WHERE win.doc_id > f)
+),
+each AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM w),
+kept AS (
+  SELECT each.doc_id, count(gone.p) AS n_removed, string_agg(x, ' ' ORDER BY each.p) FILTER (gone.p IS NULL) AS t
+  FROM each LEFT JOIN gone ON gone.doc_id = each.doc_id AND gone.p = each.p GROUP BY each.doc_id
+)
+SELECT w.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""",
     "op8_minhash": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents),
 sh AS (

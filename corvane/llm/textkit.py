@@ -178,3 +178,60 @@ def signed(x: np.ndarray) -> pa.Array:
 def list_array(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
     """Consecutive runs of ``values`` of the given lengths as a list column."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(values))
+
+
+_BASE = U(0x9E3779B97F4A7C15 | 1)
+_INVERSE = U(pow(int(_BASE), -1, 1 << 64))
+_powers: list[np.ndarray] = []
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if not _powers or len(_powers[0]) < n:
+        size = 1 << max(16, int(n).bit_length())
+        both = []
+        for base in (_BASE, _INVERSE):
+            p = np.full(size, base, U)
+            p[0] = 1
+            both.append(np.multiply.accumulate(p))
+        _powers[:] = both
+    return _powers[0], _powers[1]
+
+
+def rolling(w: Words, k: int) -> np.ndarray:
+    """Hashes of the runs of ``k`` words that start at each word of the slice, as far as there are ``k`` (row ends don't count)."""
+    n = len(w.hash)
+    if n < k:
+        return np.zeros(0, U)
+    up, down = _power_tables(n + 1)
+    with np.errstate(over="ignore"):
+        c = np.concatenate([np.zeros(1, U), np.cumsum(w.hash * up[:n], dtype=U)])
+        return mix((c[k:] - c[:-k]) * down[: n - k + 1] + U(k))
+
+
+def sliding_min(x: np.ndarray, k: int) -> np.ndarray:
+    """Minimum of each ``k`` consecutive values, by doubling."""
+    out, reach = x, 1
+    while 2 * reach <= k:
+        out = np.minimum(out[:-reach], out[reach:])
+        reach *= 2
+    rest = k - reach
+    return np.minimum(out[: len(x) - k + 1], out[rest : rest + len(x) - k + 1]) if rest else out
+
+
+def joined(s: Slice, w: Words, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The (kept) words of each row joined by one space: bytes, and where each row's part begins and ends."""
+    start, end, row = w.start, w.end, w.row
+    if keep is not None:
+        start, end, row = start[keep], end[keep], row[keep]
+    depth = np.zeros(len(s.data) + 1, np.int8)
+    depth[start] += 1
+    depth[end] -= 1
+    hold = np.cumsum(depth[:-1], dtype=np.int8).astype(bool)
+    more = np.zeros(len(start), bool)
+    more[:-1] = row[1:] == row[:-1]
+    gap = end[more]
+    hold[gap] = True
+    out = s.data.copy()
+    out[gap] = 0x20
+    total = np.concatenate([[0], np.cumsum(hold)])
+    return out[hold], total[s.offs]
