@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm.minhash import near_duplicates
 from corvane.llm.mixing import mix_sources
+from corvane.llm.quality import quality_scores
 from corvane.llm.substring import substring_dedup
 
 
@@ -19,6 +20,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +34,7 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
+    "op5_quality": op5_quality,
     "op7_substring": op7_substring,
     "op8_minhash": op8_minhash,
 }
