@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corvane.llm.decontam import contaminated
 from corvane.llm.minhash import near_duplicates
 from corvane.llm.mixing import mix_sources
 from corvane.llm.quality import quality_scores
@@ -20,6 +21,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -34,6 +39,7 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
+    "op4_decontam": op4_decontam,
     "op5_quality": op5_quality,
     "op7_substring": op7_substring,
     "op8_minhash": op8_minhash,
