@@ -7,6 +7,7 @@ alike; whether they are is decided on the full shingle sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,20 +21,25 @@ from corvane.llm.components import connected_components
 from corvane.llm.store import discard, materialize
 
 SHINGLE = 5
-BANDS, ROWS = 25, 5
+ROWS, MISSED = 5, 1e-6
 UNIVERSE = 1 << 18
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 400_000
 
 _SKETCH = "doc_id long, n_words long, n_shingles long, key1 long, key2 long, bands array<long>"
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
+def bands_for(percent: int) -> int:
+    """Bands of ROWS coordinates, so many that a pair at the very threshold shares none with a chance of MISSED."""
+    return math.ceil(math.log(MISSED) / math.log(1 - (percent / 100) ** ROWS)) if percent < 100 else 1
+
+
+def _permutations(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
     place = np.argsort(tk.stream(11, UNIVERSE)).astype(np.int32)
     rank = np.argsort(tk.stream(12, UNIVERSE)).astype(np.int32)
-    return place, np.concatenate([rank, rank[: BANDS * ROWS]])
+    return place, np.concatenate([rank, rank[:coordinates]])
 
 
-def _sketch_slice(s: tk.Slice, place: np.ndarray, rank: np.ndarray) -> dict[str, np.ndarray]:
+def _sketch_slice(s: tk.Slice, place: np.ndarray, rank: np.ndarray, count: int) -> dict[str, np.ndarray]:
     w = tk.words(s, tk.LOWER_ASCII[s.data])
     n_words = np.diff(w.ptr)
     g, ok = tk.grams(w, SHINGLE)
@@ -43,28 +49,31 @@ def _sketch_slice(s: tk.Slice, place: np.ndarray, rank: np.ndarray) -> dict[str,
     at = place[(g >> tk.U(46)).astype(np.int32)]
     full = np.flatnonzero(n_words >= SHINGLE)
     first = np.searchsorted(row, full)
-    bands = np.zeros((s.rows, BANDS), tk.U)
+    bands = np.zeros((s.rows, count), tk.U)
     if len(full):
-        for b in range(BANDS):
+        for b in range(count):
             acc = np.full(len(full), tk.U(b + 1))
             for k in range(b * ROWS, (b + 1) * ROWS):
                 acc = tk.mix(acc * tk.U(0x9E3779B97F4A7C15) + np.minimum.reduceat(rank[k:].take(at), first).astype(tk.U))
             bands[full, b] = acc
     key1, key2 = tk.sequence_keys(w, s.rows)
-    return {"n_words": n_words, "n": n, "key1": key1, "key2": key2, "bands": bands[full], "per_row": np.where(n_words >= SHINGLE, BANDS, 0)}
+    return {"n_words": n_words, "n": n, "key1": key1, "key2": key2, "bands": bands[full], "per_row": np.where(n_words >= SHINGLE, count, 0)}
+
 
+def _sketches(count: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, rank = _permutations(count * ROWS)
+        for batch in batches:
+            ids = batch.column(0)
+            for s in tk.slices(batch.column(1)):
+                with np.errstate(over="ignore"):
+                    x = _sketch_slice(s, place, rank, count)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(s.first, s.rows), pa.array(x["n_words"]), pa.array(x["n"]), tk.signed(x["key1"]), tk.signed(x["key2"]), tk.list_array(x["bands"].ravel().view(np.int64), x["per_row"])],
+                    names=["doc_id", "n_words", "n_shingles", "key1", "key2", "bands"],
+                )
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    place, rank = _permutations()
-    for batch in batches:
-        ids = batch.column(0)
-        for s in tk.slices(batch.column(1)):
-            with np.errstate(over="ignore"):
-                x = _sketch_slice(s, place, rank)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(s.first, s.rows), pa.array(x["n_words"]), pa.array(x["n"]), tk.signed(x["key1"]), tk.signed(x["key2"]), tk.list_array(x["bands"].ravel().view(np.int64), x["per_row"])],
-                names=["doc_id", "n_words", "n_shingles", "key1", "key2", "bands"],
-            )
+    return run
 
 
 def shingle_sets(texts: pd.Series) -> list[np.ndarray]:
@@ -134,7 +143,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     pair of blocks is compared on its own, so that no task holds more than two blocks.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = materialize(source.mapInArrow(_sketches, _SKETCH), "sketches")
+    sketches = materialize(source.mapInArrow(_sketches(bands_for(percent)), _SKETCH), "sketches")
     solid = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = solid.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     copies = materialize(classes.where("copies > 1").drop("copies"), "copies")
