@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corvane.llm.chat import as_records, format_records, read_back
 from corvane.llm.decontam import contaminated
 from corvane.llm.minhash import near_duplicates
 from corvane.llm.mixing import mix_sources
 from corvane.llm.quality import quality_scores
 from corvane.llm.substring import substring_dedup
+from corvane.llm.warc import archived_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(_table(spark, sf_dir, "pages"))
+
+
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
@@ -37,12 +43,21 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", told), (-1, 1, "assistant", told)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    return read_back(format_records(as_records(turns)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_decontam": op4_decontam,
     "op5_quality": op5_quality,
+    "op6_warc": op6_warc,
     "op7_substring": op7_substring,
     "op8_minhash": op8_minhash,
+    "op10_chat": op10_chat,
 }
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
@@ -73,6 +88,13 @@ c AS (
   SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT - size AS before FROM k
 )
 SELECT doc_id, size, n AS source_size, target, size * epochs + greatest(0, least(size, budget - before)) AS taken FROM c
+""",
+    "op6_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS stored FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest, CASE WHEN stored < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN stored < page_id THEN stored END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d AND n >= 100
 """,
     "op7_substring": f"""
 WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
@@ -110,5 +132,22 @@ reach(id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.id, bot
 comp AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN comp ON comp.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+""",
+    "op10_chat": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, concat(role, chr(10), text) AS both FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]', '</s>[INST] ok [/INST]'
+),
+e AS (
+  SELECT *, length(both) - length(replace(both, '\', '')) + (length(both) - length(replace(both, '<|', ''))) / 2 + (length(both) - length(replace(both, '|>', ''))) / 2
+    + (length(both) - length(replace(both, '<s>', ''))) / 3 + (length(both) - length(replace(both, '</s>', ''))) / 4 + (length(both) - length(replace(both, '[INST]', ''))) / 6
+    + (length(both) - length(replace(both, '[/INST]', ''))) / 7 + (length(both) - length(replace(both, '<<SYS>>', ''))) / 7 + (length(both) - length(replace(both, '<</SYS>>', ''))) / 8 AS escapes
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(role) + length(text) + escapes + 23)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
 """,
 }
