@@ -135,13 +135,13 @@ FROM documents d JOIN comp ON comp.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc
 """,
     "op10_chat": r"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, concat(role, chr(10), text) AS both FROM conversations
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, concat(role, chr(10), text) AS said FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]', '</s>[INST] ok [/INST]'
 ),
 e AS (
-  SELECT *, length(both) - length(replace(both, '\', '')) + (length(both) - length(replace(both, '<|', ''))) / 2 + (length(both) - length(replace(both, '|>', ''))) / 2
-    + (length(both) - length(replace(both, '<s>', ''))) / 3 + (length(both) - length(replace(both, '</s>', ''))) / 4 + (length(both) - length(replace(both, '[INST]', ''))) / 6
-    + (length(both) - length(replace(both, '[/INST]', ''))) / 7 + (length(both) - length(replace(both, '<<SYS>>', ''))) / 7 + (length(both) - length(replace(both, '<</SYS>>', ''))) / 8 AS escapes
+  SELECT *, length(said) - length(replace(said, '\', '')) + (length(said) - length(replace(said, '<|', ''))) / 2 + (length(said) - length(replace(said, '|>', ''))) / 2
+    + (length(said) - length(replace(said, '<s>', ''))) / 3 + (length(said) - length(replace(said, '</s>', ''))) / 4 + (length(said) - length(replace(said, '[INST]', ''))) / 6
+    + (length(said) - length(replace(said, '[/INST]', ''))) / 7 + (length(said) - length(replace(said, '<<SYS>>', ''))) / 7 + (length(said) - length(replace(said, '<</SYS>>', ''))) / 8 AS escapes
   FROM t
 )
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
