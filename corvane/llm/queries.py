@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm.chat import as_records, format_records, read_back
 from corvane.llm.decontam import contaminated
+from corvane.llm.html import extract_main_text
+from corvane.llm.langid import identify
 from corvane.llm.minhash import near_duplicates
 from corvane.llm.mixing import mix_sources
 from corvane.llm.quality import quality_scores
@@ -19,6 +21,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -43,6 +49,10 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-1, 0, "user", told), (-1, 1, "assistant", told)], "conv_id long, turn long, role string, text string")
@@ -51,12 +61,14 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
     "op3_mixing": op3_mixing,
     "op4_decontam": op4_decontam,
     "op5_quality": op5_quality,
     "op6_warc": op6_warc,
     "op7_substring": op7_substring,
     "op8_minhash": op8_minhash,
+    "op9_langid": op9_langid,
     "op10_chat": op10_chat,
 }
 
