@@ -10,6 +10,7 @@ from corvane.llm.chat import as_records, format_records, read_back
 from corvane.llm.decontam import contaminated
 from corvane.llm.html import extract_main_text
 from corvane.llm.langid import identify
+from corvane.llm.media import image_copies, pictures_of
 from corvane.llm.minhash import near_duplicates
 from corvane.llm.mixing import mix_sources
 from corvane.llm.quality import quality_scores
@@ -25,6 +26,10 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"))
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return image_copies(pictures_of(_table(spark, sf_dir, "embeddings")))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -62,6 +67,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
+    "op2_media": op2_media,
     "op3_mixing": op3_mixing,
     "op4_decontam": op4_decontam,
     "op5_quality": op5_quality,
