@@ -1,0 +1 @@
+"""Column expressions: dates, statuses, texts, paths, keys, responses and table cells."""
