@@ -1,0 +1 @@
+"""Readers of journals, payloads, pages and records."""
