@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.documents import LABELS, UNKNOWN
 from corvane.functions.status import PREFIXES, state_prefix
-from corvane.functions.text import empty_if_null, fit, normalize_extension, split_extension, storage_name
+from corvane.functions.text import empty_if_null, fit, let, normalize_extension, split_extension, storage_name
 
 #: Where undated versions go, the longest path, and the longest file name of a kind.
 UNDATED = "날짜미상"
@@ -18,13 +18,13 @@ DOCUMENT_ENDS = r"(?i)\.(pdf|doc|docx|hwp|txt|xlsx|xls)$"
 
 def version_dir(root: Column, storage: Column, state: Column, target: Column, product: Column, composed: bool = True) -> Column:
     """The folder of a product version; the product's name is cut so that the path stays within its limit."""
-    company = F.concat_ws("/", root, storage_name(storage, composed=composed))
-    month = F.when(target.isNull(), F.concat_ws("/", company, F.lit(UNDATED))).otherwise(F.concat_ws("/", company, F.date_format(target, "yyyy"), F.date_format(target, "MM")))
+    month = F.concat_ws("/", root, storage_name(storage, composed=composed), F.coalesce(F.date_format(target, "yyyy/MM"), F.lit(UNDATED)))
     day = F.coalesce(F.date_format(target, "yyyyMMdd"), F.lit(UNDATED))
     prefix = F.concat(state_prefix(state), day, F.lit("_"))
     name = storage_name(F.coalesce(F.nullif(product, F.lit("")), F.lit("상품")), 10_000, composed)
-    room = F.lit(PATH_LIMIT) - F.length(month) - F.length(prefix) - FILE_NAME - 2
-    return F.concat(month, F.lit("/"), prefix, fit(fit(name, 120), room))
+    head = F.concat(month, F.lit("/"), prefix)
+    parts = F.struct(head.alias("head"), name.alias("name"))
+    return let(parts, lambda p: F.concat(p["head"], fit(fit(p["name"], 120), F.lit(PATH_LIMIT) - F.length(p["head"]) - FILE_NAME - 1)))
 
 
 def file_name(document_type: Column, extension: Column, original: Column) -> Column:
@@ -47,15 +47,22 @@ def saved_version_dir(path: Column, filename: Column) -> Column:
 
 def with_state_prefix(path: Column, state: Column) -> Column:
     """A folder's path with the prefix of a state in place of any other."""
-    bare = F.regexp_replace(F.element_at(F.split(path, "/"), -1), f"^({'|'.join(PREFIXES.values())})", "")
-    head = F.regexp_extract(path, r"^(.*/)[^/]*$", 1)
-    return F.when(empty_if_null(path) == "", path).otherwise(F.concat(head, state_prefix(state), bare))
+
+    def swapped(p: Column) -> Column:
+        bare = F.regexp_replace(F.element_at(F.split(p, "/"), -1), f"^({'|'.join(PREFIXES.values())})", "")
+        return F.when(empty_if_null(p) == "", p).otherwise(F.concat(F.regexp_extract(p, r"^(.*/)[^/]*$", 1), state_prefix(state), bare))
+
+    return let(path, swapped)
 
 
 def moved_path(path: Column, old_dir: Column, new_dir: Column) -> Column:
     """A document's path after its version's folder was renamed: the part that is the folder's name changes."""
-    old, new = F.element_at(F.split(old_dir, "/"), -1), F.element_at(F.split(new_dir, "/"), -1)
-    parts = F.split(path, "/")
-    at = F.array_position(parts, old).cast("int")
-    swapped = F.array_join(F.transform(parts, lambda p, i: F.when(i + 1 == at, new).otherwise(p)), "/")
-    return F.when(path == old_dir, new_dir).when(at > 0, swapped).otherwise(F.replace(path, old_dir, new_dir))
+    name = lambda p: F.element_at(F.split(p, "/"), -1)
+
+    def moved(x: Column) -> Column:
+        at = F.array_position(x["parts"], name(x["old"]))
+        parts = F.transform(x["parts"], lambda p, i: F.when(i + 1 == at, name(x["new"])).otherwise(p))
+        return F.when(x["path"] == x["old"], x["new"]).when(at > 0, F.array_join(parts, "/")).otherwise(F.replace(x["path"], x["old"], x["new"]))
+
+    told = let(path, lambda p: F.struct(p.alias("path"), F.split(p, "/").alias("parts")))
+    return let(told, lambda t: let(F.struct(t["path"].alias("path"), t["parts"].alias("parts"), old_dir.alias("old"), new_dir.alias("new")), moved))

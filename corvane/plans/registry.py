@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from corvane.plans import versions
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**versions.QUERIES}
+ORACLES: dict[str, str] = {**versions.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/nation.parquet")
+    return versions.period_overview(spark, sf_dir)
