@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corvane.functions.text import empty_if_null
+from corvane.functions.text import empty_if_null, let
 
 #: Words of header rows, and the sizes that rules go by.
 HEADER_WORDS = (
@@ -34,10 +34,17 @@ def width(rows: Column) -> Column:
 def clean_rows(rows: Column) -> Column:
     """Cells cleaned, blank rows dropped, short rows filled up, columns dropped that are blank in every row."""
     told = F.filter(F.transform(rows, lambda r: F.transform(r, clean_cell)), lambda r: F.exists(r, lambda c: c != ""))
-    wide = width(told)
-    full = F.transform(told, lambda r: F.concat(r, F.array_repeat(F.lit(""), (wide - F.size(r)).cast("int"))))
-    kept = F.filter(F.sequence(F.lit(1), F.greatest(wide, F.lit(1))), lambda i: F.exists(full, lambda r: F.try_element_at(r, i.cast("int")) != ""))
-    return F.transform(full, lambda r: F.transform(kept, lambda i: F.element_at(r, i.cast("int"))))
+    sized = let(told, lambda t: F.struct(t.alias("rows"), width(t).cast("int").alias("wide")))
+
+    def filled(x: Column) -> Column:
+        full = F.transform(x["rows"], lambda r: F.concat(r, F.array_repeat(F.lit(""), x["wide"] - F.size(r))))
+        return F.struct(full.alias("rows"), x["wide"].alias("wide"))
+
+    def used(x: Column) -> Column:
+        columns = F.filter(F.sequence(F.lit(1), F.greatest(x["wide"], F.lit(1))), lambda i: F.exists(x["rows"], lambda r: F.try_element_at(r, i) != ""))
+        return F.struct(x["rows"].alias("rows"), columns.alias("columns"))
+
+    return let(let(let(sized, filled), used), lambda x: F.transform(x["rows"], lambda r: F.transform(x["columns"], lambda i: F.element_at(r, i))))
 
 
 def without_controls(rows: Column) -> Column:
@@ -58,10 +65,14 @@ def _markdown_line(row: Column) -> Column:
 
 def markdown(rows: Column) -> Column:
     """A table as Markdown, its first row as header; nothing for no rows."""
-    head = F.element_at(rows, 1)
-    rule = F.concat(F.lit("| "), F.array_join(F.transform(head, lambda _: F.lit("---")), " | "), F.lit(" |"))
-    body = F.transform(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), _markdown_line)
-    return F.when(F.size(rows) > 0, F.array_join(F.concat(F.array(_markdown_line(head), rule), body), "\n")).otherwise("")
+
+    def told(t: Column) -> Column:
+        head = F.try_element_at(t, F.lit(1))
+        rule = F.concat(F.lit("| "), F.array_join(F.transform(head, lambda _: F.lit("---")), " | "), F.lit(" |"))
+        body = F.transform(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))), _markdown_line)
+        return F.when(F.size(t) > 0, F.array_join(F.concat(F.array(_markdown_line(head), rule), body), "\n")).otherwise("")
+
+    return let(rows, told)
 
 
 def page_markdown(parts: Column) -> Column:
