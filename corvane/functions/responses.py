@@ -18,6 +18,8 @@ MAGIC = {
 }
 #: How an HTML page begins, extensions and content types that are taken.
 HTML_MARKS = ("<!doctype html", "<html", "<head", "<script", "<br>", "<meta")
+#: Fixed value: the word for "blocked", UTF-8 in hexadecimal; 200 bytes may end inside a character, so they aren't decoded.
+BLOCKED = "차단".encode().hex().upper()
 EXTENSIONS = (".pdf", ".zip", ".hwp", ".hwpx", ".doc", ".docx")
 CONTENT_TYPES = (
     "application/pdf", "application/x-pdf", "application/octet-stream", "application/haansofthwp", "application/x-hwp", "application/vnd.hancom.hwp",
@@ -49,8 +51,7 @@ def check_response(status_code: Column, content_type: Column, extension: Column,
     ext = F.lower(empty_if_null(extension))
     kind = F.lower(F.trim(F.element_at(F.split(empty_if_null(content_type), ";"), 1)))
     size = F.coalesce(F.octet_length(body), F.lit(0))
-    snippet = F.decode(F.substring(body, 1, 200), "UTF-8")
-    blocked = F.lower(snippet).contains("firewall") | snippet.contains("차단")
+    blocked = F.lower(_start(body, 200)).contains("firewall") | F.hex(F.substring(body, 1, 200)).rlike(f"^(..)*{BLOCKED}")
     strange = ~kind.isin("", *CONTENT_TYPES) & ~ext.isin(*MAGIC)
     html = (size > 0) & looks_like_html(body)
     rules = [

@@ -128,9 +128,11 @@ def path_report(spark, sf):
     v = bind.versions(spark, sf)
     state = status.sale_state(F.col("raw_status"), composed=False)
     folder = paths.version_dir(F.lit("/root"), F.col("company_code"), state, F.col("target_date"), F.col("product_name"), composed=False)
-    target = paths.target_path(folder, F.lit("POLICY"), F.lit("PDF"), F.lit(""))
-    ended = paths.with_state_prefix(folder, F.lit("ENDED"))
-    return v.groupBy(folder.alias("folder")).agg(F.count("*").alias("n"), F.min(target).alias("file"), F.min(paths.moved_path(target, folder, ended)).alias("moved"))
+    # One column at a time: a folder's expression is long, and Spark keeps it apart where it is used more than once.
+    told = v.select(folder.alias("folder")).groupBy("folder").agg(F.count("*").alias("n"))
+    told = told.withColumn("file", paths.target_path(F.col("folder"), F.lit("POLICY"), F.lit("PDF"), F.lit("")))
+    ended = told.withColumn("ended", paths.with_state_prefix(F.col("folder"), F.lit("ENDED")))
+    return ended.select("folder", "n", "file", paths.moved_path(F.col("file"), F.col("folder"), F.col("ended")).alias("moved"))
 
 
 def key_properties(spark, sf):

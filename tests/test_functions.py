@@ -123,7 +123,7 @@ def test_responses(spark):
     rows = [
         (200, "application/pdf", ".pdf", b"%PDF-1.4", "", ""), (403, "", ".pdf", b"x", "ACCESS_DENIED", "HTTP 403"), (500, "", ".pdf", b"x", "INVALID_RESPONSE", "HTTP status"),
         (200, "", ".pdf", b"", "INVALID_FILE", "empty body"), (200, "", ".pdf", None, "INVALID_FILE", "empty body"), (200, "text/html", ".pdf", b"  <!DOCTYPE html><p>error", "INVALID_RESPONSE", "HTML page"),
-        (200, "text/html", ".pdf", b"<html>Web Firewall", "ACCESS_DENIED", "firewall page"), (200, "", ".exe", b"MZ", "INVALID_FILE", "extension"), (200, "", ".pdf", b"NOTPDF", "INVALID_FILE", "signature"),
+        (200, "text/html", ".pdf", b"<html>Web Firewall", "ACCESS_DENIED", "firewall page"), (200, "text/html", ".pdf", "<html>접속 차단".encode() + "가".encode() * 100, "ACCESS_DENIED", "firewall page"), (200, "", ".pdf", b"%PDF-" + b"\xea\xb0" * 200, "", ""), (200, "", ".exe", b"MZ", "INVALID_FILE", "extension"), (200, "", ".pdf", b"NOTPDF", "INVALID_FILE", "signature"),
         (200, "text/x", "", b"data", "INVALID_RESPONSE", "content type"), (200, "application/zip; q", ".docx", b"PK\x03\x04", "", ""),
     ]
     got = run(spark, [r[:4] for r in rows], "c int, t string, e string, b binary", responses.check_response(F.col("c"), F.col("t"), F.col("e"), F.col("b")))
