@@ -71,3 +71,17 @@ def test_html(spark):
     rows = [("약관".encode("euc-kr"), "text/html; charset=EUC-KR"), ("약관".encode("cp949"), None), ("약관".encode(), "text/html; charset=nope"), (b"\xff\xfe\xff", None), (None, None)]
     got = p.decoded(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, body binary, content_type string")).orderBy("i").collect()
     assert [(r.text, r.charset, r.replaced) for r in got[:3]] == [("약관", "euc-kr", False), ("약관", "euc-kr", False), ("약관", "utf-8", False)] and got[3].replaced and got[4].text == ""
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "2026-07", 1), ("b", "2026-08", 2)], "plan_key string, month string, n int")
+    log, months, one = (str(tmp_path / x) for x in ("log", "months", "one"))
+    j.append_log(rows, log, ["month"])
+    j.append_log(rows.limit(1), log, ["month"])
+    assert spark.read.json(log).count() == 3
+    j.write_by_month(rows, months)
+    assert sorted((r.plan_key, r.month) for r in spark.read.json(months).collect()) == [("a", "2026-07"), ("b", "2026-08")]
+    j.write_summary(rows.limit(1), one)
+    assert len(list((tmp_path / "one").glob("part-*.json"))) == 1
+    j.write_records(str(tmp_path / "records"), pages=rows, tables=rows.limit(1))
+    assert spark.read.json(str(tmp_path / "records/tables")).count() == 1
