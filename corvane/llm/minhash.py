@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm import textkit as tk
@@ -88,20 +88,21 @@ def shingle_sets(texts: pd.Series) -> list[np.ndarray]:
     return out
 
 
-def spanning_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def spanning_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, left: int | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the graph whose links are 100 * |A & B| >= percent * |A | B|, by exact counts.
 
-    Every pair that shares a shingle is counted through the posting lists; only links that join two trees are returned.
+    With ``left`` only the first ``left`` sets are compared with the others, else all with all. Every pair that shares a shingle
+    is counted through the posting lists; only links that join two trees are returned.
     """
     m = len(ids)
+    first, left = (0, m) if left is None else (left, left)
     sizes = np.array([len(x) for x in sets])
     owner = np.repeat(np.arange(m), sizes)
     flat = np.concatenate(sets) if m else np.zeros(0, tk.U)
-    order = np.argsort(flat, kind="stable")
-    _, start, many = np.unique(flat[order], return_index=True, return_counts=True)
+    listed = np.flatnonzero(owner >= first)
+    order = listed[np.argsort(flat[listed], kind="stable")]
+    known, start, many = np.unique(flat[order], return_index=True, return_counts=True)
     post = owner[order]
-    of = np.empty(len(flat), np.int64)
-    of[order] = np.repeat(np.arange(len(start)), many)
     edge = np.concatenate([[0], np.cumsum(sizes)])
     parent = list(range(m))
 
@@ -112,15 +113,17 @@ def spanning_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> lis
         return a
 
     links = []
-    for x in range(m - 1):
-        mine = of[edge[x] : edge[x + 1]]
-        mine = mine[many[mine] > 1]
-        if not len(mine):
+    for x in range(left if len(known) else 0):
+        mine = flat[edge[x] : edge[x + 1]]
+        at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+        at = at[known[at] == mine]
+        if not len(at):
             continue
-        reps = many[mine]
-        at = np.repeat(start[mine] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(reps.sum())
-        common = np.bincount(post[at], minlength=m)
-        hit = np.flatnonzero(100 * common[x + 1 :] >= percent * (sizes[x] + sizes[x + 1 :] - common[x + 1 :])) + x + 1
+        reps = many[at]
+        spot = np.repeat(start[at] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(reps.sum())
+        common = np.bincount(post[spot], minlength=m)
+        low = max(x + 1, first)
+        hit = np.flatnonzero(100 * common[low:] >= percent * (sizes[x] + sizes[low:] - common[low:])) + low
         for y in hit[common[hit] > 0]:
             a, b = find(x), find(int(y))
             if a != b:
@@ -129,6 +132,30 @@ def spanning_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> lis
     return links
 
 
+def comparisons(groups: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Which blocks of documents are compared: ``doc_id, component, bin, i, other, j, side``, one row per document and comparison.
+
+    ``groups(id, component)`` are candidate groups, ``sizes(id, n_shingles)`` sizes of sets. Linked sets differ in size by a factor of
+    100 / percent at most, so the bins of a large group are that wide (and 0.1 % wider, for rounding) and a bin meets itself and the
+    next one only. Each bin is cut into blocks; each pair of blocks of the same or of neighbouring bins is one comparison.
+    """
+
+    def blocks() -> Column:
+        return F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+
+    width = math.log(100 / percent) + 1e-3
+    sized = groups.join(sizes, "id")
+    large = sized.groupBy("component").agg(blocks()).select("component", (F.col("blocks") > 1).alias("large"))
+    binned = sized.join(large, "component").withColumn("bin", F.when(F.col("large"), F.floor(F.log(F.col("n_shingles")) / width)).otherwise(0).cast("int"))
+    shape = binned.groupBy("component", "bin").agg(blocks())
+    placed = binned.join(shape, ["component", "bin"]).withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
+    near = shape.select("component", F.col("bin").alias("met"), F.col("blocks").alias("met_blocks"), F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"))
+    pairs = placed.join(near, ["component", "bin"]).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("met_blocks") - 1)))
+    here, there = F.struct(F.col("bin"), F.col("block")), F.struct(F.col("met").alias("bin"), F.col("with").alias("block"))
+    low, high = F.least(here, there), F.greatest(here, there)
+    return pairs.select(F.col("id").alias("doc_id"), "component", low["bin"].alias("bin"), low["block"].alias("i"), high["bin"].alias("other"), high["block"].alias("j"), (here > low).cast("int").alias("side"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``docs(doc_id, text, ...)`` -> one row per row: ``doc_id, n_shingles, component_id, kept``.
 
@@ -139,8 +166,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Null or blank texts have no shingle and are linked with nothing; a row without doc_id keeps a null component and is
     kept; repeated rows get the same answer each; an empty table gives an empty one; other columns are not read, so
     their names don't matter. Equal texts are first reduced to one representative, so a group of copies of any size
-    costs one row each. Documents that share a band form a candidate group; a large group is cut into blocks and each
-    pair of blocks is compared on its own, so that no task holds more than two blocks.
+    costs one row each. Documents that share a band form a candidate group; a large group is cut by size of set, then into
+    blocks, and each pair of blocks that can hold a link is compared on its own, so that no task holds more than two blocks.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = materialize(source.mapInArrow(_sketches(bands_for(percent)), _SKETCH), "sketches")
@@ -154,21 +181,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     near = buckets.join(shared, "bucket").select(F.col("doc_id").alias("u"), "v").where("u <> v").distinct()
     groups = materialize(connected_components(near), "groups")
 
-    sized = groups.join(sketches.select(F.col("doc_id").alias("id"), "n_shingles").distinct(), "id")
-    shape = sized.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    dealt = (
-        groups.join(shape, "component")
-        .withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
-        .select(F.col("id").alias("doc_id"), "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("doc_id", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    )
+    dealt = comparisons(groups, sketches.select(F.col("doc_id").alias("id"), "n_shingles").distinct(), percent)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("doc_id").sort_values("doc_id")
-        found = spanning_links(group["doc_id"].to_numpy(), shingle_sets(group["text"]), percent)
+        group = group.drop_duplicates("doc_id").sort_values(["side", "doc_id"])
+        across = (group["bin"] != group["other"]) | (group["i"] != group["j"])
+        left = int((group["side"] == 0).sum()) if across.any() else None
+        found = spanning_links(group["doc_id"].to_numpy(), shingle_sets(group["text"]), percent, left)
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
-    verified = source.join(dealt, "doc_id").groupBy("component", "i", "j").applyInPandas(compare, "u long, v long")
+    verified = source.join(dealt, "doc_id").groupBy("component", "bin", "i", "other", "j").applyInPandas(compare, "u long, v long")
     labels = connected_components(verified)
 
     answer = (

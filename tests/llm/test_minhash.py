@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from corvane.llm import minhash
 from corvane.llm.minhash import near_duplicates
 
 SF = "/root/testdata/sf0.001"
@@ -51,6 +52,16 @@ def test_edited_copies(spark):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("block", [3, 40])
+def test_chain_of_growing_texts(spark, monkeypatch, block):
+    """One candidate group over many sizes, in many blocks: links between neighbouring sizes must not be lost."""
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", block)
+    rnd = random.Random(6)
+    base = [f"w{rnd.randrange(4000)}" for _ in range(900)]
+    rows = [(i, " ".join(base[: rnd.choice((60, 104, 116, 204, 225, 240, 480, 564, 640, 900)) + rnd.randrange(3)])) for i in range(150)]
+    assert answer(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
+
+
 @pytest.mark.parametrize("text", [None, "", " \n\t"])
 def test_edges(spark, text):
     rows = [(3, text, "a"), (1, text, "a"), (5, "One two", "b"), (4, "one TWO", "b"), (9, "x" * 300_000, None), (8, "x" * 300_000, None), (None, "one two", "c")]
