@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 #: Longest n-gram an unseen word backs off to, and the factor that each step back costs.
 LONGEST, BACK_OFF = 4, 0.4
-#: Entries kept per language, the most frequent ones; at most about so many documents are learned from, chosen by a hash.
-WORDS, GRAMS, FIT_DOCS = 20_000, 20_000, 20_000
+#: Entries kept per language, the most frequent ones; at most about so many documents of each are learned from, chosen by a hash.
+WORDS, GRAMS, FIT_DOCS = 20_000, 20_000, 5_000
 #: A worker remembers so many words.
 REMEMBERED = 300_000
 
@@ -119,18 +119,23 @@ class Model:
 
 
 def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
-    """Learn from ``docs(doc_id, text, lang)``: counts are made by Spark, the most frequent entries of each language are collected."""
+    """Learn from ``docs(doc_id, text, lang)``: counts are made by Spark, the most frequent entries of each language are collected.
+
+    Every language has the same quota, so that a rare one is learned as well as one that most documents are in.
+    """
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(learning())
-    n = usable.count()
-    chosen = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, fit_docs / max(n, 1))))
+    sizes = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return Model([], [], {})
+    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(1_000_000 * min(1.0, fit_docs / n)))])
+    chosen = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")])
     counts = chosen.select("lang", "text").mapInArrow(_counted, "lang string, size int, entry string, n long").groupBy("lang", "size", "entry").agg(F.sum("n").alias("n")).persist()
     totals = {(r.lang, r.size): r.n for r in counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
     by_count = Window.partitionBy("lang", "size").orderBy(F.col("n").desc(), "entry")
     top = counts.withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS))
     kept = [tuple(r) for r in top.select("lang", "size", "entry", "n").toPandas().itertuples(index=False)]
     counts.unpersist()
-    langs = sorted(r.lang for r in usable.select("lang").distinct().collect())
-    return Model(langs, kept, totals)
+    return Model(sorted(sizes), kept, totals)
 
 
 def identify(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:

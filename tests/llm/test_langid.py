@@ -15,6 +15,14 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in test) >= 0.97 * len(test)
 
 
+def test_rare_language_is_learned(spark):
+    """One document in a thousand: a quota for each language finds it, a share of all documents would not."""
+    rows = [(i, f"the and of common word{i % 50}", "en") for i in range(4000)] + [(5000 + i, f"quibble zorg flim flam{i}", "xx") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in identify(docs, fit_docs=20).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+
+
 def test_backing_off():
     counts = [("a", 0, "the", 9), ("b", 0, "les", 9), ("a", 2, "^t", 9), ("a", 2, "th", 9), ("b", 2, "^l", 9), ("b", 2, "le", 9), ("b", 2, "es", 9), ("b", 2, "s$", 9), ("b", 1, "é", 3)]
     model = Model(["a", "b"], counts, {("a", 0): 9, ("b", 0): 9, ("a", 2): 18, ("b", 2): 36, ("b", 1): 3})
