@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 LONGEST, BACK_OFF = 4, 0.4
 #: Entries kept per language, the most frequent ones; at most about so many documents of each are learned from, chosen by a hash.
 WORDS, GRAMS, FIT_DOCS = 20_000, 20_000, 5_000
-#: A worker remembers so many words.
+#: A worker remembers so many words, and those of the text at hand.
 REMEMBERED = 300_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -80,19 +80,21 @@ class Model:
         for size, table in enumerate(raw):
             total = np.array([totals.get((x, size), 0) for x in langs], float) + 1
             self.tables[size] = {k: np.log(v / total) for k, v in table.items()}
-        self.known: dict[str, np.ndarray] = {}
+        self.place: dict[str, int] = {}
+        self.rows = np.zeros((1024, len(langs)))
 
     def word(self, word: str) -> np.ndarray:
         """A known word's log frequencies; else the mean of its n-grams', each backing off to shorter ones where it is unseen."""
-        found = self.known.get(word)
-        if found is None:
-            found = self.tables[0].get(word)
-            if found is None:
-                found = self._backed_off(word)
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = found
-        return found
+        found = self.tables[0].get(word)
+        return self._backed_off(word) if found is None else found
+
+    def _remember(self, word: str) -> int:
+        """The row of ``rows`` that holds a word from now on."""
+        at = self.place[word] = len(self.place)
+        if at == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[at] = self.word(word)
+        return at
 
     def _backed_off(self, word: str) -> np.ndarray:
         for size in range(LONGEST, 0, -1):
@@ -110,9 +112,11 @@ class Model:
         seen = Counter(tokens(text))
         if not seen:
             return "und", 0.0
-        total = np.zeros(len(self.langs))
-        for word, n in seen.items():
-            total += n * self.word(word)
+        if len(self.place) >= REMEMBERED:
+            self.place.clear()
+        known = self.place.get
+        at = [self._remember(word) if (i := known(word)) is None else i for word in seen]
+        total = np.array(list(seen.values()), float) @ self.rows[at]
         total = np.exp(np.maximum(total - total.max(), -700))
         best = int(np.argmax(total))
         return self.langs[best], float(total[best] / total.sum())
