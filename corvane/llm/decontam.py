@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows: questions are found again with other numbers, names and units.
 
-Numbers, names and units become typed placeholders; windows of five such tokens are joined by hash; where a
-document's windows line up with an item's, what fills the slots must map one to one.
+Numbers, names and units become typed placeholders; windows of five such tokens are joined by hash, and so are the same
+windows as case-folded words without placeholders, as a copy in other capitals has other names. Where a document's
+windows line up with an item's, what fills the slots must map one to one.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,13 +41,25 @@ _CAPITAL[65:91] = True
 _NUM, _NAME, _UNIT = tk.stream(21, 3)
 
 
-def _lowered(data: np.ndarray) -> np.ndarray:
-    """A-Z and the two-byte capitals of Latin-1 as small letters."""
-    out = tk.LOWER_ASCII[data]
-    latin = np.zeros(len(data), bool)
-    latin[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-    out[latin] += 0x20
-    return out
+def _folded_text(texts: pa.Array) -> pa.Array:
+    """Small letters, with those as one that share a capital form; texts that are no UTF-8 change in A-Z only."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:
+        if len(texts) > 1:
+            return pa.concat_arrays([_folded_text(texts.slice(i, 1)) for i in range(len(texts))])
+        return pa.array([texts.cast(pa.large_binary())[0].as_py().lower()], pa.large_binary()).view(pa.large_string())
+    return pc.replace_substring(pc.replace_substring(pc.utf8_lower(texts), "ß", "ss"), "ς", "σ")
+
+
+def _folded(s: tk.Slice, texts: pa.Array) -> np.ndarray:
+    """Hashes of the case-folded words of a slice, whose texts these are."""
+    if not len(s.data) or s.data.max() < 0x80:
+        own = tk.Slice(s.first, tk.LOWER_ASCII[s.data], s.offs)
+    else:
+        own = next(tk.slices(_folded_text(texts), 1 << 40))
+    return tk.words(tk.Slice(own.first, _trimmed(own.data, own.offs), own.offs)).hash
 
 
 def _trimmed(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -67,10 +81,10 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(tk.words(next(tk.slices(pa.array([" ".join(UNITS)])))).hash)
 
 
-def templates(s: tk.Slice, units: np.ndarray) -> tuple[tk.Words, np.ndarray, np.ndarray]:
-    """Tokens of a slice: literal hashes, hashes with placeholders, and which tokens are slots."""
-    bare = _trimmed(s.data, s.offs)
-    w = tk.words(tk.Slice(s.first, bare, s.offs), _lowered(bare))
+def templates(s: tk.Slice, texts: pa.Array, units: np.ndarray) -> tuple[tk.Words, np.ndarray, np.ndarray]:
+    """Tokens of a slice, whose texts these are: literal hashes, hashes with placeholders, and which tokens are slots."""
+    w = tk.words(tk.Slice(s.first, _trimmed(s.data, s.offs), s.offs))
+    w.hash = _folded(s, texts)
     if not len(w.hash):
         return w, w.hash, np.zeros(0, bool)
     stops = np.concatenate([[0], np.cumsum(_STOPS[s.data])])
@@ -87,22 +101,33 @@ def templates(s: tk.Slice, units: np.ndarray) -> tuple[tk.Words, np.ndarray, np.
     return w, typed, number | unit | name
 
 
-def _windows(s: tk.Slice, units: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row, place, hash and slot fillers of each window that has enough literal tokens."""
-    w, typed, slot = templates(s, units)
+def _windows(s: tk.Slice, texts: pa.Array, units: np.ndarray, item: bool) -> tuple[np.ndarray, ...]:
+    """Row, place, hash and slot fillers of the windows of a slice.
+
+    Each window that has enough literal tokens comes with placeholders. Each that has slots comes as plain words too, of a
+    document without fillers: equal words fill the slots as the item does. An item's windows are looked for in
+    either way; those of a document are plain wherever they have slots, however few literals they have.
+    """
+    w, typed, slot = templates(s, texts, units)
     g, ok = tk.grams(tk.Words(w.start, w.end, typed, w.ptr), WINDOW)
-    plain = np.concatenate([[0], np.cumsum(~slot)])
-    ok[: max(0, len(ok) - WINDOW + 1)] &= (plain[WINDOW:] - plain[:-WINDOW] >= LITERALS) if len(ok) >= WINDOW else True
-    at = np.flatnonzero(ok)
+    words, whole = tk.grams(w, WINDOW)
+    slots = np.concatenate([[0], np.cumsum(slot)])
+    n = np.zeros(len(ok), np.int64)
+    if len(ok) >= WINDOW:
+        n[: len(ok) - WINDOW + 1] = slots[WINDOW:] - slots[:-WINDOW]
+    ok &= n <= WINDOW - LITERALS
+    plain = np.flatnonzero((ok if item else whole) & (n > 0))
+    at = np.concatenate([np.flatnonzero(ok), plain])
     row = w.row[at]
-    fill = np.where(slot, w.hash, tk.U(0))
-    return row, at - w.ptr[:-1][row], g[at], at, fill
+    fill = np.stack([np.where(slot, w.hash, tk.U(0))[np.minimum(at + i, len(slot) - 1)] for i in range(WINDOW)], 1) if len(at) else np.zeros((0, WINDOW), tk.U)
+    if not item:
+        fill[len(at) - len(plain) :] = 0
+    return row, at - w.ptr[:-1][row], np.concatenate([g[ok], words[plain]]), fill
 
 
-def _emit(ids: pa.Array, s: tk.Slice, row: np.ndarray, place: np.ndarray, g: np.ndarray, at: np.ndarray, fill: np.ndarray) -> pa.RecordBatch:
-    fillers = np.stack([fill[at + i] for i in range(WINDOW)], 1) if len(at) else np.zeros((0, WINDOW), tk.U)
+def _emit(ids: pa.Array, s: tk.Slice, row: np.ndarray, place: np.ndarray, g: np.ndarray, fill: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [ids.slice(s.first, s.rows).take(pa.array(row)), pa.array(place), tk.signed(g), tk.list_array(fillers.ravel().view(np.int64), np.full(len(at), WINDOW))],
+        [ids.slice(s.first, s.rows).take(pa.array(row)), pa.array(place), tk.signed(g), tk.list_array(fill.ravel().view(np.int64), np.full(len(g), WINDOW))],
         names=["id", "place", "hash", "fill"],
     )
 
@@ -114,7 +139,7 @@ def _all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     units = _unit_hashes()
     for batch in batches:
         for s in tk.slices(batch.column(1)):
-            yield _emit(batch.column(0), s, *_windows(s, units))
+            yield _emit(batch.column(0), s, *_windows(s, batch.column(1).slice(s.first, s.rows), units, True))
 
 
 def _noted(windows: DataFrame) -> np.ndarray:
@@ -131,7 +156,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     """Pairs ``doc_id, item_id, n_windows, matched, changed``: documents that hold a benchmark item, as it is or re-parameterised.
 
     ``n_windows`` counts the item's windows of five tokens with three literals at least, ``matched`` those found in the
-    document at one offset or another with consistent slots, ``changed`` the slot values that differ at the best offset. A pair is given if
+    document at one offset or another, with consistent slots or in the same words (in any case), ``changed`` the slot values that differ at the best offset. A pair is given if
     matched >= coverage * n_windows.
 
     Null and blank texts, rows without id and items shorter than a window give no pair; repeated rows give one;
@@ -146,16 +171,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         units = _unit_hashes()
         for batch in batches:
             for s in tk.slices(batch.column(1)):
-                row, place, g, at, fill = _windows(s, units)
+                row, place, g, fill = _windows(s, batch.column(1).slice(s.first, s.rows), units, False)
                 bit = g >> tk.U(64 - TABLE_BITS)
                 hit = (table.value[(bit >> tk.U(5)).astype(np.int64)] >> (bit & tk.U(31)).astype(np.uint32)) & 1 == 1
-                yield _emit(batch.column(0), s, row[hit], place[hit], g[hit], at[hit], fill)
+                yield _emit(batch.column(0), s, row[hit], place[hit], g[hit], fill[hit])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null")
     found = texts.mapInArrow(hits, _HITS).select(F.col("id").alias("doc_id"), "place", "hash", "fill")
     own = wanted.select(F.col("id").alias("item_id"), F.col("place").alias("spot"), "hash", F.col("fill").alias("want"))
     sizes = wanted.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("place").alias("n_windows"))
-    met = found.join(own, "hash").withColumn("pairs", F.expr("filter(arrays_zip(want, fill), p -> p.want <> 0 or p.fill <> 0)"))
+    met = found.join(own, "hash").withColumn("pairs", F.expr("transform(filter(arrays_zip(want, fill), p -> p.want <> 0), p -> named_struct('want', p.want, 'fill', if(p.fill = 0, p.want, p.fill)))"))
     lined = met.groupBy("doc_id", "item_id", (F.col("place") - F.col("spot")).alias("shift")).agg(F.collect_set("spot").alias("spots"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
     one_to_one = F.expr("size(pairs) = size(array_distinct(pairs.want)) and size(pairs) = size(array_distinct(pairs.fill))")
     sound = lined.where(one_to_one).groupBy("doc_id", "item_id").agg(

@@ -40,3 +40,29 @@ def test_filter_and_empty(spark):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - {d for d, _ in pairs(docs, bench)}
     assert pairs(docs.limit(0), bench) == {} and pairs(docs, bench.limit(0)) == {}
+
+
+def test_copies_in_other_case(spark):
+    item = "Der Zug nach Köln hält in Straßburg um 9 Uhr, und Anna Müller steigt mit Otto aus, weil sie dort Jürgen Groß am alten Rathaus treffen will"
+    sums = "Anna Bruno Carla Dora 12 + 30 und Emil Franz holen dann die 4 Kisten aus dem kleinen Keller"
+    bench = spark.createDataFrame([(1, Q, 0), (2, item, 0), (3, sums, 0)], B)
+    docs = [(10 * i + k, f"some words before it. {t} and after") for i, text in ((1, Q), (2, item), (3, sums)) for k, t in enumerate((text, text.upper(), text.lower(), text.title()))]
+    got = pairs(spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, hash string"), bench)
+    assert set(got) == {(d, d // 10) for d, _ in docs} and all(n == m and c == 0 for n, m, c in got.values())
+
+
+def test_case_folded_copies_of_larger_tables(spark):
+    """Brute force: an item's case-folded words in a row, without marks at their edges; the first three say where to look."""
+    told = lambda text: [t for t in (x.strip(".,;:!?()[]{}\"'`") for x in (text or "").casefold().split()) if t]
+    sf = "/root/testdata/sf0.1"
+    docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    items = {}
+    for b in bench.collect():
+        w = told(b.text)
+        items.setdefault(tuple(w[:3]), []).append((b.item_id, w))
+    want = set()
+    for d in docs.select("doc_id", "text").collect():
+        w = told(d.text)
+        for at, head in enumerate(zip(w, w[1:], w[2:], strict=False)):
+            want |= {(d.doc_id, i) for i, t in items.get(head, ()) if w[at : at + len(t)] == t}
+    assert {(1699, 130), (6420, 37), (8376, 101)} <= want <= set(pairs(docs, bench))
