@@ -2,8 +2,9 @@
 
 A page is a stream of tags and texts. Tandem repeats in it fold into repeated groups; streams of one host are then aligned one
 after another, and what only some of them have becomes optional. Texts are slots of the wrapper, or fixed texts where
-(almost) all distinct pages of the host agree on them. The wrapper says which container is the main one and which texts in
-it belong to the template; the slots below that container, without menus, forms, notices and the like, are the main text.
+(almost) all distinct pages of the host agree on them. Kinds of containers are counted over the host's pages, as ids and classes may be
+a page's own; the kind that half of them have is the main one. The slots below such containers, without the template's texts,
+menus, forms, notices and the like, are the main text.
 """
 
 from __future__ import annotations
@@ -224,12 +225,12 @@ def expression(wrapper: Wrapper, pages: int) -> str:
     return " ".join(out)
 
 
-def main_kind(wrapper: Wrapper, pages: int) -> str:
-    """The most telling kind of main container that at least half of the pages have."""
-    for kind in KINDS:
-        if any(x[0].startswith(f"<{kind}") and 2 * x[2] >= pages for x in wrapper):
-            return kind
-    return "body"
+def main_kind(pages: str, has: dict[str, str]) -> F.Column:
+    """The most telling kind of main container that at least half of the pages have, however the elements are called.
+
+    ``pages`` and the values of ``has`` are columns with numbers of pages: all, and those that have a container of the kind.
+    """
+    return F.coalesce(*[F.when(2 * F.col(has[kind]) >= F.col(pages), kind) for kind in KINDS], F.lit("body"))
 
 
 def chosen(blocks: list[tuple[frozenset[str], str, str]], kind: str) -> list[tuple[str, str]]:
@@ -255,10 +256,10 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             stream, blocks = scan(page.as_py())
             own = chosen(blocks, KINDS[0])
-            rows.append((host, "\n".join(folded(stream)), _number(*(t for _, t in own)), sorted({_number(p, t) for p, t in own})))
+            rows.append((host, "\n".join(folded(stream)), _number(*(t for _, t in own)), sorted({_number(p, t) for p, t in own}), sorted({k[1:] for k, _ in stream if k[0] == "<"} & set(KINDS))))
         if rows:
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "stream", "content", "texts"])
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "stream", "content", "texts", "kinds"])
 
 
 def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +284,7 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
         part = json.loads(text)
         wrapper = align(wrapper, part) if wrapper else part
     pages = int(group["pages"].sum())
-    return pd.DataFrame([(group["host"].iloc[0], expression(wrapper, pages), main_kind(wrapper, pages), pages)], columns=["host", "expression", "main", "pages"])
+    return pd.DataFrame([(group["host"].iloc[0], expression(wrapper, pages), pages)], columns=["host", "expression", "pages"])
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
@@ -293,17 +294,20 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     a host's streams are dealt to ``SALTS`` parts, each folded in a stream, whose wrappers are then aligned.
     """
     source = pages.select(_host(F.col("url").cast("string")).alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    seen = materialize(source.mapInArrow(_streams, "host string, stream string, content long, texts array<long>"), "streams")
+    seen = materialize(source.mapInArrow(_streams, "host string, stream string, content long, texts array<long>, kinds array<string>"), "streams")
     counted = seen.groupBy("host", "stream").agg(F.count("*").alias("n"))
     dealt = counted.withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(SALTS))).repartition("host", "salt").sortWithinPartitions("host", "stream")
     parts = dealt.select("host", "stream", "n").mapInArrow(_partial, "host string, wrapper string, pages long")
-    wrappers = parts.groupBy("host").applyInPandas(_merged, "host string, expression string, main string, pages long")
+    wrappers = parts.groupBy("host").applyInPandas(_merged, "host string, expression string, pages long")
+    has = {kind: f"has_{kind}" for kind in KINDS}
+    kinds = seen.groupBy("host").agg(F.count("*").alias("n"), *[F.sum(F.array_contains("kinds", kind).cast("long")).alias(c) for kind, c in has.items()])
+    wrappers = wrappers.join(kinds.select("host", main_kind("n", has).alias("main")), "host")
 
     distinct = seen.groupBy("host", "content").agg(F.first("texts").alias("texts"))
     total = distinct.groupBy("host").agg(F.count("*").alias("distinct_pages"))
     often = distinct.select("host", F.explode("texts").alias("text")).groupBy("host", "text").agg(F.count("*").alias("n")).where(F.col("n") >= FIXED_PAGES)
     fixed = often.join(total, "host").where(F.col("n") >= FIXED_SHARE * F.col("distinct_pages")).groupBy("host").agg(F.sort_array(F.collect_list("text")).alias("fixed"))
-    return wrappers.join(fixed, "host", "left")
+    return wrappers.join(fixed, "host", "left").select("host", "expression", "main", "pages", "fixed")
 
 
 def main_text(page: str, kind: str, fixed: Iterable[int] = ()) -> str:

@@ -75,3 +75,11 @@ def test_edges(spark):
     got = sorted((tuple(r) for r in extract_main_text(df).collect()), key=str)
     assert got == sorted([(1, None, "", 0), (2, "no url", "x", 1), (None, "http://h/", "", 0), (2, "no url", "x", 1)], key=str)
     assert extract_main_text(df.limit(0)).collect() == []
+
+
+def test_containers_with_own_ids(spark):
+    page = '<body><div class="x9">Teaser {i}</div><article id="post-{i}" class="c{i}"><h1>Title {i}</h1><p>Body number {i}</p></article><div>Also {i}</div></body>'
+    rows = [(i, f"http://{host}/{i}", page.format(i=i)) for host, ids in (("a.b", range(20)), ("small.b", range(20, 22))) for i in ids]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in extract_main_text(df).collect()} == {i: f"Title {i}\nBody number {i}" for i in range(22)}
+    assert {r.host: (r.main, r.pages) for r in infer_wrappers(df).collect()} == {"a.b": ("article", 20), "small.b": ("article", 2)}
