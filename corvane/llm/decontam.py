@@ -2,12 +2,13 @@
 
 Numbers, names and units become typed placeholders; windows of five such tokens are joined by hash, and so are the same
 windows as case-folded words without placeholders, as a copy in other capitals has other names. Where a document's
-windows line up with an item's, what fills the slots must map one to one.
+windows line up with an item's, each filler must map to one filler, and different names to different ones. An item without
+such a window is looked for by its case-folded words alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ _DIGIT[48:58] = True
 _CAPITAL = np.zeros(256, bool)
 _CAPITAL[65:91] = True
 _NUM, _NAME, _UNIT = tk.stream(21, 3)
+#: The lowest bit of a filler says whether it is a name.
+_LOWEST = tk.U(1)
 
 
 def _folded_text(texts: pa.Array) -> pa.Array:
@@ -81,12 +84,12 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(tk.words(next(tk.slices(pa.array([" ".join(UNITS)])))).hash)
 
 
-def templates(s: tk.Slice, texts: pa.Array, units: np.ndarray) -> tuple[tk.Words, np.ndarray, np.ndarray]:
-    """Tokens of a slice, whose texts these are: literal hashes, hashes with placeholders, and which tokens are slots."""
+def templates(s: tk.Slice, texts: pa.Array, units: np.ndarray) -> tuple[tk.Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of a slice, whose texts these are: literal hashes, hashes with placeholders, which tokens are slots, and their fillers."""
     w = tk.words(tk.Slice(s.first, _trimmed(s.data, s.offs), s.offs))
     w.hash = _folded(s, texts)
     if not len(w.hash):
-        return w, w.hash, np.zeros(0, bool)
+        return w, w.hash, np.zeros(0, bool), w.hash
     stops = np.concatenate([[0], np.cumsum(_STOPS[s.data])])
     opens = np.ones(len(w.hash), bool)
     opens[1:] = (stops[w.start[1:]] > stops[w.end[:-1]]) | (w.row[1:] != w.row[:-1])
@@ -98,17 +101,19 @@ def templates(s: tk.Slice, texts: pa.Array, units: np.ndarray) -> tuple[tk.Words
     capital = _CAPITAL[first] | (wide & (first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
     name = ~number & ~unit & capital & ~opens
     typed = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, w.hash)))
-    return w, typed, number | unit | name
+    slot = number | unit | name
+    return w, typed, slot, np.where(slot, (w.hash & ~_LOWEST | tk.U(2)) | name, tk.U(0))
 
 
-def _windows(s: tk.Slice, texts: pa.Array, units: np.ndarray, item: bool) -> tuple[np.ndarray, ...]:
-    """Row, place, hash and slot fillers of the windows of a slice.
+def _windows(s: tk.Slice, texts: pa.Array, units: np.ndarray, sizes: Iterable[int] | None = None) -> tuple[np.ndarray, ...]:
+    """Row, place, hash, slot fillers and number of words of the windows of a slice: of items, or of documents if ``sizes`` is given.
 
     Each window that has enough literal tokens comes with placeholders. Each that has slots comes as plain words too, of a
-    document without fillers: equal words fill the slots as the item does. An item's windows are looked for in
-    either way; those of a document are plain wherever they have slots, however few literals they have.
+    document without fillers: equal words fill the slots as the item does. An item without a window that has enough literals
+    comes as plain words only: all its windows, or all its words where they are fewer than a window has. ``sizes``: numbers
+    of words of such short items, which documents are cut to as well.
     """
-    w, typed, slot = templates(s, texts, units)
+    w, typed, slot, filler = templates(s, texts, units)
     g, ok = tk.grams(tk.Words(w.start, w.end, typed, w.ptr), WINDOW)
     words, whole = tk.grams(w, WINDOW)
     slots = np.concatenate([[0], np.cumsum(slot)])
@@ -116,30 +121,40 @@ def _windows(s: tk.Slice, texts: pa.Array, units: np.ndarray, item: bool) -> tup
     if len(ok) >= WINDOW:
         n[: len(ok) - WINDOW + 1] = slots[WINDOW:] - slots[:-WINDOW]
     ok &= n <= WINDOW - LITERALS
-    plain = np.flatnonzero((ok if item else whole) & (n > 0))
-    at = np.concatenate([np.flatnonzero(ok), plain])
-    row = w.row[at]
-    fill = np.stack([np.where(slot, w.hash, tk.U(0))[np.minimum(at + i, len(slot) - 1)] for i in range(WINDOW)], 1) if len(at) else np.zeros((0, WINDOW), tk.U)
-    if not item:
-        fill[len(at) - len(plain) :] = 0
-    return row, at - w.ptr[:-1][row], np.concatenate([g[ok], words[plain]]), fill
-
-
-def _emit(ids: pa.Array, s: tk.Slice, row: np.ndarray, place: np.ndarray, g: np.ndarray, fill: np.ndarray) -> pa.RecordBatch:
+    row, length = w.row, np.diff(w.ptr)
+    wanted = ok | (tk.per_row_sum(ok, w.ptr) == 0)[row] if sizes is None else whole
+    plain = np.flatnonzero(wanted & whole & (n > 0))
+    parts = [(np.flatnonzero(ok), g[ok], WINDOW), (plain, words[plain], WINDOW)]
+    for size in range(1, WINDOW) if sizes is None else sizes:
+        short, fits = tk.grams(w, size)
+        at = w.ptr[:-1][length == size] if sizes is None else np.flatnonzero(fits)
+        parts.append((at, short[at], size))
+    at = np.concatenate([p[0] for p in parts])
+    size = np.concatenate([np.full(len(p[0]), p[2]) for p in parts])
+    fill = np.zeros((len(at), WINDOW), tk.U)
+    told = size == WINDOW
+    if sizes is not None:
+        told[len(parts[0][0]) :] = False
+    for i in range(WINDOW):
+        fill[told, i] = filler[at[told] + i]
+    return row[at], at - w.ptr[:-1][row[at]], np.concatenate([p[1] for p in parts]), fill, size
+
+
+def _emit(ids: pa.Array, s: tk.Slice, row: np.ndarray, place: np.ndarray, g: np.ndarray, fill: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [ids.slice(s.first, s.rows).take(pa.array(row)), pa.array(place), tk.signed(g), tk.list_array(fill.ravel().view(np.int64), np.full(len(g), WINDOW))],
-        names=["id", "place", "hash", "fill"],
+        [ids.slice(s.first, s.rows).take(pa.array(row)), pa.array(place), tk.signed(g), tk.list_array(fill.ravel().view(np.int64), np.full(len(g), WINDOW)), pa.array(size, pa.int32())],
+        names=["id", "place", "hash", "fill", "size"],
     )
 
 
-_HITS = "id long, place long, hash long, fill array<long>"
+_HITS = "id long, place long, hash long, fill array<long>, size int"
 
 
 def _all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     units = _unit_hashes()
     for batch in batches:
         for s in tk.slices(batch.column(1)):
-            yield _emit(batch.column(0), s, *_windows(s, batch.column(1).slice(s.first, s.rows), units, True))
+            yield _emit(batch.column(0), s, *_windows(s, batch.column(1).slice(s.first, s.rows), units))
 
 
 def _noted(windows: DataFrame) -> np.ndarray:
@@ -159,35 +174,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     document at one offset or another, with consistent slots or in the same words (in any case), ``changed`` the slot values that differ at the best offset. A pair is given if
     matched >= coverage * n_windows.
 
-    Null and blank texts, rows without id and items shorter than a window give no pair; repeated rows give one;
+    An item without such a window counts its windows of plain words, and one shorter than a window all its words as one.
+    Different numbers or units of an item may become one; different names may not.
+
+    Null and blank texts and rows without id give no pair; repeated rows give one;
     empty tables an empty one. Only ids and texts are read. Documents' windows are first tried against a bit table of fixed
     size, then joined exactly, so a larger benchmark costs a larger join and not a larger broadcast.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null")
     wanted = materialize(items.mapInArrow(_all_windows, _HITS), "items")
     table = docs.sparkSession.sparkContext.broadcast(_noted(wanted))
+    sizes = sorted(r.size for r in wanted.select("size").distinct().collect() if r.size < WINDOW)
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _unit_hashes()
         for batch in batches:
             for s in tk.slices(batch.column(1)):
-                row, place, g, fill = _windows(s, batch.column(1).slice(s.first, s.rows), units, False)
+                row, place, g, fill, size = _windows(s, batch.column(1).slice(s.first, s.rows), units, sizes)
                 bit = g >> tk.U(64 - TABLE_BITS)
                 hit = (table.value[(bit >> tk.U(5)).astype(np.int64)] >> (bit & tk.U(31)).astype(np.uint32)) & 1 == 1
-                yield _emit(batch.column(0), s, row[hit], place[hit], g[hit], fill[hit])
+                yield _emit(batch.column(0), s, row[hit], place[hit], g[hit], fill[hit], size[hit])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null")
-    found = texts.mapInArrow(hits, _HITS).select(F.col("id").alias("doc_id"), "place", "hash", "fill")
-    own = wanted.select(F.col("id").alias("item_id"), F.col("place").alias("spot"), "hash", F.col("fill").alias("want"))
-    sizes = wanted.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("place").alias("n_windows"))
-    met = found.join(own, "hash").withColumn("pairs", F.expr("transform(filter(arrays_zip(want, fill), p -> p.want <> 0), p -> named_struct('want', p.want, 'fill', if(p.fill = 0, p.want, p.fill)))"))
+    found = texts.mapInArrow(hits, _HITS).select(F.col("id").alias("doc_id"), "place", "hash", "size", "fill")
+    own = wanted.select(F.col("id").alias("item_id"), F.col("place").alias("spot"), "hash", "size", F.col("fill").alias("want"))
+    counts = wanted.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("place").alias("n_windows"))
+    met = found.join(own, ["hash", "size"]).withColumn("pairs", F.expr("transform(filter(arrays_zip(want, fill), p -> p.want <> 0), p -> named_struct('want', p.want, 'fill', if(p.fill = 0, p.want, p.fill)))"))
     lined = met.groupBy("doc_id", "item_id", (F.col("place") - F.col("spot")).alias("shift")).agg(F.collect_set("spot").alias("spots"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
-    one_to_one = F.expr("size(pairs) = size(array_distinct(pairs.want)) and size(pairs) = size(array_distinct(pairs.fill))")
-    sound = lined.where(one_to_one).groupBy("doc_id", "item_id").agg(
+    names = "filter(pairs, p -> p.want & 1L = 1)"
+    consistent = F.expr(f"size(pairs) = size(array_distinct(pairs.want)) and size({names}) = size(array_distinct({names}.fill))")
+    sound = lined.where(consistent).groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("spots")))).alias("matched"),
         F.max_by(F.expr("size(filter(pairs, p -> p.want <> p.fill))"), F.struct(F.size("spots"), -F.abs("shift"))).alias("changed"),
     )
-    return sound.join(sizes, "item_id").where(F.col("matched") >= coverage * F.col("n_windows")).select("doc_id", "item_id", "n_windows", "matched", "changed")
+    return sound.join(counts, "item_id").where(F.col("matched") >= coverage * F.col("n_windows")).select("doc_id", "item_id", "n_windows", "matched", "changed")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:

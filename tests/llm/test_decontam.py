@@ -66,3 +66,14 @@ def test_case_folded_copies_of_larger_tables(spark):
         for at, head in enumerate(zip(w, w[1:], w[2:], strict=False)):
             want |= {(d.doc_id, i) for i, t in items.get(head, ()) if w[at : at + len(t)] == t}
     assert {(1699, 130), (6420, 37), (8376, 101)} <= want <= set(pairs(docs, bench))
+
+
+def test_values_that_coincide_and_items_without_templates(spark):
+    apples = "If you have 5 red apples in one basket and 3 green apples in another basket then how many apples are in both?"
+    items = [(1, apples), (2, "12 + 30 = 42"), (3, "Capital of France?"), (4, "7 kg 3 km 40 miles 5 hours 12 cents 9 pounds"), (5, "Alice Bob Carol Dave Erin"), (6, "..."), (7, "photosynthesis")]
+    bench = spark.createDataFrame([(*i, 0) for i in items], B)
+    docs = [(1, apples.replace("5", "4").replace("3", "4")), (2, "we know 12 + 30 = 42 well"), (3, "the CAPITAL of FRANCE, is"), (4, f"so {items[3][1].upper()} it was"), (5, "met Alice Bob Carol Dave Erin there")]
+    docs += [(6, "12 + 30 = 43"), (7, "the capital of Spain"), (8, "met Alice Bob Carol Erin Dave"), (9, "7 kg 3 km"), (10, "about Photosynthesis."), (11, "12 + 30"), (12, "... =")]
+    got = pairs(spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, hash string"), bench)
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (10, 7)}
+    assert got[1, 1][2] == 2 and got[2, 2] == (1, 1, 0) and got[3, 3] == (1, 1, 0)
