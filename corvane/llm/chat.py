@@ -50,15 +50,17 @@ def fingerprint(value: object) -> str:
 
 @dataclass(frozen=True)
 class Layout:
-    """How a layout's turns are found: fixed fields in order, a list of messages, or both.
+    """How a layout's turns are found: earlier exchanges, fixed fields in order, a list of messages.
 
     ``fields``: (role, fields whose non-blank texts are joined by a blank line). ``messages``: the list, and in its
-    items the field of the role (none: roles alternate from user) and that of the text.
+    items the field of the role (none: roles alternate from user) and that of the text. ``history``: the list of earlier
+    exchanges, each a list of texts whose roles alternate from user.
     """
 
     example: object
     fields: tuple[tuple[str, tuple[str, ...]], ...] = ()
     messages: tuple[str, str, str] | None = None
+    history: str = ""
 
 
 #: Role names of known layouts.
@@ -78,7 +80,7 @@ LAYOUTS = (
     Layout({"instruction": _T, "input": _T, "output": _T}, (("user", ("instruction", "input")), ("assistant", ("output",)))),
     Layout({"instruction": _T, "context": _T, "response": _T}, (("user", ("instruction", "context")), ("assistant", ("response",)))),
     Layout({"system_prompt": _T, "question": _T, "response": _T}, (("system", ("system_prompt",)), ("user", ("question",)), ("assistant", ("response",)))),
-    Layout({"instruction": _T, "input": _T, "output": _T, "history": [[_T]]}, (("user", ("instruction", "input")), ("assistant", ("output",)))),
+    Layout({"instruction": _T, "input": _T, "output": _T, "history": [[_T]]}, (("user", ("instruction", "input")), ("assistant", ("output",))), history="history"),
 )
 BY_FINGERPRINT = {fingerprint(x.example): x for x in LAYOUTS}
 _FIELDS = {p for x in LAYOUTS for p in paths(x.example)}
@@ -89,11 +91,13 @@ def _text(value: object) -> str:
 
 
 def layout_of(record: object) -> Layout | None:
-    """By the fingerprint of all fields, else by that of the fields that any layout names (others are extra)."""
+    """By the fingerprint of all fields, else by that of the fields that any layout names (others are extra, but a history is not)."""
     found = BY_FINGERPRINT.get(fingerprint(record))
     if found is None and isinstance(record, dict):
         own = "\n".join(sorted(paths(record) & _FIELDS))
         found = BY_FINGERPRINT.get(hashlib.sha256(own.encode()).hexdigest()[:16])
+        if found and not found.history and record.get("history"):
+            return None
     return found
 
 
@@ -103,6 +107,10 @@ def canonical(record: object) -> list[tuple[str, str]] | None:
     if layout is None:
         return None
     turns = []
+    for exchange in (record.get(layout.history) or []) if layout.history else []:
+        if not isinstance(exchange, list):
+            return None
+        turns += [(("user", "assistant")[i % 2], _text(t)) for i, t in enumerate(exchange)]
     for role, names in layout.fields:
         if role == "system" and not _text(record.get(names[0])):
             continue

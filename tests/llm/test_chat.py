@@ -52,3 +52,13 @@ def test_turn_rows(spark, long):
     rows = [(5, 1, "assistant", "b"), (5, 0, "user", None), (5, 2, None, "x"), (None, 0, "user", "q"), (6, 0, "assistant", "é" * long), (6, None, "system", "s"), (6, 0, "assistant", "a")]
     got = {r.conv_id: r for r in read_back(format_records(as_records(spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, record int")))).collect()}
     assert {k: (v.n_turns, v.loss_chars) for k, v in got.items()} == {5: (3, 1), None: (1, 0), 6: (3, long + 1)}
+
+
+def test_history(spark):
+    record = {"instruction": "q3", "input": "more", "output": "a3", "history": [["q1", "a1"], ["q2", "a2"]]}
+    want = [("user", "q1"), ("assistant", "a1"), ("user", "q2"), ("assistant", "a2"), ("user", "q3\n\nmore"), ("assistant", "a3")]
+    assert canonical(record) == want and canonical({**record, "id": 7}) == want
+    assert canonical({**record, "history": []}) == canonical({**record, "history": None}) == want[4:]
+    assert canonical({**record, "history": ["q1", "a1"]}) is None and canonical({"prompt": "q", "response": "a", "history": ["q1"]}) is None
+    out = format_records(spark.createDataFrame([(1, json.dumps(record))], "conv_id int, record string")).collect()
+    assert parse(out[0].formatted) == want and len(out[0].mask) == 3
