@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,3 +158,16 @@ _P = f"""p AS (
 _C = "c AS (SELECT upper(n_name) AS code, n_nationkey AS nation, r_name AS region, CASE n_nationkey % 10 WHEN 0 THEN 'DISABLED' WHEN 7 THEN 'ACCESS_RESTRICTED' ELSE 'ACTIVE' END AS collection_status FROM nation JOIN region ON n_regionkey = r_regionkey)"
 _CELLS = "w AS (SELECT conv_id, turn, string_split(regexp_replace(text, '\\s+', ' ', 'g'), ' ') AS cells FROM conversations)"
 SQL = {"v": _V, "d": _D, "e": _E, "p": _P, "c": _C, "cells": _CELLS, "seq": _SEQ}
+
+
+def encoded_pages(spark, sf):
+    """Every page below a Korean heading as bytes: UTF-8, or for odd pages EUC-KR, whose missing characters become references; some with their header."""
+
+    def run(batches):
+        for batch in batches:
+            told = zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+            bodies = [None if h.as_py() is None else f"<!-- 상품 약관 -->{h.as_py()}".encode(*(("euc_kr", "xmlcharrefreplace") if (i or 0) % 2 else ("utf-8",))) for i, h in told]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.binary())], names=["page_id", "body"])
+
+    p = table(spark, sf, "pages").select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
+    return p.mapInArrow(run, "page_id long, body binary").withColumn("content_type", F.when(F.col("page_id") % 3 == 0, "text/html; charset=euc-kr"))

@@ -249,9 +249,8 @@ def attempt_selection(spark, sf):
 
 
 def decoded_payloads(spark, sf):
-    """Pages in the encodings of sites, decoded."""
-    p = table(spark, sf, "pages").select("page_id", F.when(F.col("page_id") % 2 == 0, F.encode(F.lit("상품 약관"), "UTF-8")).otherwise(F.unhex(F.lit("BBF3C7B020BEE0B0FC"))).alias("body"), F.when(F.col("page_id") % 3 == 0, "text/html; charset=euc-kr").alias("content_type"))
-    return payloads.decoded(p).groupBy("charset", "replaced", "text").agg(F.count("*").alias("n"))
+    """Whole pages in the encodings of sites, decoded."""
+    return payloads.decoded(bind.encoded_pages(spark, sf)).select("page_id", "charset", "replaced", "text")
 
 
 def union_of_channels(spark, sf):

@@ -54,3 +54,13 @@ def test_entry_works_without_the_subpackage(tmp_path):
     code = "import __spark_entry__ as e; assert len(e.queries()) > 50 and not [q for q in e.queries() if q.startswith('op') and q[2].isdigit()]; print(len(e.oracle_sql()))"
     said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", env={**os.environ, "PYTHONPATH": ""}, capture_output=True, text=True)
     assert said.returncode == 0, said.stderr
+
+
+def test_decoded_payloads_are_whole_pages(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    got = QUERIES["decoded_payloads"](spark, SF).collect()
+    assert len(got) == len(pages) and {r.charset for r in got} == {"utf-8", "euc-kr"}
+    for r in got:
+        page = f"<!-- 상품 약관 -->{pages[r.page_id]}"
+        assert not r.replaced and r.charset == ("euc-kr" if r.page_id % 2 else "utf-8")
+        assert r.text == (page.encode("euc_kr", "xmlcharrefreplace").decode("euc_kr") if r.page_id % 2 else page)
