@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The template. A turn is OPEN role MIDDLE text CLOSE; none of these occurs in an escaped text.
@@ -54,19 +54,21 @@ class Layout:
 
     ``fields``: (role, fields whose non-blank texts are joined by a blank line). ``messages``: the list, and in its
     items the field of the role (none: roles alternate from user) and that of the text. ``history``: the list of earlier
-    exchanges, each a list of texts whose roles alternate from user.
+    exchanges, each a list of texts whose roles alternate from user. ``verbatim``: roles are kept as they stand.
     """
 
     example: object
     fields: tuple[tuple[str, tuple[str, ...]], ...] = ()
     messages: tuple[str, str, str] | None = None
     history: str = ""
+    verbatim: bool = False
 
 
 #: Role names of known layouts.
 ROLES = {"human": "user", "user": "user", "prompter": "user", "gpt": "assistant", "assistant": "assistant", "bot": "assistant", "model": "assistant", "chatgpt": "assistant", "system": "system", "tool": "tool", "function": "tool"}
 _T = "text"
 LAYOUTS = (
+    Layout({"turns": [{"role": _T, "text": _T}]}, messages=("turns", "role", "text"), verbatim=True),
     Layout({"messages": [{"role": _T, "content": _T}]}, messages=("messages", "role", "content")),
     Layout({"conversation": [{"role": _T, "content": _T}]}, messages=("conversation", "role", "content")),
     Layout({"conversations": [{"from": _T, "value": _T}]}, messages=("conversations", "from", "value")),
@@ -102,7 +104,7 @@ def layout_of(record: object) -> Layout | None:
 
 
 def canonical(record: object) -> list[tuple[str, str]] | None:
-    """The turns of a record, or None if its layout is not known."""
+    """The turns of a record, or None if its layout is not known or an item of its list is of another kind than the layout says."""
     layout = layout_of(record)
     if layout is None:
         return None
@@ -119,8 +121,10 @@ def canonical(record: object) -> list[tuple[str, str]] | None:
         where, role, text = layout.messages
         for i, m in enumerate(record.get(where) or []):
             if role:
+                if not isinstance(m, dict):
+                    return None
                 said = _text(m.get(role))
-                turns.append((ROLES.get(said.lower(), said), _text(m.get(text))))
+                turns.append((said if layout.verbatim else ROLES.get(said.lower(), said), _text(m.get(text))))
             else:
                 turns.append((("user", "assistant")[i % 2], _text(m)))
     return turns
@@ -170,15 +174,45 @@ def format_records(records: DataFrame) -> DataFrame:
     return out.withColumn("conv_id", F.col("conv_id").cast(kind))
 
 
-def as_records(turns: DataFrame) -> DataFrame:
-    """Rows ``conv_id, turn, role, text`` -> one JSON record of the layout ``messages`` for each conversation.
+def as_records(turns: DataFrame, varied: bool = False) -> DataFrame:
+    """Rows ``conv_id, turn, role, text`` -> one JSON record for each conversation, of the layout ``turns``.
+
+    ``varied``: conversations that another layout holds without loss come in one of these, dealt by a hash of conv_id: a question
+    and its answer as prompt, question or instruction (with the rest of the question behind its first blank line as input), an
+    exchange that begins with the user and alternates as dialog or as from and value, with a system text ahead of it too.
 
     A conversation's rows are in order of turn, nulls first, ties by role and text; it is one record, so it is held whole.
     """
-    row = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("content"))
+    row = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     listed = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("turns"))
-    message = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    return listed.select("conv_id", F.to_json(F.struct(message.alias("messages"))).alias("record"))
+    plain = F.to_json(F.struct(F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns")))
+    if not varied:
+        return listed.select("conv_id", plain.alias("record"))
+
+    def record(**fields: Column) -> Column:
+        return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
+
+    system = F.try_element_at("turns", F.lit(1))
+    led = (system["role"] == "system") & (system["text"] != "")
+    spoken = F.when(led, F.slice("turns", 2, F.greatest(F.size("turns") - 1, F.lit(0)))).otherwise(F.col("turns"))
+    dealt = listed.withColumn("led", F.coalesce(led, F.lit(False))).withColumn("spoken", spoken).withColumn("way", F.pmod(F.xxhash64("conv_id"), F.lit(5)))
+    alternates = (F.size("spoken") > 0) & F.forall(F.transform("spoken", lambda t, i: t["role"] == F.when(i % 2 == 0, "user").otherwise("assistant")), lambda x: x)
+    pair = alternates & (F.size("spoken") == 2) & ~F.col("led")
+    asked, answered = F.try_element_at("spoken", F.lit(1))["text"], F.try_element_at("spoken", F.lit(2))["text"]
+    head, rest = F.substring_index(asked, "\n\n", 1), F.expr("substring(spoken[0].text, locate('\n\n', spoken[0].text) + 2)")
+    cut = asked.contains("\n\n") & (head != "") & (rest != "")
+    said = F.transform("spoken", lambda t: F.struct(F.when(t["role"] == "user", "human").otherwise("gpt").alias("from"), t["text"].alias("value")))
+    told = (
+        F.when(pair & (F.col("way") == 0), record(prompt=asked, completion=answered))
+        .when(pair & (F.col("way") == 1), record(question=asked, answer=answered))
+        .when(pair & (F.col("way") == 2) & cut, record(instruction=head, input=rest, output=answered))
+        .when(pair & (F.col("way") == 2), record(instruction=asked, output=answered))
+        .when(alternates & ~F.col("led") & (F.col("way") == 3), record(dialog=F.transform("spoken", lambda t: t["text"])))
+        .when(alternates & F.col("led"), record(system=system["text"], conversations=said))
+        .when(alternates & (F.col("way") < 4), record(conversations=said))
+        .otherwise(plain)
+    )
+    return dealt.select("conv_id", told.alias("record"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

@@ -8,16 +8,32 @@ from pyspark.sql import functions as F
 from corvane.llm.store import discard, materialize
 
 
+#: An id with more than this many neighbours, and more than 1 / MOST of all edges, is a hub; so there are at most 2 * MOST of them.
+HUB, MOST, SALTS = 1_000, 10_000, 64
+
+
+def _hung(edges: DataFrame, least: DataFrame, count: int) -> DataFrame:
+    """Each edge (u, v) with the ``m`` of its u. The edges of hubs, of which there are few, are dealt to SALTS tasks."""
+    hub = F.col("n") > max(HUB, count // MOST)
+    hubs = least.where(hub).select("u", F.lit(SALTS).alias("salts"))
+    dealt = edges.join(F.broadcast(hubs), "u", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("v"), F.col("salts")), F.lit(0)).cast("int"))
+    spread = least.select("u", "m", F.explode(F.when(hub, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    return dealt.join(spread, ["u", "salt"]).select("u", "v", "m")
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step: neighbours (all larger ones, or all smaller ones) are hung on the smallest neighbour."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    count = edges.count()
+    side = both if large else both.where("v < u")
+    least = materialize(side.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n")), "least")
     if large:
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-    down = both.where("v < u")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    hung = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return hung.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        out = _hung(both.where("v > u"), least, count).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    else:
+        out = _hung(side, least, count).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+    out = materialize(out.where("u <> v").distinct(), "edges")
+    discard(least)
+    return out
 
 
 def _unfinished(edges: DataFrame) -> bool:
@@ -28,19 +44,23 @@ def _unfinished(edges: DataFrame) -> bool:
     return not roles.where("child > 1 or child + parent > 1").isEmpty()
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """``edges(u, v)`` -> ``(id, component)``: every id of an edge with the smallest id it can reach.
 
     Self-loops are ignored, repeated edges count once, null ends are dropped, an empty table gives an empty one.
-    Each round is written to the shared folder; no edge passes through the driver.
+    Each step is written to the shared folder; no edge passes through the driver. What is left unfinished after ``rounds`` rounds
+    (their number grows with the logarithm of the longest path) is an error, never a wrong component.
     """
     now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
     now = materialize(now, "edges")
-    for _ in range(rounds):
-        if not _unfinished(now):
-            break
-        new = materialize(_star(_star(now, True), False), "edges")
+    left = rounds
+    while _unfinished(now):
+        if not left:
+            raise RuntimeError(f"components are unfinished after {rounds} rounds")
+        left -= 1
+        large = _star(now, True)
         discard(now)
-        now = new
+        now = _star(large, False)
+        discard(large)
     stars = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return stars.union(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

@@ -1,9 +1,10 @@
 """Benchmark decontamination by template windows: questions are found again with other numbers, names and units.
 
-Numbers, names and units become typed placeholders; windows of five such tokens are joined by hash, and so are the same
-windows as case-folded words without placeholders, as a copy in other capitals has other names. Where a document's
-windows line up with an item's, each filler must map to one filler, and different names to different ones. An item without
-such a window is looked for by its case-folded words alone.
+Numbers (digits or words), names and units become typed placeholders; windows of five such tokens are joined by hash. A word
+that opens a sentence may be a name or not, so its windows come both ways. The same windows come as case-folded words
+without placeholders too, as a copy in other capitals has other names. Where a document's windows line up with an item's, numbers
+are free by their position; each name and unit must map to one, and different names to different ones. An item without such
+a window is looked for by its case-folded words alone.
 """
 
 from __future__ import annotations
@@ -31,17 +32,23 @@ UNITS = (
     "week weeks month months year years dollar dollars euro euros cent cents"
 ).split()
 
+#: Numbers in words, lower case.
+NUMBER_WORDS = (
+    "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
+).split()
+
 _MARKS = np.zeros(256, bool)
 _MARKS[list(b".,;:!?()[]{}\"'`")] = True
 _STOPS = np.zeros(256, bool)
 _STOPS[list(b".!?:\n\r")] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
-_CAPITAL = np.zeros(256, bool)
-_CAPITAL[65:91] = True
+#: Which code points below 0x800 (one and two bytes) are capital letters.
+_CAPITAL = np.array([chr(c).isupper() for c in range(0x800)])
 _NUM, _NAME, _UNIT = tk.stream(21, 3)
-#: The lowest bit of a filler says whether it is a name.
-_LOWEST = tk.U(1)
+#: The two lowest bits of a filler say what it fills: a number (or a word that may be a name), a unit, a name.
+_FREE, _OF_UNIT, _OF_NAME, _KIND = tk.U(0), tk.U(2), tk.U(3), tk.U(3)
 
 
 def _folded_text(texts: pa.Array) -> pa.Array:
@@ -80,64 +87,93 @@ def _trimmed(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
-def _unit_hashes() -> np.ndarray:
-    return np.sort(tk.words(next(tk.slices(pa.array([" ".join(UNITS)])))).hash)
+def _hashes(words: Iterable[str]) -> np.ndarray:
+    return np.sort(tk.words(next(tk.slices(pa.array([" ".join(words)])))).hash)
+
+
+_Lexicon = tuple[np.ndarray, np.ndarray]
+
+
+def lexicon() -> _Lexicon:
+    """Sorted hashes of the units and of the numbers in words."""
+    return _hashes(UNITS), _hashes(NUMBER_WORDS)
 
 
-def templates(s: tk.Slice, texts: pa.Array, units: np.ndarray) -> tuple[tk.Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of a slice, whose texts these are: literal hashes, hashes with placeholders, which tokens are slots, and their fillers."""
+def _filler(word: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """A filler is never 0, which stands for a literal."""
+    return (word & ~_KIND | tk.U(4)) | kind
+
+
+def templates(s: tk.Slice, texts: pa.Array, known: _Lexicon) -> tuple[tk.Words, list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Tokens of a slice, whose texts these are: words, two readings of them as (hashes with placeholders, fillers), and which words open a sentence with a capital.
+
+    The first reading takes opening words as literals, the second takes those with a capital as names that may be any.
+    """
     w = tk.words(tk.Slice(s.first, _trimmed(s.data, s.offs), s.offs))
     w.hash = _folded(s, texts)
     if not len(w.hash):
-        return w, w.hash, np.zeros(0, bool), w.hash
+        return w, [(w.hash, w.hash)] * 2, np.zeros(0, bool)
     stops = np.concatenate([[0], np.cumsum(_STOPS[s.data])])
     opens = np.ones(len(w.hash), bool)
     opens[1:] = (stops[w.start[1:]] > stops[w.end[:-1]]) | (w.row[1:] != w.row[:-1])
     first = s.data[w.start]
     second = s.data[np.minimum(w.start + 1, len(s.data) - 1)]
     wide = w.end - w.start > 1
-    number = _DIGIT[first] | (wide & np.isin(first, np.frombuffer(b"+-$#", np.uint8)) & _DIGIT[second])
+    units, numbers = known
+    number = _DIGIT[first] | (wide & np.isin(first, np.frombuffer(b"+-$#", np.uint8)) & _DIGIT[second]) | np.isin(w.hash, numbers)
     unit = ~number & (np.isin(w.hash, units) | ((first == 0x25) & ~wide))
-    capital = _CAPITAL[first] | (wide & (first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-    name = ~number & ~unit & capital & ~opens
+    point = np.where(first < 0x80, first, np.where((first >= 0xC2) & (first < 0xE0), ((first & 0x1F).astype(np.int64) << 6) | (second & 0x3F), 0))
+    capital = ~number & ~unit & _CAPITAL[point]
+    name, maybe = capital & ~opens, capital & opens
     typed = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, w.hash)))
-    slot = number | unit | name
-    return w, typed, slot, np.where(slot, (w.hash & ~_LOWEST | tk.U(2)) | name, tk.U(0))
+    fill = np.where(number | unit | name, _filler(w.hash, np.where(name, _OF_NAME, np.where(unit, _OF_UNIT, _FREE))), tk.U(0))
+    return w, [(typed, fill), (np.where(maybe, _NAME, typed), np.where(maybe, _filler(w.hash, _FREE), fill))], maybe
+
+
+def _within(flags: np.ndarray) -> np.ndarray:
+    """How many of each window's tokens are flagged."""
+    total, n = np.concatenate([[0], np.cumsum(flags)]), np.zeros(len(flags), np.int64)
+    if len(flags) >= WINDOW:
+        n[: len(flags) - WINDOW + 1] = total[WINDOW:] - total[:-WINDOW]
+    return n
 
 
-def _windows(s: tk.Slice, texts: pa.Array, units: np.ndarray, sizes: Iterable[int] | None = None) -> tuple[np.ndarray, ...]:
+def _windows(s: tk.Slice, texts: pa.Array, known: _Lexicon, sizes: Iterable[int] | None = None) -> tuple[np.ndarray, ...]:
     """Row, place, hash, slot fillers and number of words of the windows of a slice: of items, or of documents if ``sizes`` is given.
 
-    Each window that has enough literal tokens comes with placeholders. Each that has slots comes as plain words too, of a
-    document without fillers: equal words fill the slots as the item does. An item without a window that has enough literals
-    comes as plain words only: all its windows, or all its words where they are fewer than a window has. ``sizes``: numbers
-    of words of such short items, which documents are cut to as well.
+    Each window that has enough literal tokens comes with placeholders, once for each reading that differs. Each that has slots
+    comes as plain words too, of a document without fillers: equal words fill the slots as the item does. An item without a
+    window that has enough literals comes as plain words only: all its windows, or all its words where they are fewer than a
+    window has. ``sizes``: numbers of words of such short items, which documents are cut to as well.
     """
-    w, typed, slot, filler = templates(s, texts, units)
-    g, ok = tk.grams(tk.Words(w.start, w.end, typed, w.ptr), WINDOW)
+    w, readings, maybe = templates(s, texts, known)
     words, whole = tk.grams(w, WINDOW)
-    slots = np.concatenate([[0], np.cumsum(slot)])
-    n = np.zeros(len(ok), np.int64)
-    if len(ok) >= WINDOW:
-        n[: len(ok) - WINDOW + 1] = slots[WINDOW:] - slots[:-WINDOW]
-    ok &= n <= WINDOW - LITERALS
     row, length = w.row, np.diff(w.ptr)
-    wanted = ok | (tk.per_row_sum(ok, w.ptr) == 0)[row] if sizes is None else whole
-    plain = np.flatnonzero(wanted & whole & (n > 0))
-    parts = [(np.flatnonzero(ok), g[ok], WINDOW), (plain, words[plain], WINDOW)]
+    parts: list[tuple[np.ndarray, np.ndarray, int, np.ndarray | None]] = []
+    for reading, (typed, fill) in enumerate(readings):
+        g, ok = tk.grams(tk.Words(w.start, w.end, typed, w.ptr), WINDOW)
+        slots = _within(fill != 0)
+        ok &= slots <= WINDOW - LITERALS
+        if reading == 0:
+            wanted = ok | (tk.per_row_sum(ok, w.ptr) == 0)[row] if sizes is None else whole
+            plain = np.flatnonzero(wanted & whole & (slots > 0))
+        else:
+            ok &= _within(maybe) > 0
+        parts.append((np.flatnonzero(ok), g[ok], WINDOW, fill))
+    parts.append((plain, words[plain], WINDOW, readings[0][1] if sizes is None else None))
     for size in range(1, WINDOW) if sizes is None else sizes:
         short, fits = tk.grams(w, size)
         at = w.ptr[:-1][length == size] if sizes is None else np.flatnonzero(fits)
-        parts.append((at, short[at], size))
+        parts.append((at, short[at], size, None))
     at = np.concatenate([p[0] for p in parts])
-    size = np.concatenate([np.full(len(p[0]), p[2]) for p in parts])
-    fill = np.zeros((len(at), WINDOW), tk.U)
-    told = size == WINDOW
-    if sizes is not None:
-        told[len(parts[0][0]) :] = False
-    for i in range(WINDOW):
-        fill[told, i] = filler[at[told] + i]
-    return row[at], at - w.ptr[:-1][row[at]], np.concatenate([p[1] for p in parts]), fill, size
+    filled = np.zeros((len(at), WINDOW), tk.U)
+    edge = 0
+    for spots, _, _, fill in parts:
+        if fill is not None:
+            for i in range(WINDOW):
+                filled[edge : edge + len(spots), i] = fill[spots + i]
+        edge += len(spots)
+    return row[at], at - w.ptr[:-1][row[at]], np.concatenate([p[1] for p in parts]), filled, np.concatenate([np.full(len(p[0]), p[2]) for p in parts])
 
 
 def _emit(ids: pa.Array, s: tk.Slice, row: np.ndarray, place: np.ndarray, g: np.ndarray, fill: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
@@ -151,10 +187,10 @@ _HITS = "id long, place long, hash long, fill array<long>, size int"
 
 
 def _all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    units = _unit_hashes()
+    known = lexicon()
     for batch in batches:
         for s in tk.slices(batch.column(1)):
-            yield _emit(batch.column(0), s, *_windows(s, batch.column(1).slice(s.first, s.rows), units))
+            yield _emit(batch.column(0), s, *_windows(s, batch.column(1).slice(s.first, s.rows), known))
 
 
 def _noted(windows: DataFrame) -> np.ndarray:
@@ -175,7 +211,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     matched >= coverage * n_windows.
 
     An item without such a window counts its windows of plain words, and one shorter than a window all its words as one.
-    Different numbers or units of an item may become one; different names may not.
+    A number may become any other, wherever it stands; a unit or name becomes one unit or name throughout, and different names
+    stay different, else the windows of that offset don't count.
 
     Null and blank texts and rows without id give no pair; repeated rows give one;
     empty tables an empty one. Only ids and texts are read. Documents' windows are first tried against a bit table of fixed
@@ -187,10 +224,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     sizes = sorted(r.size for r in wanted.select("size").distinct().collect() if r.size < WINDOW)
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _unit_hashes()
+        known = lexicon()
         for batch in batches:
             for s in tk.slices(batch.column(1)):
-                row, place, g, fill, size = _windows(s, batch.column(1).slice(s.first, s.rows), units, sizes)
+                row, place, g, fill, size = _windows(s, batch.column(1).slice(s.first, s.rows), known, sizes)
                 bit = g >> tk.U(64 - TABLE_BITS)
                 hit = (table.value[(bit >> tk.U(5)).astype(np.int64)] >> (bit & tk.U(31)).astype(np.uint32)) & 1 == 1
                 yield _emit(batch.column(0), s, row[hit], place[hit], g[hit], fill[hit], size[hit])
@@ -199,13 +236,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     found = texts.mapInArrow(hits, _HITS).select(F.col("id").alias("doc_id"), "place", "hash", "size", "fill")
     own = wanted.select(F.col("id").alias("item_id"), F.col("place").alias("spot"), "hash", "size", F.col("fill").alias("want"))
     counts = wanted.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("place").alias("n_windows"))
-    met = found.join(own, ["hash", "size"]).withColumn("pairs", F.expr("transform(filter(arrays_zip(want, fill), p -> p.want <> 0), p -> named_struct('want', p.want, 'fill', if(p.fill = 0, p.want, p.fill)))"))
+    met = found.join(own, ["hash", "size"]).withColumn("pairs", F.expr("transform(filter(arrays_zip(want, fill), p -> p.want <> 0), p -> named_struct('want', p.want, 'fill', if(p.fill = 0, p.want, p.fill) & -4L))"))
     lined = met.groupBy("doc_id", "item_id", (F.col("place") - F.col("spot")).alias("shift")).agg(F.collect_set("spot").alias("spots"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
-    names = "filter(pairs, p -> p.want & 1L = 1)"
-    consistent = F.expr(f"size(pairs) = size(array_distinct(pairs.want)) and size({names}) = size(array_distinct({names}.fill))")
+    bound, names = "filter(pairs, p -> p.want & 3L >= 2L)", "filter(pairs, p -> p.want & 3L = 3L)"
+    consistent = F.expr(f"size({bound}) = size(array_distinct({bound}.want)) and size({names}) = size(array_distinct({names}.fill))")
     sound = lined.where(consistent).groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("spots")))).alias("matched"),
-        F.max_by(F.expr("size(filter(pairs, p -> p.want <> p.fill))"), F.struct(F.size("spots"), -F.abs("shift"))).alias("changed"),
+        F.max_by(F.expr("size(filter(pairs, p -> p.want & -4L <> p.fill))"), F.struct(F.size("spots"), -F.abs("shift"))).alias("changed"),
     )
     return sound.join(counts, "item_id").where(F.col("matched") >= coverage * F.col("n_windows")).select("doc_id", "item_id", "n_windows", "matched", "changed")
 

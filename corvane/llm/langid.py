@@ -4,22 +4,40 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.store import discard, materialize
+
 #: Longest n-gram an unseen word backs off to, and the factor that each step back costs.
 LONGEST, BACK_OFF = 4, 0.4
-#: Entries kept per language, the most frequent ones; at most about so many documents of each are learned from, chosen by a hash.
-WORDS, GRAMS, FIT_DOCS = 20_000, 20_000, 5_000
+#: At most about so many documents of each language are learned from, chosen by a hash; what they say once only is not learned.
+FIT_DOCS, SEEN = 5_000, 2
 #: A worker remembers so many words, and those of the text at hand.
 REMEMBERED = 300_000
 
-_WORD = re.compile(r"[^\W\d_]+")
+def _ranges(kinds: str) -> str:
+    """The code points of some general categories (by their first letter), as ranges of a character class."""
+    spans: list[list[int]] = []
+    for c in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(c))[0] in kinds:
+            if spans and spans[-1][1] == c - 1:
+                spans[-1][1] = c
+            else:
+                spans.append([c, c])
+    return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in spans)
+
+
+#: A word is a letter, and letters and marks (vowel signs, accents) that follow it.
+_WORD = re.compile(f"[{_ranges('L')}][{_ranges('LM')}]*")
+_PLAIN = re.compile("[a-z]+")
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -29,7 +47,8 @@ def grams(word: str, n: int) -> list[str]:
 
 
 def tokens(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    low = text.lower()
+    return (_PLAIN if low.isascii() else _WORD).findall(low)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,30 +81,31 @@ def held_out(fold: int = 2, folds: int = 4):
 
 
 class Model:
-    """Log frequencies: ``tables[0]`` of words, ``tables[n]`` of n-grams, each entry with one number per language."""
+    """Log frequencies: ``tables[0]`` of words, ``tables[n]`` of n-grams; an entry has numbers for the languages it was seen in only."""
 
-    def __init__(self, langs: list[str], counts: list[tuple[str, int, str, int]], totals: dict[tuple[str, int], int]):
+    def __init__(self, langs: list[str], counts: Iterable[tuple[str, int, str, int]], totals: dict[tuple[str, int], int]):
         self.langs = langs
         place = {x: i for i, x in enumerate(langs)}
-        self.tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-        self.floor = []
-        for size in range(LONGEST + 1):
-            total = np.array([totals.get((x, size), 0) for x in langs], float) + 1
-            self.floor.append(-np.log(total * 2))
-        raw: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
+        self.totals = [np.array([totals.get((x, size), 0) for x in langs], float) + 1 for size in range(LONGEST + 1)]
+        self.floor = [-np.log(total * 2) for total in self.totals]
+        self.tables: list[dict[str, tuple[int, ...]]] = [{} for _ in range(LONGEST + 1)]
         for lang, size, entry, n in counts:
-            if entry not in raw[size]:
-                raw[size][entry] = np.full(len(langs), 0.5)
-            raw[size][entry][place[lang]] += n
-        for size, table in enumerate(raw):
-            total = np.array([totals.get((x, size), 0) for x in langs], float) + 1
-            self.tables[size] = {k: np.log(v / total) for k, v in table.items()}
+            self.tables[size][entry] = (*self.tables[size].get(entry, ()), place[lang], n)
         self.place: dict[str, int] = {}
         self.rows = np.zeros((1024, len(langs)))
 
+    def _known(self, size: int, entry: str) -> np.ndarray | None:
+        """An entry's log frequency in each language, half a count being what an unseen one has."""
+        seen = self.tables[size].get(entry)
+        if seen is None:
+            return None
+        out, at = self.floor[size].copy(), list(seen[::2])
+        out[at] = np.log((np.array(seen[1::2]) + 0.5) / self.totals[size][at])
+        return out
+
     def word(self, word: str) -> np.ndarray:
         """A known word's log frequencies; else the mean of its n-grams', each backing off to shorter ones where it is unseen."""
-        found = self.tables[0].get(word)
+        found = self._known(0, word)
         return self._backed_off(word) if found is None else found
 
     def _remember(self, word: str) -> int:
@@ -98,7 +118,7 @@ class Model:
 
     def _backed_off(self, word: str) -> np.ndarray:
         for size in range(LONGEST, 0, -1):
-            hits = [x for x in map(self.tables[size].get, grams(word, size)) if x is not None]
+            hits = [x for x in (self._known(size, g) for g in grams(word, size)) if x is not None]
             pieces = len(word) if size == 1 else len(word) + 3 - size
             if len(hits) * 2 > pieces:
                 missing = (pieces - len(hits)) * self.floor[size]
@@ -123,23 +143,24 @@ class Model:
 
 
 def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
-    """Learn from ``docs(doc_id, text, lang)``: counts are made by Spark, the most frequent entries of each language are collected.
+    """Learn from ``docs(doc_id, text, lang)``: counts are made by Spark, entries that were seen twice are collected.
 
-    Every language has the same quota, so that a rare one is learned as well as one that most documents are in.
+    Every language has the same quota, so that a rare one is learned as well as one that most documents are in, and what is
+    collected is bounded by the quota and the number of languages; an entry costs room for the languages that have it only.
     """
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(learning())
     sizes = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model([], [], {})
-    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(1_000_000 * min(1.0, fit_docs / n)))])
-    chosen = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")])
-    counts = chosen.select("lang", "text").mapInArrow(_counted, "lang string, size int, entry string, n long").groupBy("lang", "size", "entry").agg(F.sum("n").alias("n")).persist()
+    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, math.ceil((1 << 62) * min(1.0, fit_docs / n)))])
+    chosen = usable.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 2) < share[F.col("lang")])
+    counts = chosen.select("lang", "text").mapInArrow(_counted, "lang string, size int, entry string, n long").groupBy("lang", "size", "entry").agg(F.sum("n").alias("n"))
+    counts = materialize(counts, "counts")
     totals = {(r.lang, r.size): r.n for r in counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
-    by_count = Window.partitionBy("lang", "size").orderBy(F.col("n").desc(), "entry")
-    top = counts.withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS))
-    kept = [tuple(r) for r in top.select("lang", "size", "entry", "n").toPandas().itertuples(index=False)]
-    counts.unpersist()
-    return Model(sorted(sizes), kept, totals)
+    learned = counts.where(F.col("n") >= SEEN).toArrow()
+    model = Model(sorted(sizes), zip(*(learned.column(c).to_pylist() for c in ("lang", "size", "entry", "n")), strict=True), totals)
+    discard(counts)
+    return model
 
 
 def identify(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:

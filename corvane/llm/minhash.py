@@ -13,19 +13,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.llm import textkit as tk
 from corvane.llm.components import connected_components
-from corvane.llm.store import discard, materialize
+from corvane.llm.store import materialize
 
 SHINGLE = 5
 ROWS, MISSED = 5, 1e-6
 UNIVERSE = 1 << 18
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 400_000
 
-_SKETCH = "doc_id long, n_words long, n_shingles long, key1 long, key2 long, bands array<long>"
+_SKETCH = "doc_id long, text_key binary, n_words long, n_shingles long, key1 long, key2 long, bands array<long>"
 
 
 def bands_for(percent: int) -> int:
@@ -69,8 +69,8 @@ def _sketches(count: int):
                 with np.errstate(over="ignore"):
                     x = _sketch_slice(s, place, rank, count)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(s.first, s.rows), pa.array(x["n_words"]), pa.array(x["n"]), tk.signed(x["key1"]), tk.signed(x["key2"]), tk.list_array(x["bands"].ravel().view(np.int64), x["per_row"])],
-                    names=["doc_id", "n_words", "n_shingles", "key1", "key2", "bands"],
+                    [ids.slice(s.first, s.rows), batch.column(2).slice(s.first, s.rows), pa.array(x["n_words"]), pa.array(x["n"]), tk.signed(x["key1"]), tk.signed(x["key2"]), tk.list_array(x["bands"].ravel().view(np.int64), x["per_row"])],
+                    names=["doc_id", "text_key", "n_words", "n_shingles", "key1", "key2", "bands"],
                 )
 
     return run
@@ -156,6 +156,53 @@ def comparisons(groups: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("id").alias("doc_id"), "component", low["bin"].alias("bin"), low["block"].alias("i"), high["bin"].alias("other"), high["block"].alias("j"), (here > low).cast("int").alias("side"))
 
 
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, text_key, n_shingles, component_id``."""
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sketches = materialize(source.withColumn("text_key", _text_key(F.col("text"))).mapInArrow(_sketches(bands_for(percent)), _SKETCH), "sketches")
+    solid = sketches.where("n_shingles > 0 and doc_id is not null")
+    classes = solid.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"))
+    # A node stands for one text; where a doc_id is the first of several texts, all but one get a number of their own.
+    namesakes = F.row_number().over(Window.partitionBy("rep").orderBy("key1", "key2"))
+    nodes = materialize(classes.withColumn("node", F.when(namesakes == 1, F.col("rep")).otherwise(F.xxhash64("rep", "key1", "key2"))), "nodes")
+
+    firsts = solid.select("doc_id", "key1", "key2", "bands").join(nodes.select("key1", "key2", F.col("rep").alias("doc_id"), "node"), ["key1", "key2", "doc_id"])
+    buckets = firsts.select("node", F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.min("node").alias("v"), F.max("node").alias("top")).where("v < top").drop("top")
+    near = buckets.join(shared, "bucket").select(F.col("node").alias("u"), "v").where("u <> v").distinct()
+    groups = materialize(connected_components(near), "groups")
+
+    dealt = comparisons(groups, nodes.select(F.col("node").alias("id"), "n_shingles"), percent)
+    dealt = dealt.withColumnRenamed("doc_id", "node").join(nodes.select("node", "rep", "key1", "key2"), "node")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        same = np.zeros(len(group), bool)
+        for s in tk.slices(pa.array(group["text"], pa.large_string())):
+            key1, key2 = (k.view(np.int64) for k in tk.sequence_keys(tk.words(s, tk.LOWER_ASCII[s.data]), s.rows))
+            rows = slice(s.first, s.first + s.rows)
+            same[rows] = (key1 == group["key1"].to_numpy()[rows]) & (key2 == group["key2"].to_numpy()[rows])
+        group = group[same].drop_duplicates("node").sort_values(["side", "node"])
+        across = (group["bin"] != group["other"]) | (group["i"] != group["j"])
+        left = int((group["side"] == 0).sum()) if across.any() else None
+        found = spanning_links(group["node"].to_numpy(), shingle_sets(group["text"]), percent, left)
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    shipped = source.withColumnRenamed("doc_id", "rep").join(dealt, "rep")
+    verified = shipped.groupBy("component", "bin", "i", "other", "j").applyInPandas(compare, "u long, v long")
+    linked = connected_components(verified).withColumnsRenamed({"id": "node", "component": "label"}).join(nodes.select("node", "key1", "key2", "rep"), "node")
+    linked = materialize(linked, "linked")
+    named = linked.join(linked.groupBy("label").agg(F.min("rep").alias("first")), "label").select("key1", "key2", "first")
+    return (
+        sketches.join(nodes.select("key1", "key2", "rep"), ["key1", "key2"], "left")
+        .join(named, ["key1", "key2"], "left")
+        .select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.coalesce("first", "rep")).otherwise(F.col("doc_id"))).alias("component_id"))
+    )
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``docs(doc_id, text, ...)`` -> one row per row: ``doc_id, n_shingles, component_id, kept``.
 
@@ -164,39 +211,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     reached and ``kept`` says whether it is the row's own.
 
     Null or blank texts have no shingle and are linked with nothing; a row without doc_id keeps a null component and is
-    kept; repeated rows get the same answer each; an empty table gives an empty one; other columns are not read, so
+    kept; repeated rows get the same answer each; different texts of one doc_id are linked as if they were different documents; an
+    empty table gives an empty one; other columns are not read, so
     their names don't matter. Equal texts are first reduced to one representative, so a group of copies of any size
     costs one row each. Documents that share a band form a candidate group; a large group is cut by size of set, then into
     blocks, and each pair of blocks that can hold a link is compared on its own, so that no task holds more than two blocks.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = materialize(source.mapInArrow(_sketches(bands_for(percent)), _SKETCH), "sketches")
-    solid = sketches.where("n_shingles > 0 and doc_id is not null")
-    classes = solid.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    copies = materialize(classes.where("copies > 1").drop("copies"), "copies")
-    reps = classes.select(F.col("rep").alias("doc_id"))
+    rows = _grouped(docs, percent).drop("text_key")
+    return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
-    buckets = solid.join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("top")).where("v < top").drop("top")
-    near = buckets.join(shared, "bucket").select(F.col("doc_id").alias("u"), "v").where("u <> v").distinct()
-    groups = materialize(connected_components(near), "groups")
-
-    dealt = comparisons(groups, sketches.select(F.col("doc_id").alias("id"), "n_shingles").distinct(), percent)
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("doc_id").sort_values(["side", "doc_id"])
-        across = (group["bin"] != group["other"]) | (group["i"] != group["j"])
-        left = int((group["side"] == 0).sum()) if across.any() else None
-        found = spanning_links(group["doc_id"].to_numpy(), shingle_sets(group["text"]), percent, left)
-        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
-
-    verified = source.join(dealt, "doc_id").groupBy("component", "bin", "i", "other", "j").applyInPandas(compare, "u long, v long")
-    labels = connected_components(verified)
-
-    answer = (
-        sketches.join(copies, ["key1", "key2"], "left")
-        .withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
-        .join(labels.withColumnsRenamed({"id": "rep", "component": "label"}), "rep", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep")).alias("component_id"))
-    )
-    return answer.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+def without_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """``docs`` less the rows that ``near_duplicates`` doesn't keep, by doc_id and text; equal rows stay or go together. Columns stay."""
+    gone = _grouped(docs, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    gone = materialize(gone, "gone")
+    row = docs.select(F.col("doc_id").cast("long").alias("id"), _text_key(F.col("text")).alias("text_key"), F.struct(*docs.columns).alias("row"))
+    return row.join(gone, (F.col("id") == F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left_anti").select("row.*")

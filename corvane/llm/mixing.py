@@ -10,8 +10,8 @@ from corvane.llm.store import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#$%&*|!<>{}@"
 CAP = 3
-#: Keys are dealt to STEPS coarse ranges, and those of the range that a budget ends in to STEPS finer ones.
-STEPS = 512
+#: Keys are dealt to coarse ranges, so many for each factor of two, and those of the range that a budget ends in to STEPS finer ones.
+OCTAVE, STEPS = 32, 512
 
 
 def quality_weight(text: Column, size: Column) -> Column:
@@ -27,8 +27,8 @@ def _drawn(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
     draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(f":{seed}"))), 1, 13), 16, 10).cast("long")
     weight = F.when(F.col("size") > 0, quality_weight(F.col("_text"), F.col("size"))).otherwise(1.0)
     keyed = base.withColumn("key", -F.log((draw + F.lit(0.5)) / F.lit(float(1 << 52))) / weight).drop("_text")
-    reach = (F.lit(1.0) - F.exp(-F.col("key"))) * STEPS
-    coarse = F.least(F.floor(reach), F.lit(STEPS - 1))
+    reach = F.log2("key") * OCTAVE
+    coarse = F.floor(reach)
     return keyed.withColumn("coarse", coarse.cast("int")).withColumn("fine", F.least(F.floor((reach - coarse) * STEPS), F.lit(STEPS - 1)).cast("int"))
 
 
@@ -79,7 +79,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int
 
     Null or blank texts have size 0 and are never taken; null sources are one source, the last; rows of equal doc_id and
     size are told apart by nothing and may be taken in any order; an empty table gives an empty one. Prefix sums run
-    over ranges of keys first, so no task sorts a whole source: only rows of one of 262,144 ranges are ordered singly.
+    over ranges of keys first, so no task sorts a whole source. Ranges are steps of the key's logarithm: a weight only shifts it, so
+    whatever the weights are, a coarse range holds less than 1 % of a source in expectation, and only one finer range of it
+    is ordered singly.
     """
     drawn = materialize(_drawn(docs, seed), "drawn")
     plan = _plan(drawn, weights)

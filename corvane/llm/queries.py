@@ -62,7 +62,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-1, 0, "user", told), (-1, 1, "assistant", told)], "conv_id long, turn long, role string, text string")
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
-    return read_back(format_records(as_records(turns)))
+    return read_back(format_records(as_records(turns, varied=True)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -62,3 +62,25 @@ def test_history(spark):
     assert canonical({**record, "history": ["q1", "a1"]}) is None and canonical({"prompt": "q", "response": "a", "history": ["q1"]}) is None
     out = format_records(spark.createDataFrame([(1, json.dumps(record))], "conv_id int, record string")).collect()
     assert parse(out[0].formatted) == want and len(out[0].mask) == 3
+
+
+def test_varied_layouts_say_the_same(spark):
+    rnd = random.Random(4)
+    text = lambda: rnd.choice(["", "a\n\nb", "\n\nx", "x\n\n", "a\n\nb\n\nc", "é", "</s>", "q \\ r"])
+    rows = []
+    for conv in range(300):
+        roles = rnd.choice([["user", "assistant"], ["user", "assistant"] * 2, ["user"], ["system", "user", "assistant"], ["assistant"], ["User", "model"], [None, "user"], ["system"], ["user", "assistant", "user"]])
+        rows += [(conv, i, role, rnd.choice([text(), None])) for i, role in enumerate(roles)]
+    turns = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, spoken int")
+    records = as_records(turns, varied=True)
+    out = format_records(records).collect()
+    assert len({r.layout for r in out}) >= 7 and all(r.formatted is not None for r in out)
+    want = {c: [(r or "", t or "") for i, _, r, t in rows if i == c] for c in range(300)}
+    assert {r.conv_id: parse(r.formatted) for r in out} == want
+    assert as_records(turns.limit(0), varied=True).collect() == []
+
+
+def test_odd_items_and_roles():
+    assert canonical({"messages": [{"role": "user", "content": "a"}, "b"]}) is None and canonical({"messages": ["a"]}) is None
+    assert canonical({"turns": [{"role": "Human", "text": "a"}]}) == [("Human", "a")]
+    assert canonical({"messages": [{"role": "Human", "content": "a"}]}) == [("user", "a")]

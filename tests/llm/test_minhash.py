@@ -4,7 +4,7 @@ import re
 import pytest
 
 from corvane.llm import minhash
-from corvane.llm.minhash import near_duplicates
+from corvane.llm.minhash import near_duplicates, without_near_duplicates
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,3 +71,14 @@ def test_edges(spark, text):
 
 def test_empty_table(spark):
     assert answer(spark.createDataFrame([], "doc_id long, text string")) == {}
+
+
+def test_texts_of_one_id(spark):
+    """Different texts of one doc_id are linked on their own, and only the text that is a copy goes."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (9, b + " more"), (2, c), (7, c), (2, a), (7, None)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, gone_id int")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df).collect())
+    assert got == sorted([(1, 56, 1, True), (2, 56, 1, False), (2, 56, 2, True), (9, 57, 2, False), (2, 56, 2, True), (7, 56, 2, False), (2, 56, 1, False), (7, 0, 7, True)])
+    left = without_near_duplicates(df)
+    assert left.columns == df.columns and sorted((r.doc_id, r.text or "") for r in left.collect()) == sorted([(1, a), (2, b), (2, c), (7, "")])
