@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm.decontam import without_contaminated
-from corvane.llm.minhash import near_duplicates
+from corvane.llm.minhash import without_near_duplicates
 from corvane.llm.mixing import mix_sources
 from corvane.llm.quality import keep_good
 from corvane.llm.store import materialize
@@ -24,8 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the first, of each group of near duplicates."""
-    gone = materialize(near_duplicates(docs, percent=80).where("not kept").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without_near_duplicates(docs, percent=80)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,9 +38,14 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes: the document's columns, its size and how many of its words go in, repeats counted."""
+    """What the mix takes: the document's columns, its size and how many of its words go in, repeats counted.
+
+    A column of the documents keeps its name; one of the mix that would clash with it gets the prefix "mix_".
+    """
     taken = mix_sources(docs, carry=True).where("taken > 0")
-    return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns], "size", "source_size", "target", "taken")
+    own = {c.lower() for c in docs.columns}
+    told = [F.col(c).alias(f"mix_{c}" if c in own else c) for c in ("size", "source_size", "target", "taken")]
+    return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns], *told)
 
 
 STAGES = [
