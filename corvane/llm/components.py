@@ -5,22 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.skew import join_hot
 from corvane.llm.store import discard, materialize
 
 
-#: An id with more than this many neighbours, and more than 1 / MOST of all edges, is a hub; so there are at most 2 * MOST of them.
-HUB, MOST, SALTS = 1_000, 10_000, 64
-
-
-def _hung(edges: DataFrame, least: DataFrame, count: int) -> DataFrame:
-    """Each edge (u, v) with the ``m`` of its u. The edges of hubs, of which there are few, are dealt to SALTS tasks."""
-    hub = F.col("n") > max(HUB, count // MOST)
-    hubs = least.where(hub).select("u", F.lit(SALTS).alias("salts"))
-    dealt = edges.join(F.broadcast(hubs), "u", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("v"), F.col("salts")), F.lit(0)).cast("int"))
-    spread = least.select("u", "m", F.explode(F.when(hub, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
-    return dealt.join(spread, ["u", "salt"]).select("u", "v", "m")
-
-
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step: neighbours (all larger ones, or all smaller ones) are hung on the smallest neighbour."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,9 +16,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     side = both if large else both.where("v < u")
     least = materialize(side.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n")), "least")
     if large:
-        out = _hung(both.where("v > u"), least, count).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        out = join_hot(both.where("v > u"), least, ["u"], "v", 2 * count).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        out = _hung(side, least, count).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        out = join_hot(side, least, ["u"], "v", count).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
     out = materialize(out.where("u <> v").distinct(), "edges")
     discard(least)
     return out

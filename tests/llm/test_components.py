@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from corvane.llm import components
+from corvane.llm import skew
 from corvane.llm.components import connected_components
 
 
@@ -16,7 +16,7 @@ def brute(edges):
 
 @pytest.mark.parametrize("hub", [1000, 3])
 def test_against_brute_force(spark, monkeypatch, hub):
-    monkeypatch.setattr(components, "HUB", hub)
+    monkeypatch.setattr(skew, "HOT", hub)
     rnd = random.Random(hub)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(160)] + [(1000, 1001 + i) for i in range(60)] + [(2000 + i, 2001 + i) for i in range(40)] + [(5, 5)]
     want = brute([e for e in edges if e[0] != e[1]])

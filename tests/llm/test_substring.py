@@ -71,3 +71,51 @@ def test_texts(spark):
 def test_partitioning_does_not_matter(spark, parts):
     df = spark.read.parquet(f"{SF}/documents.parquet").limit(80)
     assert answer(df.repartition(parts)) == brute([(r.doc_id, r.text) for r in df.collect()])
+
+
+def test_texts_of_one_id(spark):
+    """Rows are told apart by id and text: each loses its own repeats."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (2, f"{a} tail"), (2, f"other {b}"), (2, "plain text"), (3, f"{b} end"), (2, f"{a} tail")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, kept int")
+    left = without_repeats(df)
+    assert left.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted([(1, a), (2, "tail"), (2, f"other {b}"), (2, "plain text"), (3, "end"), (2, "tail")])
+
+
+@pytest.mark.parametrize("limit", [0, 2000, 1_000_000])
+def test_large_groups_are_split_by_longer_prefixes(spark, monkeypatch, limit):
+    """Trees in memory, nodes of whole windows, and both give the same."""
+    from corvane.llm import substring
+
+    monkeypatch.setattr(substring, "GROUP_WORDS", limit)
+    monkeypatch.setattr(substring, "BATCH_BYTES", 20_000)
+    rnd = random.Random(9)
+    word = lambda: "w" + str(rnd.randrange(300))
+    shared = [[word() for _ in range(n)] for n in (50, 55, 90, 200)] + [["again"] * 70, ["x", "y"] * 40]
+    rows = []
+    for i in range(150):
+        w = []
+        for _ in range(rnd.randrange(1, 4)):
+            p = rnd.choice(shared)
+            cut = rnd.randrange(0, max(1, len(p) - 45))
+            w += [word() for _ in range(rnd.randrange(0, 40))] + p[cut:]
+        rows.append((i, " ".join(w)))
+    assert answer(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
+
+
+def test_a_tree_against_brute_force():
+    import numpy as np
+    import pyarrow as pa
+
+    from corvane.llm.substring import _nodes, _tree
+
+    rnd = random.Random(1)
+    rows = [[rnd.randrange(1, 3) for _ in range(8)] for _ in range(200)]
+    group = np.array([rnd.randrange(3) for _ in rows])
+    tree = _tree(group, np.array(rows))
+    for depth in range(9):
+        node = _nodes(tree, depth)
+        for i in range(0, 200, 7):
+            for j in range(200):
+                assert (node[i] == node[j]) == (group[i] == group[j] and rows[i][:depth] == rows[j][:depth])
