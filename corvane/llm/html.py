@@ -1,10 +1,10 @@
 """Main text of web pages by wrappers: union-free regular expressions inferred for each host.
 
 A page is a stream of tags and texts. Tandem repeats in it fold into repeated groups; streams of one host are then aligned one
-after another, and what only some of them have becomes optional. Texts are slots of the wrapper, or fixed texts where
-(almost) all distinct pages of the host agree on them. Kinds of containers are counted over the host's pages, as ids and classes may be
-a page's own; the kind that half of them have is the main one. The slots below such containers, without the template's texts,
-menus, forms, notices and the like, are the main text.
+after another, and what only some of them have becomes optional. Ids, and classes with numbers, are a page's own and take no part.
+The wrapper says where the article is: of the containers that are no part of a repeated group (lists of teasers or remarks
+are), the most telling that at least half of the pages have. A page is read by that place in its host's wrapper: its main text are
+the text slots below it, without menus, forms, notices and the like.
 """
 
 from __future__ import annotations
@@ -13,8 +13,10 @@ import hashlib
 import html
 import json
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
+from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
@@ -32,9 +34,15 @@ NEVER = set("head nav footer aside form button select option input label fieldse
 OUTSIDE = set(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe subscription signup login paywall sidebar widget widgets related recommended recommendations share sharing social comment comments commentlist reply "
-    "replies respond disqus menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar skip hidden".split()
+    "replies respond disqus discussion feedback responses talkback menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar skip hidden".split()
+)
+REMARKS = set("comment comments commentlist reply replies respond disqus discussion feedback responses talkback".split())
+#: Words that may stand beside those in a class or an id: "share-box" is a frame, "share-price" is not.
+BESIDE = set(
+    "area article bar big block body bottom box btn button buttons card cards col column container content counter desktop entry fixed footer form global group head header holder icon icons inline inner "
+    "item items js l label large left link links list main media message mobile module nav outer page pane panel post posts primary r right row secondary section site slot small sticky story strip tab "
+    "tabs tag tags text thread title tool tools top unit user view wrap wrapper zone".split()
 )
-REMARKS = set("comment comments commentlist reply replies respond disqus".split())
 #: Words in a class or an id of a main container, where no element says so.
 INSIDE = set("article articlebody post postbody entry story content maincontent bodytext text".split())
 KINDS = ("article", "main", "class", "body")
@@ -52,48 +60,75 @@ _PART = re.compile(r"[^a-z0-9]+")
 
 
 class _Element:
-    __slots__ = ("key", "kind", "name", "skip")
+    __slots__ = ("framed", "key", "kind", "name", "path", "skip")
+
+    def __init__(self, name: str, key: str, path: str, skip: str, kind: str, framed: bool):
+        self.name, self.key, self.path, self.skip, self.kind, self.framed = name, key, path, skip, kind, framed
+
+
+class Block(NamedTuple):
+    """A text of a page: kinds and places of the main containers around it, whether a frame is around these, its path and the text."""
+
+    kinds: frozenset[str]
+    places: frozenset[str]
+    framed: bool
+    path: str
+    text: str
+
 
-    def __init__(self, name: str, key: str, skip: str, kind: str):
-        self.name, self.key, self.skip, self.kind = name, key, skip, kind
+def _telling(value: str) -> set[str]:
+    """The outside words of a class or an id list: those of names that say nothing else."""
+    found: set[str] = set()
+    for name in value.split():
+        parts = {x for x in _PART.split(name) if x and not x.isdigit()}
+        told = parts & OUTSIDE
+        if told and parts - told <= BESIDE:
+            found |= told
+    return found
 
 
-def _element(name: str, attrs: str, parent: _Element | None, inside: bool) -> _Element:
-    """An opened element: its key, whether (and why) its texts are skipped, and which kind of main container it is."""
+def _element(name: str, attrs: str, parent: _Element | None, inside: bool, within: bool) -> _Element:
+    """An opened element: its key, whether (and why) its texts are skipped, and which kind of main container it is.
+
+    ``inside``, ``within``: whether a main container, and whether an article, is open around it. An article in an article is a remark.
+    """
     parts: set[str] = set()
+    outside: set[str] = set()
     key, hidden, role = name, False, ""
     for a, value in _ATTRIBUTE.findall(attrs) if attrs else ():
         a, value = a.lower(), value.strip("\"'").lower()
         if a in ("class", "id", "itemprop"):
             parts.update(_PART.split(value))
-            key += f".{value}" if a == "class" else f"#{value}" if a == "id" else ""
+            outside |= _telling(value)
+            if a == "class":
+                key += "".join(f".{c}" for c in value.split() if not any(x.isdigit() for x in c))
         elif a == "role":
             role = value
         elif a == "hidden" or (a == "aria-hidden" and value == "true") or (a == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             hidden = True
-    parts.discard("")
-    before = parent.skip if parent else ""
+    before, framed = (parent.skip, parent.framed) if parent else ("", False)
     container = name in ("article", "main") or role == "main"
     if hidden:
         skip = "hidden"
     elif container:
-        skip = "remarks" if parts & REMARKS else "" if before == "frame" else before
+        skip = "remarks" if outside & REMARKS or (name == "article" and within) else "" if before == "frame" else before
+        framed = framed or before == "frame"
     elif before:
         skip = before
     elif name in NEVER or (name == "header" and not inside) or role in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
         skip = "frame"
-    elif name not in ("html", "body") and parts & OUTSIDE:
-        skip = "remarks" if parts & REMARKS else "frame"
+    elif name not in ("html", "body") and outside:
+        skip = "remarks" if outside & REMARKS else "frame"
     else:
         skip = ""
     kind = "article" if name == "article" else "main" if container else "body" if name == "body" else "class" if name in ("div", "section", "td") and parts & INSIDE else ""
-    return _Element(name, key, skip, "" if skip else kind)
+    return _Element(name, key, f"{parent.path}/{key}" if parent else key, skip, "" if skip else kind, framed)
 
 
-def scan(page: str) -> tuple[list[tuple[str, str]], list[tuple[frozenset[str], str, str]]]:
-    """A page's token stream for inference, and its blocks: (main containers around it, path, text)."""
+def scan(page: str) -> tuple[list[tuple[str, str]], list[Block]]:
+    """A page's token stream for inference, and its blocks."""
     stream: list[tuple[str, str]] = []
-    blocks: list[tuple[frozenset[str], str, str]] = []
+    blocks: list[Block] = []
     stack: list[_Element] = []
     pieces: list[str] = []
 
@@ -103,10 +138,11 @@ def scan(page: str) -> tuple[list[tuple[str, str]], list[tuple[frozenset[str], s
             pieces.clear()
             if text:
                 top = stack[-1] if stack else None
-                path = "/".join(e.key for e in stack)
+                path = top.path if top else ""
                 stream.append(("#", path))
                 if not (top and top.skip):
-                    blocks.append((frozenset(e.kind for e in stack if e.kind), path, text))
+                    main = [e for e in stack if e.kind]
+                    blocks.append(Block(frozenset(e.kind for e in main), frozenset(e.path for e in main), bool(top and top.framed), path, text))
 
     def say(raw: str) -> None:
         if raw:
@@ -157,30 +193,35 @@ def scan(page: str) -> tuple[list[tuple[str, str]], list[tuple[frozenset[str], s
         if name in VOID or m["attrs"].endswith("/"):
             stream.append(("=", name))
             continue
-        element = _element(name, m["attrs"], stack[-1] if stack else None, any(e.kind in ("article", "main") for e in stack))
+        element = _element(name, m["attrs"], stack[-1] if stack else None, any(e.kind in ("article", "main") for e in stack), any(e.kind == "article" for e in stack))
         stack.append(element)
-        stream.append((f"<{element.kind}", element.key))
+        stream.append(("<" if element.framed else f"<{element.kind}", element.key))
     flush()
     return stream, blocks
 
 
 def folded(stream: list[tuple[str, str]]) -> list[str]:
-    """The stream with tandem repeats folded: repeated tokens once, marked with a plus sign."""
+    """The stream with tandem repeats folded: repeated tokens once, marked with a plus sign. A page of over a million kinds of tokens isn't folded."""
     code: dict[tuple[str, str], str] = {}
-    back: list[str] = []
+    back: dict[str, str] = {}
     chars = []
     for kind, key in stream:
         token = (kind, "" if kind == "#" else key)
         if token not in code:
-            code[token] = chr(0x100 + len(code)) if len(code) < 0xD000 else "￿"
-            back.append(f"{token[0]}{token[1]}")
+            n = 0x100 + len(code)
+            if n >= 0xD800:
+                n += 0x800
+            if n > sys.maxunicode:
+                return [f"{k}{'' if k == '#' else t}" for k, t in stream]
+            code[token] = chr(n)
+            back[code[token]] = f"{token[0]}{token[1]}"
         chars.append(code[token])
     text, out, at = "".join(chars), [], 0
     for m in _LOOP.finditer(text):
         out += [(c, "") for c in text[at : m.start()]] + [(c, "+") for c in m[1]]
         at = m.end()
     out += [(c, "") for c in text[at:]]
-    return [back[ord(c) - 0x100] + more for c, more in out if c != "￿"]
+    return [back[c] + more for c, more in out]
 
 
 Wrapper = list[list]
@@ -233,13 +274,40 @@ def main_kind(pages: str, has: dict[str, str]) -> F.Column:
     return F.coalesce(*[F.when(2 * F.col(has[kind]) >= F.col(pages), kind) for kind in KINDS], F.lit("body"))
 
 
-def chosen(blocks: list[tuple[frozenset[str], str, str]], kind: str) -> list[tuple[str, str]]:
-    """The blocks in main containers of that kind, or of the next telling one that the page has; without any, all blocks."""
-    for k in (kind, *KINDS):
-        own = [(path, text) for kinds, path, text in blocks if k in kinds]
+def main_place(wrapper: Wrapper, pages: int) -> str:
+    """Where the article is: the path of the most telling container that half of the pages have and that is in no repeated group."""
+    open_: list[tuple[str, bool]] = []
+    found: dict[tuple[int, str], int] = {}
+    kinds = {f"<{kind}": i for i, kind in enumerate(KINDS)}
+    for token, many, n in wrapper:
+        if token.startswith("<"):
+            mark = next((m for m in kinds if token.startswith(m) and token != m), "<")
+            key = token.removeprefix(mark)
+            path = f"{open_[-1][0]}/{key}" if open_ else key
+            repeated = many or bool(open_ and open_[-1][1])
+            if mark in kinds and not repeated:
+                found[kinds[mark], path] = found.get((kinds[mark], path), 0) + n
+            open_.append((path, repeated))
+        elif token.startswith("/"):
+            for i in range(len(open_) - 1, -1, -1):
+                if open_[i][0].rsplit("/", 1)[-1] == token[1:]:
+                    del open_[i:]
+                    break
+    usual = [(kind, -n, path) for (kind, path), n in found.items() if 2 * n >= pages]
+    return min(usual)[2] if usual else ""
+
+
+def chosen(blocks: list[Block], kind: str, place: str = "") -> list[tuple[str, str]]:
+    """The blocks at the wrapper's place for the article; without it, in main containers of that kind, or of the next telling one that the page has; without any, all.
+
+    Containers in a frame count only where the page has none outside.
+    """
+    for k in (place, kind, *KINDS):
+        own = [b for b in blocks if k and k in (b.places if k == place else b.kinds)]
         if own:
-            return own
-    return [(path, text) for _, path, text in blocks]
+            free = [b for b in own if not b.framed]
+            return [(b.path, b.text) for b in free or own]
+    return [(b.path, b.text) for b in blocks]
 
 
 def _number(*parts: str) -> int:
@@ -256,7 +324,7 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             stream, blocks = scan(page.as_py())
             own = chosen(blocks, KINDS[0])
-            rows.append((host, "\n".join(folded(stream)), _number(*(t for _, t in own)), sorted({_number(p, t) for p, t in own}), sorted({k[1:] for k, _ in stream if k[0] == "<"} & set(KINDS))))
+            rows.append((host, "\n".join(folded(stream)), _number(*(t for _, t in own)), sorted({_number(p, t) for p, t in own}), sorted({kind for b in blocks if not b.framed for kind in b.kinds} or {kind for b in blocks for kind in b.kinds})))
         if rows:
             kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "stream", "content", "texts", "kinds"])
@@ -284,11 +352,13 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
         part = json.loads(text)
         wrapper = align(wrapper, part) if wrapper else part
     pages = int(group["pages"].sum())
-    return pd.DataFrame([(group["host"].iloc[0], expression(wrapper, pages), pages)], columns=["host", "expression", "pages"])
+    return pd.DataFrame([(group["host"].iloc[0], expression(wrapper, pages), main_place(wrapper, pages), pages)], columns=["host", "expression", "place", "pages"])
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """``pages(url, html, ...)`` -> ``host, expression, main, pages, fixed``: a wrapper for each host, from all its pages.
+    """``pages(url, html, ...)`` -> ``host, expression, place, main, pages, fixed``: a wrapper for each host, from all its pages.
+
+    ``place`` is the path of its article, ``main`` the kind of container that most of the pages have.
 
     ``fixed`` lists hashes of (path, text) that are the template's own. Equal streams are folded once, with their number;
     a host's streams are dealt to ``SALTS`` parts, each folded in a stream, whose wrappers are then aligned.
@@ -298,41 +368,45 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     counted = seen.groupBy("host", "stream").agg(F.count("*").alias("n"))
     dealt = counted.withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(SALTS))).repartition("host", "salt").sortWithinPartitions("host", "stream")
     parts = dealt.select("host", "stream", "n").mapInArrow(_partial, "host string, wrapper string, pages long")
-    wrappers = parts.groupBy("host").applyInPandas(_merged, "host string, expression string, pages long")
+    wrappers = parts.groupBy("host").applyInPandas(_merged, "host string, expression string, place string, pages long")
     has = {kind: f"has_{kind}" for kind in KINDS}
     kinds = seen.groupBy("host").agg(F.count("*").alias("n"), *[F.sum(F.array_contains("kinds", kind).cast("long")).alias(c) for kind, c in has.items()])
     wrappers = wrappers.join(kinds.select("host", main_kind("n", has).alias("main")), "host")
 
-    distinct = seen.groupBy("host", "content").agg(F.first("texts").alias("texts"))
+    distinct = seen.groupBy("host", "content").agg(F.min("texts").alias("texts"))
     total = distinct.groupBy("host").agg(F.count("*").alias("distinct_pages"))
     often = distinct.select("host", F.explode("texts").alias("text")).groupBy("host", "text").agg(F.count("*").alias("n")).where(F.col("n") >= FIXED_PAGES)
     fixed = often.join(total, "host").where(F.col("n") >= FIXED_SHARE * F.col("distinct_pages")).groupBy("host").agg(F.sort_array(F.collect_list("text")).alias("fixed"))
-    return wrappers.join(fixed, "host", "left").select("host", "expression", "main", "pages", "fixed")
+    return wrappers.join(fixed, "host", "left").select("host", "expression", "place", "main", "pages", "fixed")
 
 
-def main_text(page: str, kind: str, fixed: Iterable[int] = ()) -> str:
-    """The main text of a page: its blocks in the host's main container that the template doesn't hold itself."""
+def main_text(page: str, kind: str, fixed: Iterable[int] = (), place: str = "") -> str:
+    """The main text of a page: its blocks at the wrapper's place for the article, or in the host's main kind of container, that the template doesn't hold itself."""
     fixed = set(fixed)
-    own = chosen(scan(page)[1], kind)
+    own = chosen(scan(page)[1], kind, place)
     return "\n".join(t for p, t in own if not fixed or _number(p, t) not in fixed)
 
 
-def extract_main_text(pages: DataFrame) -> DataFrame:
+def extract_main_text(pages: DataFrame, keep_fixed: bool = False) -> DataFrame:
     """One row per row of ``pages(page_id, url, html, ...)``: ``page_id, url, text, n_chars``.
 
+    ``keep_fixed``: texts of the article stay though all pages of the host have them there.
+
     Character references are decoded, white space in a block is one blank, blocks are joined by line ends. A null or empty html
     gives an empty text; null and odd urls share one host; repeated rows come out repeated; an empty table
     gives an empty one; other columns are not read. Wrappers are joined by host: Spark broadcasts them while
     their table is small, and shuffles beyond that.
     """
-    wrappers = materialize(infer_wrappers(pages).select("host", "main", "fixed"), "wrappers")
+    told = ["host", "place", "main", *([] if keep_fixed else ["fixed"])]
+    wrappers = materialize(infer_wrappers(pages).select(*told), "wrappers")
     source = pages.select("page_id", "url", _host(F.col("url").cast("string")).alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h.as_py(), k or KINDS[0], f or ()) for h, k, f in zip(batch.column("html"), batch.column("main").to_pylist(), batch.column("fixed").to_pylist(), strict=True)]
+            where = [batch.column(c).to_pylist() for c in told[1:]]
+            texts = [main_text(h.as_py(), k or KINDS[0], f[0] or () if f else (), p or "") for h, p, k, *f in zip(batch.column("html"), *where, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.select("page_id", "url").schema}
-    joined = source.join(wrappers, "host", "left").select("page_id", "url", "html", "main", "fixed")
+    joined = source.join(wrappers, "host", "left").select("page_id", "url", "html", *told[1:])
     return joined.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")

@@ -23,7 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_main_text(_table(spark, sf_dir, "pages"))
+    return extract_main_text(_table(spark, sf_dir, "pages"), keep_fixed=True)
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
