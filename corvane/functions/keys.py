@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,3 +88,20 @@ def row_key(row_id: Column, *columns: Column) -> Column:
 def detail_key(ids: list[Column], values: list[Column]) -> Column:
     """The first id that is there, else all values joined."""
     return F.coalesce(*[F.nullif(empty_if_null(c), F.lit("")) for c in ids], F.concat_ws("|", *[empty_if_null(v) for v in values]))
+
+
+def folder_digests(files: DataFrame) -> DataFrame:
+    """``files(folder, path, sha256)`` -> ``folder, files, digest``: equal for folders that hold the same files at the same relative paths.
+
+    A folder is one document's, so its files are listed in one row.
+    """
+    inside = F.substring(F.col("path"), F.length("folder") + 2, F.length("path"))
+    lines = F.array_sort(F.collect_list(F.struct(inside.alias("path"), F.col("sha256"))))
+    return files.groupBy("folder").agg(F.count("*").alias("files"), F.sha2(F.array_join(F.transform(lines, lambda f: F.concat(f["path"], F.lit("\t"), f["sha256"])), "\n"), 256).alias("digest"))
+
+
+def stored_files(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
+    """Files below a folder with their content digests: ``folder`` (the first ``depth`` levels), ``path`` and ``sha256``."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    below = F.regexp_extract("path", rf"{re.escape(root.removeprefix('file:').rstrip('/'))}/(.*)$", 1)
+    return read.select(F.substring_index(below, "/", depth).alias("folder"), below.alias("path"), F.sha2("content", 256).alias("sha256"))

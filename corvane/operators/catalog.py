@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corvane.functions.dates import parse_date
 from corvane.functions.keys import DOCUMENT_KEY, KEY_VERSION, PRODUCT_KEY, SHA256
+from corvane.functions.status import only_if_available, proven_file_state, sale_state
 
 #: Column groups of a catalog row.
 SEEN = ("product_version_key", "collector_type", "company_name", "product_category", "source_product_id", "product_name", "product_name_normalized", "last_seen_run_id", "last_seen_at")
@@ -194,3 +196,58 @@ def inspect(catalog: DataFrame) -> DataFrame:
 def status_pairs(catalog: DataFrame) -> DataFrame:
     """Documents by file state and last attempt."""
     return catalog.groupBy("file_status", F.coalesce("last_attempt_status", F.lit("NONE")).alias("last_attempt_status")).agg(F.count("*").alias("documents"))
+
+
+def company_counts(catalog: DataFrame) -> DataFrame:
+    """Documents of each company, and how many of them have their file."""
+    return catalog.groupBy("company_code").agg(F.count("*").alias("documents"), F.count_if(F.col("file_status") == "AVAILABLE").alias("available"))
+
+
+def point_lookup(catalog: DataFrame, key: str) -> DataFrame:
+    """The catalog row of one document, or none."""
+    return catalog.where(F.col("document_key") == key).limit(1)
+
+
+def bulk_lookup(keys: DataFrame, catalog: DataFrame) -> DataFrame:
+    """``keys(document_key, ...)`` with the catalog row of each as ``row``, and whether there is one."""
+    known = catalog.select("document_key", F.struct(*catalog.columns).alias("row"))
+    return keys.join(known, "document_key", "left").withColumn("found", F.col("row").isNotNull())
+
+
+def store(catalog: DataFrame, path: str) -> None:
+    """The catalog filed by company, so that a company's documents are read without the others'."""
+    catalog.write.mode("overwrite").partitionBy("company_code").parquet(path)
+
+
+def of_company(spark: SparkSession, path: str, code: str) -> DataFrame:
+    """A stored catalog's documents of one company; only its folder is read."""
+    return spark.read.schema(SCHEMA).parquet(path).where(F.col("company_code") == code)
+
+
+def record_payloads(records: DataFrame) -> DataFrame:
+    """Collected records as the columns of catalog events: ``record_id, operation`` and what the record says, blank texts being null.
+
+    Where a record is silent its version speaks, whose columns begin with ``version_``, or its document (``link_``). Columns that the
+    table lacks count as blank. File state, and with it run id and clock of the download, follow from the attempt and its evidence.
+    """
+
+    def said(*names: str) -> Column:
+        return F.coalesce(*[F.nullif(F.trim(F.col(n).cast("string")), F.lit("")) for n in names if n in records.columns], F.lit(None).cast("string"))
+
+    def own(name: str) -> Column:
+        return said(name, f"version_{name}", f"link_{name}")
+
+    attempt, path, digest, run = F.upper(said("download_status")), said("saved_relative_path"), F.lower(said("sha256")), said("run_id")
+    state = proven_file_state(F.coalesce(attempt, F.lit("")), path, digest)
+    name = own("product_name_raw")
+    told = {
+        "document_key": said("document_key"), "product_version_key": said("product_version_key"), "company_code": own("company_code"), "company_name": own("company_name"), "product_category": own("product_category"),
+        "source_product_id": own("source_product_id"), "product_name": name, "product_name_normalized": F.coalesce(said("product_name_normalized"), name),
+        "sale_status": sale_state(said("normalized_sale_status", "sale_status", "version_normalized_sale_status")), "sale_status_raw": said("source_sale_status", "sale_status", "version_sale_status"),
+        "sale_start_date": parse_date(own("sale_start_date")), "sale_end_date": parse_date(own("sale_end_date")), "status_missing_count": F.coalesce(said("status_missing_count").try_cast("int"), F.lit(0)),
+        "document_date": parse_date(own("target_date")), "document_date_basis": own("date_basis"), "document_type": own("document_type"), "document_label": own("document_label"), "source_page_url": own("source_page_url"),
+        "document_url": own("document_url"), "original_filename": own("original_filename"), "saved_relative_path": path, "file_size": F.nullif(said("file_size").try_cast("bigint"), F.lit(0)), "sha256": digest, "file_status": state,
+        "last_attempt_status": attempt, "error_message": said("error_message"), "downloaded_at": F.try_to_timestamp(only_if_available(state, said("downloaded_at"))), "last_seen_run_id": run,
+        "last_download_run_id": only_if_available(state, run), "last_status_run_id": said("status_run_id"), "identity_version": F.lit(KEY_VERSION).cast("smallint"),
+    }
+    return records.select("record_id", F.when(attempt.isNull(), "upsert_seen").otherwise("upsert_result").alias("operation"), *[c.alias(n) for n, c in told.items()])

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.plans import records, versions
+from corvane.plans import feeds, records, versions
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**versions.QUERIES, **records.QUERIES}
-ORACLES: dict[str, str] = {**versions.ORACLES, **records.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**versions.QUERIES, **records.QUERIES, **feeds.QUERIES}
+ORACLES: dict[str, str] = {**versions.ORACLES, **records.ORACLES, **feeds.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

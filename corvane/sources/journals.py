@@ -115,3 +115,20 @@ def write_records(path: str, **tables: DataFrame) -> None:
     for name, df in tables.items():
         df.write.mode("overwrite").json(f"{path}/{name}")
 
+
+
+#: Records of an extractor by kind: what it says about pages, their lines, table candidates, images and warnings.
+RECORDS = {
+    "pages": "doc_id string, page_no int, width double, height double, text_raw string, extraction_failed boolean",
+    "lines": "doc_id string, page_no int, line_no int, text string, x0 double, top double, x1 double, bottom double",
+    "tables": "doc_id string, page_no int, candidate_index int, bbox array<double>, rows array<array<string>>",
+    "images": "doc_id string, page_no int, x0 double, top double, x1 double, bottom double, pixel_width int, pixel_height int, sha256 string",
+    "warnings": "doc_id string, code string, page_no int, message string",
+}
+
+
+def read_records(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Records of a kind, and the lines that aren't such records: no object, a value of another type, or no document."""
+    told = spark.read.schema(f"{RECORDS[kind]}, _bad string").option("columnNameOfCorruptRecord", "_bad").json(f"{path}/{kind}")
+    good = F.col("_bad").isNull() & F.col("doc_id").isNotNull()
+    return told.where(good).drop("_bad"), told.where(~good).select(F.coalesce("_bad", F.to_json(F.struct(*[c for c in told.columns if c != "_bad"]))).alias("line"))
