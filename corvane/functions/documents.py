@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corvane.functions.text import empty_if_null
+from corvane.functions.text import empty_if_null, let
 
 #: Keywords of the kinds, kinds in order, and words of documents that are left out.
 KEYWORDS = {
@@ -38,10 +38,13 @@ def classify(label: Column, filename: Column) -> Column:
     rules = sorted(((_squeezed(k), kind) for kind, words in KEYWORDS.items() for k in words), key=lambda r: -len(r[0]))
 
     def kind_of(text: Column) -> Column:
-        bare, kind = compact(text), F.when(F.lit(False), F.lit(None).cast("string"))
-        for keyword, name in rules:
-            kind = kind.when(bare.contains(keyword), name)
-        return kind
+        def told(bare: Column) -> Column:
+            kind = F.when(F.lit(False), F.lit(None).cast("string"))
+            for keyword, name in rules:
+                kind = kind.when(bare.contains(keyword), name)
+            return kind
+
+        return let(compact(text), told)
 
     return F.coalesce(kind_of(label), kind_of(filename), F.lit(UNKNOWN))
 

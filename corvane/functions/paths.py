@@ -16,12 +16,22 @@ FILE_NAME = max(map(len, LABELS.values())) + len(".hwpx")
 DOCUMENT_ENDS = r"(?i)\.(pdf|doc|docx|hwp|txt|xlsx|xls)$"
 
 
-def version_dir(root: Column, storage: Column, state: Column, target: Column, product: Column, composed: bool = True) -> Column:
-    """The folder of a product version; the product's name is cut so that the path stays within its limit."""
-    month = F.concat_ws("/", root, storage_name(storage, composed=composed), F.coalesce(F.date_format(target, "yyyy/MM"), F.lit(UNDATED)))
+def product_folder(product: Column, composed: bool = True) -> Column:
+    """A product's name as part of a path, of any length."""
+    return storage_name(F.coalesce(F.nullif(product, F.lit("")), F.lit("상품")), 10_000, composed)
+
+
+def version_dir(root: Column, storage: Column, state: Column, target: Column, product: Column, composed: bool = True, stored: bool = False) -> Column:
+    """The folder of a product version; the product's name is cut so that the path stays within its limit.
+
+    ``stored``: company and product come as ``storage_name`` and ``product_folder`` give them. Names are few and versions many, so a
+    job over versions does that for the distinct names first.
+    """
+    company = storage if stored else storage_name(storage, composed=composed)
+    month = F.concat_ws("/", root, company, F.coalesce(F.date_format(target, "yyyy/MM"), F.lit(UNDATED)))
     day = F.coalesce(F.date_format(target, "yyyyMMdd"), F.lit(UNDATED))
     prefix = F.concat(state_prefix(state), day, F.lit("_"))
-    name = storage_name(F.coalesce(F.nullif(product, F.lit("")), F.lit("상품")), 10_000, composed)
+    name = product if stored else product_folder(product, composed)
     head = F.concat(month, F.lit("/"), prefix)
     parts = F.struct(head.alias("head"), name.alias("name"))
     return let(parts, lambda p: F.concat(p["head"], fit(fit(p["name"], 120), F.lit(PATH_LIMIT) - F.length(p["head"]) - FILE_NAME - 1)))

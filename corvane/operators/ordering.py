@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,10 +32,15 @@ def _extreme(df: DataFrame, keys: list[str], pick, order) -> DataFrame:
 
 
 def capped(df: DataFrame, group: list[str], limit: int, order: list[Column]) -> DataFrame:
-    """At most ``limit`` rows of each group in order, with ``group_rows`` and whether rows were skipped (``coverage_capped``)."""
-    own = Window.partitionBy(*group)
-    ranked = df.withColumn("_n", F.row_number().over(own.orderBy(*order))).withColumn("group_rows", F.count("*").over(own))
-    return ranked.where(F.col("_n") <= limit).drop("_n").withColumn("coverage_capped", F.col("group_rows") > limit)
+    """At most ``limit`` rows of each group in order, with ``group_rows`` and whether rows were skipped (``coverage_capped``).
+
+    Sizes are counted apart, so that the ranking has a limit which Spark applies before the shuffle.
+    """
+    ranked = df.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_n") <= limit).drop("_n")
+    sizes = df.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]).agg(F.count("*").alias("group_rows"))
+    same = reduce(lambda a, b: a & b, [F.equal_null(F.col(g), F.col(f"_g{i}")) for i, g in enumerate(group)])
+    joined = ranked.join(sizes, same).drop(*[f"_g{i}" for i in range(len(group))])
+    return joined.withColumn("coverage_capped", F.col("group_rows") > limit)
 
 
 def samples(df: DataFrame, group: list[str], value: str, order: str, limit: int = 5) -> DataFrame:

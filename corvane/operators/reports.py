@@ -31,8 +31,18 @@ def missing_kinds(documents: DataFrame, version: list[str], by: list[str]) -> Da
     return held.groupBy(*by).agg(F.count("*").alias("versions"), *[F.count_if(~F.col(k)).alias(f"missing_{k.lower()}") for k in KINDS])
 
 
+def held_kinds(documents: DataFrame, version: list[str], by: list[str]) -> DataFrame:
+    """Versions, documents of each kind and versions that lack a linked one, for each of ``by``: one pass over ``documents`` as above."""
+    ours = lambda k: F.col("document_type") == k
+    per_version = [x for k in KINDS for x in (F.coalesce(F.bool_or(ours(k) & F.col("linked")), F.lit(False)).alias(k), F.count_if(ours(k)).alias(f"n_{k}"))]
+    held = documents.groupBy(*dict.fromkeys([*by, *version])).agg(*per_version)
+    told = [x for k in KINDS for x in (F.count_if(~F.col(k)).alias(f"missing_{k.lower()}"), F.sum(f"n_{k}").alias(f"{k.lower()}_documents"))]
+    return held.groupBy(*by).agg(F.count("*").alias("versions"), *told)
+
+
 def product_counts(versions: DataFrame) -> DataFrame:
-    return versions.groupBy("company_code").agg(F.count_distinct("product_name", "source_product_id").alias("products"))
+    """Products of each company by name and id, either of which may be missing."""
+    return versions.groupBy("company_code").agg(F.count_distinct(F.struct("product_name", "source_product_id")).alias("products"))
 
 
 def link_counts(documents: DataFrame) -> DataFrame:
@@ -61,11 +71,12 @@ def event_previews(events: DataFrame) -> DataFrame:
 
 
 def monthly_index(plan: DataFrame) -> DataFrame:
-    """Plan keys of each month in arrival order, and their number."""
+    """Plan keys of each month in arrival order, and their number. A month is one row; ``write_by_month`` files months of any size."""
     return plan.groupBy("month").agg(F.count("*").alias("items"), F.transform(F.array_sort(F.collect_list(F.struct("ingest_seq", "plan_key"))), lambda x: x["plan_key"]).alias("plan_keys"))
 
 
 def monthly_counts(plan: DataFrame) -> DataFrame:
+    """Plan items of each month."""
     return plan.groupBy("month").agg(F.count("*").alias("items"))
 
 

@@ -37,6 +37,10 @@ def monthly_index(spark, sf):
     return reports.monthly_index(bind.plan(spark, sf)).select("month", "items", F.sha2(F.array_join("plan_keys", ","), 256).alias("keys_digest"))
 
 
+def monthly_counts(spark, sf):
+    return reports.monthly_counts(bind.plan(spark, sf))
+
+
 def plan_status_counts(spark, sf):
     p = bind.plan(spark, sf).withColumn("company_code", F.concat(F.lit("C"), F.substring("dedupe_key", 1, 1)))
     return reports.status_counts(p)
@@ -103,6 +107,29 @@ def catalog_overview(spark, sf):
     return catalog.inspect(_catalog(spark, sf)).select("row_count", "current_identity", "unsupported_identity", "bad_keys", "bad_sha256", "available_without_sha256")
 
 
+def _faulty_catalog(spark, sf):
+    """Catalog rows, one for each event, with faults that follow from its number."""
+    n = F.col("event_id")
+    faults = {
+        "document_key": F.when(n % 11 == 0, "DOC_1").otherwise(F.col("document_key")), "product_version_key": F.when(n % 13 == 0, "PROD_VER_").otherwise("PROD_VER_0000000000"), "identity_version": F.when(n % 17 == 0, 3).otherwise(4).cast("smallint"),
+        "sha256": F.when(n % 19 == 0, "zz").when(n % 19 == 1, None).otherwise(F.sha2(n.cast("string"), 256)), "status_missing_count": F.when(n % 23 == 0, -1).otherwise(0), "file_size": F.when(n % 29 == 0, -5).otherwise(n), "sale_status": F.when(n % 31 == 0, "SOLD").otherwise("ACTIVE"),
+        "file_status": F.when(n % 37 == 0, "LOST").otherwise("AVAILABLE"), "document_type": F.when(n % 41 == 0, "OTHER").otherwise("POLICY"), "sale_start_date": F.to_date("ts"), "sale_end_date": F.date_add(F.to_date("ts"), F.when(n % 43 == 0, -1).otherwise(1)),
+    }
+    kinds = dict(part.split(" ", 1) for part in catalog.SCHEMA.split(", "))
+    e = bind.changes(spark, sf)
+    return e.select(*[faults.get(c, F.lit(None).cast(kinds[c])).alias(c) for c in catalog.COLUMNS])
+
+
+def catalog_violations(spark, sf):
+    """How many rows of a catalog with faults break each rule."""
+    return catalog.constraint_report(_faulty_catalog(spark, sf))
+
+
+def catalog_faults(spark, sf):
+    """Counts over a catalog with faults."""
+    return catalog.inspect(_faulty_catalog(spark, sf)).select("row_count", "current_identity", "unsupported_identity", "bad_keys", "bad_sha256", "available_without_sha256")
+
+
 def catalog_status_pairs(spark, sf):
     return catalog.status_pairs(_catalog(spark, sf))
 
@@ -267,7 +294,7 @@ def missing_companies(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        pending_plan, orphan_states, latest_downloads, monthly_index, plan_status_counts, retried, changed_plans, run_roll, merged_catalog, catalog_report, catalog_overview, catalog_status_pairs, status_update_outcomes, identity_collisions,
+        pending_plan, orphan_states, latest_downloads, monthly_index, monthly_counts, plan_status_counts, retried, changed_plans, run_roll, merged_catalog, catalog_report, catalog_overview, catalog_violations, catalog_faults, catalog_status_pairs, status_update_outcomes, identity_collisions,
         pending_events, compacted, failures, absent_versions, reconcile_stats, reconcile_actions, reconciled_rows, links, link_targets, carried_types, repeated_page_lines, page_statuses, table_metrics, table_texts, word_differences,
         distinct_images, response_checks, stored_checks, attempt_selection, decoded_payloads, union_of_channels, missing_companies,
     )
@@ -334,6 +361,7 @@ WHERE NOT coalesce(s.download_status IN ('SUCCESS', 'DUPLICATE_SKIPPED') AND c_c
     "orphan_states": f"WITH {_P} SELECT month, count(*) AS orphans FROM p WHERE ingest_seq % 10 = 3 GROUP BY 1",
     "latest_downloads": f"WITH {_P} SELECT dedupe_key, plan_key, download_status FROM (SELECT *, row_number() OVER (PARTITION BY dedupe_key ORDER BY updated_at DESC, ingest_seq DESC) AS rn FROM p) WHERE rn = 1",
     "monthly_index": f"WITH {_P} SELECT month, count(*) AS items, sha256(string_agg(plan_key, ',' ORDER BY ingest_seq)) AS keys_digest FROM p GROUP BY 1",
+    "monthly_counts": f"WITH {_P} SELECT month, count(*) AS items FROM p GROUP BY 1",
     "plan_status_counts": f"WITH {_P} SELECT 'C' || substr(dedupe_key, 1, 1) AS company_code, download_status, count(*) AS n FROM p GROUP BY 1, 2 UNION ALL SELECT NULL, download_status, count(*) FROM p GROUP BY 2",
     "retried": f"""WITH {_P}, s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dedupe_key ORDER BY ingest_seq DESC) AS rn FROM p) WHERE rn = 1)
 SELECT s.download_status AS previous_status, s.download_status = 'DOWNLOAD_FAILED' OR s.ingest_seq % 3 = 0 AS retried, count(*) AS n FROM p JOIN s USING (dedupe_key) GROUP BY 1, 2""",
@@ -345,6 +373,10 @@ SELECT sum(records)::BIGINT AS total_records, string_agg(code, ',' ORDER BY code
   migration::VARCHAR AS migration, final_url::VARCHAR AS final_url FROM cat""",
     "catalog_report": "SELECT unnest(['" + "', '".join(catalog.CONSTRAINTS) + "']) AS rule, 0::BIGINT AS bad_rows",
     "catalog_overview": "SELECT count(DISTINCT user_id) AS row_count, count(DISTINCT user_id) AS current_identity, 0 AS unsupported_identity, 0 AS bad_keys, 0 AS bad_sha256, 0 AS available_without_sha256 FROM events",
+    "catalog_violations": """WITH r AS (SELECT unnest([11, 13, 17, 19, 23, 29, 31, 37, 41, 43]) AS k, unnest(['document_key_format', 'product_version_key_format', 'identity_version', 'sha256_format', 'missing_count', 'file_size', 'sale_status', 'file_status', 'document_type', 'sale_period']) AS rule)
+SELECT rule, (SELECT count(*) FROM events WHERE event_id % k = 0) AS bad_rows FROM r UNION ALL SELECT 'available_has_sha256', count(*) FROM events WHERE event_id % 37 <> 0 AND event_id % 19 = 1""",
+    "catalog_faults": """SELECT count(*) AS row_count, count(*) FILTER (event_id % 17 <> 0) AS current_identity, count(*) FILTER (event_id % 17 = 0) AS unsupported_identity, count(*) FILTER (event_id % 11 = 0 OR event_id % 13 = 0) AS bad_keys, count(*) FILTER (event_id % 19 = 0) AS bad_sha256,
+  count(*) FILTER (event_id % 37 <> 0 AND event_id % 19 = 1) AS available_without_sha256 FROM events""",
     "catalog_status_pairs": f"WITH {_K} SELECT file_status, last_attempt_status, count(*) AS documents FROM cat GROUP BY 1, 2",
     "status_update_outcomes": f"""WITH {_K}, a AS (
   SELECT 0 AS seq, document_key, status_checked_at AS t FROM cat UNION ALL SELECT seq, CASE WHEN event_id % 9 = 1 THEN 'DOC_x' || event_id ELSE document_key END, coalesce(checked_at, seen_at) FROM e WHERE event_id % 2 = 1

@@ -27,10 +27,7 @@ def period_overview(spark, sf):
     v = selection.select_versions(bind.versions(spark, sf), START, END)
     v = ordering.first_wins(v, ["company_code", "l_orderkey", "l_linenumber"])
     d = _documents(v).where("label is null or document_type is not null")
-    version = ["l_orderkey", "l_linenumber"]
-    missing = reports.missing_kinds(d, version, ["company_code"])
-    kinds = d.groupBy("company_code").agg(*[F.count_if(F.col("document_type") == k).alias(f"{k.lower()}_documents") for k in reports.KINDS])
-    return missing.join(kinds, "company_code")
+    return reports.held_kinds(d, ["l_orderkey", "l_linenumber"], ["company_code"])
 
 
 def dates_parsed(spark, sf):
@@ -62,8 +59,9 @@ def clocks_parsed(spark, sf):
 
 def versions_by_mode(spark, sf):
     v = bind.versions(spark, sf)
-    counts = [selection.select_versions(v, START, END, m).groupBy("company_code").agg(F.count("*").alias("versions"), F.count_if(dates.needs_manual_review(F.col("target_date"))).alias("undated")).withColumn("mode", F.lit(m)) for m in selection.MODES]
-    return counts[0].unionByName(counts[1])
+    ours = {m: selection.selected(F.col("target_date"), F.col("sale_start_date"), F.col("sale_end_date"), START, END, m) for m in selection.MODES}
+    modes = F.explode(F.filter(F.array(*[F.when(test, F.lit(m)) for m, test in ours.items()]), lambda m: m.isNotNull())).alias("mode")
+    return v.select("company_code", "target_date", modes).groupBy("company_code", "mode").agg(F.count("*").alias("versions"), F.count_if(dates.needs_manual_review(F.col("target_date"))).alias("undated"))
 
 
 def date_bases(spark, sf):
@@ -127,7 +125,10 @@ def file_names(spark, sf):
 def path_report(spark, sf):
     v = bind.versions(spark, sf)
     state = status.sale_state(F.col("raw_status"), composed=False)
-    folder = paths.version_dir(F.lit("/root"), F.col("company_code"), state, F.col("target_date"), F.col("product_name"), composed=False)
+    companies = v.select("company_code").distinct().withColumn("_company", text.storage_name(F.col("company_code")))
+    products = v.select("product_name").distinct().withColumn("_product", paths.product_folder(F.col("product_name")))
+    v = v.join(companies, "company_code").join(products, "product_name")
+    folder = paths.version_dir(F.lit("/root"), F.col("_company"), state, F.col("target_date"), F.col("_product"), stored=True)
     # One column at a time: a folder's expression is long, and Spark keeps it apart where it is used more than once.
     told = v.select(folder.alias("folder")).groupBy("folder").agg(F.count("*").alias("n"))
     told = told.withColumn("file", paths.target_path(F.col("folder"), F.lit("POLICY"), F.lit("PDF"), F.lit("")))
