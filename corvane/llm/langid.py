@@ -20,8 +20,8 @@ from corvane.llm.store import discard, materialize
 LONGEST, BACK_OFF = 4, 0.4
 #: At most about so many documents of each language are learned from, chosen by a hash; what they say once only is not learned.
 FIT_DOCS, SEEN = 5_000, 2
-#: A worker remembers so many words, and those of the text at hand.
-REMEMBERED = 300_000
+#: A worker remembers so many words, and those of the texts at hand, of which it takes so many together.
+REMEMBERED, TOGETHER = 300_000, 64
 
 def _ranges(kinds: str) -> str:
     """The code points of some general categories (by their first letter), as ranges of a character class."""
@@ -37,7 +37,8 @@ def _ranges(kinds: str) -> str:
 
 #: A word is a letter, and letters and marks (vowel signs, accents) that follow it.
 _WORD = re.compile(f"[{_ranges('L')}][{_ranges('LM')}]*")
-_PLAIN = re.compile("[a-z]+")
+#: The same for texts of the first 256 code points, which have no marks and whose small letters are few.
+_WEST = re.compile("[a-zªµºß-öø-ÿ]+")
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -48,7 +49,11 @@ def grams(word: str, n: int) -> list[str]:
 
 def tokens(text: str) -> list[str]:
     low = text.lower()
-    return (_PLAIN if low.isascii() else _WORD).findall(low)
+    try:
+        low.encode("latin-1")
+    except UnicodeEncodeError:
+        return _WORD.findall(low)
+    return _WEST.findall(low)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,65 +86,95 @@ def held_out(fold: int = 2, folds: int = 4):
 
 
 class Model:
-    """Log frequencies: ``tables[0]`` of words, ``tables[n]`` of n-grams; an entry has numbers for the languages it was seen in only."""
+    """Log frequencies of words (table 0) and n-grams (table n); an entry has numbers for the languages it was seen in only.
+
+    ``places[size]`` numbers the entries of a table; entry i has the languages ``langs_of[size][start:end]`` and as many values,
+    start and end being ``edges[size][i:i + 2]``.
+    """
 
     def __init__(self, langs: list[str], counts: Iterable[tuple[str, int, str, int]], totals: dict[tuple[str, int], int]):
         self.langs = langs
         place = {x: i for i, x in enumerate(langs)}
-        self.totals = [np.array([totals.get((x, size), 0) for x in langs], float) + 1 for size in range(LONGEST + 1)]
-        self.floor = [-np.log(total * 2) for total in self.totals]
-        self.tables: list[dict[str, tuple[int, ...]]] = [{} for _ in range(LONGEST + 1)]
+        sums = [np.array([totals.get((x, size), 0) for x in langs], float) + 1 for size in range(LONGEST + 1)]
+        self.floor = [-np.log(total * 2) for total in sums]
+        self.places: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+        told: list[tuple[list[int], list[int], list[int]]] = [([], [], []) for _ in range(LONGEST + 1)]
         for lang, size, entry, n in counts:
-            self.tables[size][entry] = (*self.tables[size].get(entry, ()), place[lang], n)
-        self.place: dict[str, int] = {}
+            for column, x in zip(told[size], (self.places[size].setdefault(entry, len(self.places[size])), place[lang], n), strict=True):
+                column.append(x)
+        self.edges, self.langs_of, self.values = [], [], []
+        for size, (entry, lang, n) in enumerate(told):
+            order = np.argsort(np.array(entry, np.int64), kind="stable")
+            of = np.array(lang, np.int64)[order]
+            self.edges.append(np.searchsorted(np.array(entry, np.int64)[order], np.arange(len(self.places[size]) + 1)))
+            self.langs_of.append(of)
+            self.values.append(np.log((np.array(n, float)[order] + 0.5) / sums[size][of]))
+        self.known: dict[str, int] = {}
         self.rows = np.zeros((1024, len(langs)))
 
-    def _known(self, size: int, entry: str) -> np.ndarray | None:
-        """An entry's log frequency in each language, half a count being what an unseen one has."""
-        seen = self.tables[size].get(entry)
-        if seen is None:
-            return None
-        out, at = self.floor[size].copy(), list(seen[::2])
-        out[at] = np.log((np.array(seen[1::2]) + 0.5) / self.totals[size][at])
+    def _entries(self, size: int, at: list[int]) -> np.ndarray:
+        """The log frequencies of entries in all languages; where one was not seen, half a count."""
+        out = np.tile(self.floor[size], (len(at), 1))
+        start, end = self.edges[size][at], self.edges[size][np.array(at, np.int64) + 1]
+        n = end - start
+        flat = np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
+        out[np.repeat(np.arange(len(at)), n), self.langs_of[size][flat]] = self.values[size][flat]
         return out
 
-    def word(self, word: str) -> np.ndarray:
-        """A known word's log frequencies; else the mean of its n-grams', each backing off to shorter ones where it is unseen."""
-        found = self._known(0, word)
-        return self._backed_off(word) if found is None else found
-
-    def _remember(self, word: str) -> int:
-        """The row of ``rows`` that holds a word from now on."""
-        at = self.place[word] = len(self.place)
-        if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at] = self.word(word)
-        return at
-
-    def _backed_off(self, word: str) -> np.ndarray:
+    def learn(self, words: list[str]) -> np.ndarray:
+        """Log frequencies of words: their own if they are known, else the mean of their n-grams', which back off to shorter ones where most are unseen."""
+        out = np.tile(self.floor[0], (len(words), 1))
+        own = [self.places[0].get(w) for w in words]
+        found = [i for i, x in enumerate(own) if x is not None]
+        if found:
+            out[found] = self._entries(0, [own[i] for i in found])
+        left = [i for i, x in enumerate(own) if x is None]
         for size in range(LONGEST, 0, -1):
-            hits = [x for x in (self._known(size, g) for g in grams(word, size)) if x is not None]
-            pieces = len(word) if size == 1 else len(word) + 3 - size
-            if len(hits) * 2 > pieces:
-                missing = (pieces - len(hits)) * self.floor[size]
-                return (sum(hits) + missing) / pieces + (LONGEST - size + 1) * math.log(BACK_OFF)
-        return self.floor[0]
+            place, done, flat, hits, pieces, rest = self.places[size].get, [], [], [], [], []
+            for i in left:
+                parts = grams(words[i], size)
+                seen = [x for x in map(place, parts) if x is not None]
+                if len(seen) * 2 > len(parts):
+                    done.append(i)
+                    flat += seen
+                    hits.append(len(seen))
+                    pieces.append(len(parts))
+                else:
+                    rest.append(i)
+            if done:
+                n, parts = np.array(hits), np.array(pieces)[:, None]
+                total = np.add.reduceat(self._entries(size, flat), np.cumsum(n) - n, axis=0)
+                out[done] = (total + (parts - n[:, None]) * self.floor[size]) / parts + (LONGEST - size + 1) * math.log(BACK_OFF)
+            left = rest
+        return out
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Each text's likeliest language and its posterior; ``und`` with 0 if there is no letter or no language."""
+        if not self.langs:
+            return [("und", 0.0)] * len(texts)
+        counted = [Counter(tokens(t)) if t else None for t in texts]
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        new = list({w: None for c in counted if c for w in c if w not in self.known})
+        if new:
+            begin = len(self.known)
+            self.known.update(zip(new, range(begin, begin + len(new)), strict=True))
+            if len(self.known) > len(self.rows):
+                self.rows = np.concatenate([self.rows[:begin], np.zeros((max(len(self.known), 2 * begin) - begin, len(self.langs)))])
+            self.rows[begin : begin + len(new)] = self.learn(new)
+        out = []
+        for c in counted:
+            if not c:
+                out.append(("und", 0.0))
+                continue
+            total = np.fromiter(c.values(), float, len(c)) @ self.rows[np.fromiter(map(self.known.__getitem__, c), np.int64, len(c))]
+            total = np.exp(np.maximum(total - total.max(), -700))
+            best = int(np.argmax(total))
+            out.append((self.langs[best], float(total[best] / total.sum())))
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its posterior; ``und`` with 0 if there is no letter or no language."""
-        if not text or not self.langs:
-            return "und", 0.0
-        seen = Counter(tokens(text))
-        if not seen:
-            return "und", 0.0
-        if len(self.place) >= REMEMBERED:
-            self.place.clear()
-        known = self.place.get
-        at = [self._remember(word) if (i := known(word)) is None else i for word in seen]
-        total = np.array(list(seen.values()), float) @ self.rows[at]
-        total = np.exp(np.maximum(total - total.max(), -700))
-        best = int(np.argmax(total))
-        return self.langs[best], float(total[best] / total.sum())
+        return self.predict_all([text])[0]
 
 
 def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
@@ -174,7 +209,9 @@ def identify(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.value.predict(t.as_py()) for t in batch.column(1)]
+            found = []
+            for i in range(0, len(batch), TOGETHER):
+                found += model.value.predict_all(batch.column(1).slice(i, TOGETHER).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -1,6 +1,10 @@
+import math
+import random
 import zlib
 
-from corvane.llm.langid import Model, identify
+import pytest
+
+from corvane.llm.langid import Model, grams, identify, tokens
 
 SF = "/root/testdata/sf0.01"
 
@@ -40,3 +44,50 @@ def test_edges(spark):
     assert [got[i].lang_pred for i in (-1, -2, -3, -4)] == ["und", "und", "und", "en"] and got[None].lang_pred == "en"
     assert identify(odd.limit(0)).collect() == []
     assert {r.lang_pred for r in identify(odd.where("lang is null")).collect()} == {"und"}
+
+
+def test_words_are_letters_and_their_marks():
+    assert tokens("½ ² Ⅷ ① 12_3") == [] and tokens("हिन्दी भाषा, É1è") == ["हिन्दी", "भाषा", "é", "è"]
+    for c in map(chr, range(256)):
+        assert bool(tokens(c)) == bool(tokens(f"{c} 一")[:-1])
+
+
+def test_against_a_plain_reading_of_the_rule():
+    """Word first, then shorter and shorter n-grams, entry by entry."""
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choices("abé", k=rnd.randrange(1, 7)))
+    counts, totals = {}, {}
+    for lang in "xyz":
+        for _ in range(60):
+            w = word()
+            for size, parts in [(0, [w]), *[(n, grams(w, n)) for n in range(1, 5)]]:
+                for p in parts:
+                    counts[lang, size, p] = counts.get((lang, size, p), 0) + 1
+                    totals[lang, size] = totals.get((lang, size), 0) + 1
+    kept = {k: n for k, n in counts.items() if n > 1}
+    entries = {(size, p) for _, size, p in kept}
+
+    def log(lang, size, p):
+        return math.log((kept.get((lang, size, p), 0) + 0.5) / (totals[lang, size] + 1))
+
+    def plain(lang, w):
+        if (0, w) in entries:
+            return log(lang, 0, w)
+        for size in range(4, 0, -1):
+            parts = grams(w, size)
+            if 2 * sum((size, p) in entries for p in parts) > len(parts):
+                return sum(log(lang, size, p) if (size, p) in entries else math.log(0.5 / (totals[lang, size] + 1)) for p in parts) / len(parts) + (5 - size) * math.log(0.4)
+        return math.log(0.5 / (totals[lang, 0] + 1))
+
+    model = Model(list("xyz"), [(*k, n) for k, n in kept.items()], totals)
+    for _ in range(300):
+        text = " ".join(word() for _ in range(rnd.randrange(1, 6)))
+        sums = {lang: sum(plain(lang, w) for w in text.split()) for lang in "xyz"}
+        best = max(sums.values())
+        lang, score = model.predict(text)
+        assert sums[lang] == pytest.approx(best) and score == pytest.approx(1 / sum(math.exp(s - best) for s in sums.values()))
+
+
+def test_ties_go_to_the_first_language():
+    model = Model(["a", "b"], [("a", 0, "w", 3), ("b", 0, "w", 3)], {("a", 0): 3, ("b", 0): 3})
+    assert model.predict("w w") == ("a", 0.5)
