@@ -6,6 +6,7 @@ of one feature (or of one pair) to that feature's lookup table. A score is a sum
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -212,8 +213,8 @@ def fit_quality(measured: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     known = labels.where("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y"))
     known = known.join(measured, "doc_id").where(~held_out(1, 3))
     n = known.count()
-    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    rows = known.where(spread < int(1_000_000 * min(1.0, fit_rows / max(n, 1)))).orderBy("doc_id", "y", "x").toPandas()
+    spread = F.shiftrightunsigned(F.xxhash64("doc_id"), 2)
+    rows = known.where(spread < math.ceil((1 << 62) * min(1.0, fit_rows / max(n, 1)))).orderBy("doc_id", "y", "x").toPandas()
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
     return fit(x, rows["y"].to_numpy(float))
 

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
+from corvane.llm import quality
 from corvane.llm import textkit as tk
 from corvane.llm.quality import FEATURES, features, fit, keep_good, quality_scores
 
@@ -61,3 +62,94 @@ def test_filter_keeps_columns_and_good_rows(spark):
     assert kept.schema == docs.schema
     good = {r.doc_id for r in quality_scores(docs, labels).where("predicted = 1").collect()}
     assert {r.doc_id for r in kept.collect()} == good
+
+
+def plain_fit(x, y, rounds, pairs, bins, coarse):
+    """The same boosting over rows one by one: sums are made anew for every cut."""
+    rows = range(len(y))
+    smooth, rate = quality.SMOOTH, quality.RATE
+
+    def places(n):
+        cuts = [sorted({float(v) for v in np.quantile(x[:, f], np.linspace(0, 1, n + 1)[1:-1])}) for f in range(x.shape[1])]
+        return cuts, [[sum(v >= c for c in cuts[f]) for v in x[:, f]] for f in range(x.shape[1])]
+
+    (fine, at), (wide, cell) = places(bins), places(coarse)
+    p = (sum(y) + 0.5) / (len(y) + 1)
+    total = [math.log(p / (1 - p))] * len(y)
+
+    def slopes():
+        ps = [1 / (1 + math.exp(-t)) for t in total]
+        return [y[i] - ps[i] for i in rows], [ps[i] * (1 - ps[i]) for i in rows]
+
+    def part(g, h, some):
+        return sum(g[i] for i in some), sum(h[i] for i in some)
+
+    def worth(g, h, some):
+        a, b = part(g, h, some)
+        return a * a / (b + smooth)
+
+    def cut_of(g, h, some, key, lo, hi):
+        """Gain and first place of the best cut of bins lo:hi."""
+        best = (0.0, lo)
+        for c in range(lo + 1, hi):
+            gain = worth(g, h, [i for i in some if key[i] < c]) + worth(g, h, [i for i in some if key[i] >= c]) - worth(g, h, some)
+            if c == lo + 1 or gain > best[0] + 1e-12:
+                best = (gain, c)
+        return best
+
+    def leaf(g, h, some):
+        a, b = part(g, h, some)
+        return rate * a / (b + smooth)
+
+    def line(f, g, h):
+        n, key = len(fine[f]) + 1, at[f]
+        mid = cut_of(g, h, list(rows), key, 0, n)[1]
+        step = [0.0] * n
+        for lo, hi in ((0, mid), (mid, n)):
+            some = [i for i in rows if lo <= key[i] < hi]
+            gain, c = cut_of(g, h, some, key, lo, hi)
+            for a, b in ((lo, c), (c, hi)) if gain > 1e-9 else ((lo, hi),):
+                for k in range(a, b):
+                    step[k] = leaf(g, h, [i for i in some if a <= key[i] < b])
+        return step
+
+    def grid(a, b, g, h):
+        na, nb = len(wide[a]) + 1, len(wide[b]) + 1
+        best, out = 0.0, {}
+        for c in range(1, na):
+            gain, table = 0.0, {}
+            for lo, hi in ((0, c), (c, na)):
+                some = [i for i in rows if lo <= cell[a][i] < hi]
+                more, d = cut_of(g, h, some, cell[b], 0, nb)
+                gain += more + worth(g, h, some)
+                for left, right in ((0, d), (d, nb)):
+                    value = leaf(g, h, [i for i in some if left <= cell[b][i] < right])
+                    table |= {(r, k): value for r in range(lo, hi) for k in range(left, right)}
+            if gain > best + 1e-12:
+                best, out = gain, table
+        return best, out
+
+    for _ in range(rounds):
+        for f in range(x.shape[1]):
+            step = line(f, *slopes())
+            total[:] = [total[i] + step[at[f][i]] for i in rows]
+    g, h = slopes()
+    names = [(a, b) for a in range(x.shape[1]) for b in range(a + 1, x.shape[1])]
+    chosen = sorted(names, key=lambda p: -grid(*p, g, h)[0])[:pairs]
+    for _ in range(rounds // 4):
+        for a, b in chosen:
+            step = grid(a, b, *slopes())[1]
+            total[:] = [total[i] + step.get((cell[a][i], cell[b][i]), 0.0) for i in rows]
+    return [1 / (1 + math.exp(-t)) for t in total]
+
+
+def test_boosting_against_a_plain_one(monkeypatch):
+    monkeypatch.setattr(quality, "ROUNDS", 8)
+    monkeypatch.setattr(quality, "PAIRS", 2)
+    monkeypatch.setattr(quality, "BINS", 6)
+    monkeypatch.setattr(quality, "COARSE", 4)
+    draw = np.random.default_rng(4)
+    x = draw.random((70, 3))
+    y = ((x[:, 0] > 0.4) ^ (x[:, 1] > 0.6) | (x[:, 2] > 0.9)).astype(float)
+    model = fit(x, y)
+    assert np.allclose(model.score(x), plain_fit(x, y, 8, 2, 6, 4))
