@@ -223,7 +223,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``docs`` less the rows that ``near_duplicates`` doesn't keep, by doc_id and text; equal rows stay or go together. Columns stay."""
-    gone = _grouped(docs, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
-    gone = materialize(gone, "gone")
+    told = _grouped(docs, percent).where("doc_id is not null").select("doc_id", "text_key", (F.col("doc_id") != F.col("component_id")).alias("out"))
+    told = materialize(told.distinct(), "told")
+    # Most ids have one text: those that lose all they have are known by their number alone, which keeps that table small.
+    ids = told.groupBy("doc_id").agg(F.bool_or("out").alias("some"), F.bool_and("out").alias("all")).where("some")
+    ids = materialize(ids, "ids")
+    gone = materialize(ids.where("all").select(F.col("doc_id").alias("gone_id")), "gone")
+    mixed = materialize(told.where("out").join(ids.where("not all"), "doc_id", "left_semi").select(F.col("doc_id").alias("mixed_id"), F.col("text_key").alias("mixed_key")), "mixed")
     row = docs.select(F.col("doc_id").cast("long").alias("id"), _text_key(F.col("text")).alias("text_key"), F.struct(*docs.columns).alias("row"))
-    return row.join(gone, (F.col("id") == F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left_anti").select("row.*")
+    left = row.join(gone, F.col("id") == F.col("gone_id"), "left_anti")
+    return left.join(mixed, (F.col("id") == F.col("mixed_id")) & (F.col("text_key") == F.col("mixed_key")), "left_anti").select("row.*")
