@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm.chat import as_records, format_records, read_back
 from corvane.llm.decontam import contaminated
+from corvane.llm.divergence import source_divergence
 from corvane.llm.html import extract_main_text
 from corvane.llm.langid import identify
 from corvane.llm.media import image_copies, pictures_of
 from corvane.llm.minhash import near_duplicates
 from corvane.llm.mixing import mix_sources
 from corvane.llm.quality import quality_scores
+from corvane.llm.resampling import importance_resample
 from corvane.llm.substring import substring_dedup
+from corvane.llm.urls import judge_urls
 from corvane.llm.warc import archived_pages
 
 
@@ -65,6 +68,22 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_records(as_records(turns, varied=True)))
 
 
+#: The listed rules of the query, as verdict and host with path.
+LISTED = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), LISTED)
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_media": op2_media,
@@ -76,6 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_langid": op9_langid,
     "op10_chat": op10_chat,
+    "op11_urls": op11_urls,
+    "op12_resampling": op12_resampling,
+    "op13_divergence": op13_divergence,
 }
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
@@ -167,5 +189,59 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(length(role) + length(text) + escapes + 23)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
+""",
+    "op12_resampling": r"""
+WITH steps AS (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS x FROM benchmark),
+own AS (SELECT r, x, count(*) AS n FROM (SELECT r, unnest(w) AS x FROM d) GROUP BY r, x),
+words AS (SELECT DISTINCT x FROM (SELECT x FROM own UNION ALL SELECT x FROM b)),
+crc AS (
+  SELECT x, xor(list_reduce(list_concat([4294967295], list_transform(range(0, octet_length(encode(x))), lambda i: ('0x' || substr(hex(encode(x)), CAST(2 * i + 1 AS BIGINT), 2))::BIGINT)),
+    lambda c, z: xor(c >> 8, t[(xor(c, z) & 255) + 1])), 4294967295) % 10000 AS k
+  FROM words, steps
+),
+s AS (SELECT k, sum(n)::BIGINT AS s FROM own JOIN crc USING (x) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM b JOIN crc USING (x) GROUP BY k),
+g AS (
+  SELECT k, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (k)
+),
+w AS (SELECT r, sum(n * gain)::BIGINT AS weight FROM own JOIN crc USING (x) JOIN g USING (k) GROUP BY r),
+z AS (
+  SELECT doc_id, len(w.w) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5e0) / 4294967296e0)))::BIGINT AS score
+  FROM d w LEFT JOIN w v USING (r)
+),
+p AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place, count(*) OVER (PARTITION BY n_features >= 20) AS n FROM z)
+SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM p
+""",
+    "op13_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o GROUP BY ALL),
+k AS (SELECT lang, term, count(DISTINCT r) AS docs, count(*) AS n FROM o GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+l AS (SELECT lang, count(k.term) AS v, coalesce(sum(k.n), 0) AS n FROM (SELECT DISTINCT lang FROM d) LEFT JOIN k USING (lang) GROUP BY lang),
+g AS (
+  SELECT d.lang, d.source, coalesce(sum(c.n), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) d LEFT JOIN (SELECT c.* FROM c JOIN k USING (lang, term)) c ON c.lang = d.lang AND c.source = d.source GROUP BY ALL
+),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT) // (g.n + 5 * l.v)::HUGEINT AS p,
+    1 + (1000000000 * (k.n + 5)::HUGEINT) // (l.n + 5 * l.v)::HUGEINT AS q
+  FROM g JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+v AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank::INT AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM v) WHERE part = 'pair' OR rank <= 50
 """,
 }
