@@ -142,14 +142,16 @@ def _block_sums(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     share = np.repeat(lacks["p"].to_numpy(np.int64)[:, None], len(terms), axis=1)
     share[pd.Index(names).get_indexer(has["source"]), at] = has["p"].to_numpy(np.int64)
     near, far = np.flatnonzero(tile == key[2]), np.flatnonzero(tile == key[3])
-    out = []
+    one, other, sums = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in near:
         others = far[far != i]
-        sums = np.abs(share[others] - share[i]).sum(axis=1)
-        out.append(pd.DataFrame({"lang": key[0], "source": names[i], "item": names[others], "value": sums}))
-        if key[2] != key[3]:
-            out.append(pd.DataFrame({"lang": key[0], "source": names[others], "item": names[i], "value": sums}))
-    return pd.concat(out) if out else pd.DataFrame({"lang": [], "source": [], "item": [], "value": []}).astype({"value": np.int64})
+        one.append(np.full(len(others), i))
+        other.append(others)
+        sums.append(np.abs(share[others] - share[i]).sum(axis=1))
+    one, other, sums = np.concatenate(one), np.concatenate(other), np.concatenate(sums)
+    if key[2] != key[3]:
+        one, other, sums = np.concatenate([one, other]), np.concatenate([other, one]), np.concatenate([sums, sums])
+    return pd.DataFrame({"lang": pd.Series([key[0]] * len(one), dtype=object), "source": pd.Series(names[one], dtype=object), "item": pd.Series(names[other], dtype=object), "value": sums})
 
 
 def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
