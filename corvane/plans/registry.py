@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.plans import feeds, layout, records, versions
+from corvane.plans import feeds, layout, records, sites, versions
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**versions.QUERIES, **records.QUERIES, **feeds.QUERIES, **layout.QUERIES}
-ORACLES: dict[str, str] = {**versions.ORACLES, **records.ORACLES, **feeds.ORACLES, **layout.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**versions.QUERIES, **records.QUERIES, **feeds.QUERIES, **layout.QUERIES, **sites.QUERIES}
+ORACLES: dict[str, str] = {**versions.ORACLES, **records.ORACLES, **feeds.ORACLES, **layout.ORACLES, **sites.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,8 +16,14 @@ def rest(tmp_path):
     return tmp_path / "r"
 
 
+def only(rest):
+    """The environment with the copy first on the path, and without this repository on it."""
+    others = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and os.path.realpath(p) != os.path.realpath(ROOT)]
+    return {**os.environ, "PYTHONPATH": os.pathsep.join([str(rest), *others])}
+
+
 def said(rest, *command):
-    run = subprocess.run([sys.executable, *command], cwd=rest, env={**os.environ, "PYTHONPATH": ""}, capture_output=True, text=True)
+    run = subprocess.run([sys.executable, *command], cwd=rest, env=only(rest), capture_output=True, text=True)
     assert run.returncode == 0, run.stdout + run.stderr
     return run.stdout
 
@@ -32,5 +38,5 @@ def test_errors_inside_the_subpackage_are_not_hidden(rest):
     (rest / "corvane" / "llm" / "__init__.py").write_text("")
     (rest / "corvane" / "llm" / "queries.py").write_text("import no_such_module\n")
     (rest / "corpus_pipeline.py").write_text("")
-    run = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=rest, env={**os.environ, "PYTHONPATH": ""}, capture_output=True, text=True)
+    run = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=rest, env=only(rest), capture_output=True, text=True)
     assert run.returncode and "no_such_module" in run.stderr
