@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,10 +10,13 @@ from corvane.functions import keys
 from corvane.operators import catalog, joins, ordering, reconcile, reports, selection
 from corvane.plans import bind
 from corvane.plans.bind import table
-from corvane.plans.records import _K, _E, _catalog, _catalog_events
+from corvane.plans.records import ORACLES as _RECORDS
+from corvane.plans.records import _K, _E, _catalog, _catalog_events, catalog_states
 from corvane.sources import journals, payloads
 from corvane.sources.scratch import fresh_path
 from corvane.streaming import events as streams
+from corvane.streaming import outbox
+from corvane.streaming.store import BucketedTable
 
 _LINE = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus")
 
@@ -242,6 +246,44 @@ def replayed_catalog(spark, sf):
     return both.groupBy("file_status", "last_attempt_status").agg(F.count("*").alias("documents"), F.count("replayed").alias("replayed"))
 
 
+def replayed_states(spark, sf):
+    """Events as an outbox of four files, some twice, one bad in the middle, replayed into a stored catalog: the stream stops there, the event is set aside, the stream goes on."""
+    e = _catalog_events(spark, sf)
+    half = table(spark, sf, "events").count() // 2
+    payload = F.to_json(F.struct(*catalog.COLUMNS), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    event = F.to_json(F.struct((F.col("seq") * 2).alias("seq"), F.concat(F.lit("e"), F.col("seq").cast("string")).alias("event_id"), F.struct("operation", payload.alias("payload")).alias("event")))
+    lines = e.select("seq", event.alias("value"))
+    bad = F.to_json(F.struct((F.col("seq") * 2 + 1).alias("seq"), F.lit("bad").alias("event_id"), F.struct(F.lit("drop_all").alias("operation"), F.lit("{}").alias("payload")).alias("event")))
+    lines = lines.union(lines.where("seq % 7 = 0")).union(e.where(F.col("seq") == half).select("seq", bad.alias("value")))
+    source, path, log, aside = (fresh_path(spark, n) for n in ("outbox", "replayed", "log", "aside"))
+    for i in range(4):
+        part = lines.where((F.col("seq") > half * i // 2) & ((F.col("seq") <= half * (i + 1) // 2) | F.lit(i == 3)))
+        part.repartition(1).sortWithinPartitions("seq").select("value").write.mode("append").text(source)
+    spark.createDataFrame([], outbox.IDS).write.json(aside)
+    try:
+        outbox.replay_outbox(spark, source, path, log, aside, files=1, buckets=16).awaitTermination()
+        raise AssertionError("the bad event should have stopped the stream")
+    except StreamingQueryException as stopped:
+        if "PoisonedEventError" not in str(stopped):
+            raise
+    spark.createDataFrame([("bad",)], outbox.IDS).write.mode("append").json(aside)
+    outbox.replay_outbox(spark, source, path, log, aside, files=1).awaitTermination()
+    return catalog_states(outbox.catalog_table(spark, path).read())
+
+
+def stored_rows(spark, sf):
+    """A stored catalog in buckets after a second batch that touches some of them, and three of its documents found by key."""
+    e = _catalog_events(spark, sf)
+    stored = BucketedTable(spark, fresh_path(spark, "stored"), catalog.SCHEMA, "document_key", buckets=64)
+    later = F.col("document_key").endswith("3") & (F.col("seq") > 100)
+    stored.overwrite(catalog.merge_events(spark.createDataFrame([], catalog.SCHEMA), e.where(~later)))
+    rest = e.where(later)
+    merged = fresh_path(spark, "merged")
+    catalog.merge_events(stored.read(stored.touched(rest)), rest).write.parquet(merged)
+    stored.overwrite(spark.read.schema(catalog.SCHEMA).parquet(merged))
+    return catalog_states(stored.lookup("DOC_0000000003", "DOC_0000000004", "DOC_0000000013", "DOC_x"))
+
+
 def quarantined_events(spark, sf):
     """Requests to set events aside: only pending ones can be."""
     e = bind.changes(spark, sf)
@@ -367,7 +409,7 @@ def catalog_companies(spark, sf):
 
 _FEEDS = (
     list_payloads, bad_payloads, inner_cells, xml_lists, xml_column_lists, html_lists, section_links, journal_rows, journal_errors, outbox_events, outbox_errors, latest_runs, filed_by_month, record_files, folder_digests, stored_folders, content_digests,
-    catalog_lookups, catalog_row, company_documents, projected_records, metadata_entries, provenance_errors, replayed_catalog, quarantined_events, outbox_summary, event_previews, detail_periods, zipped_lists, best_details, unfinished_products, redirected_records, usable_images,
+    catalog_lookups, catalog_row, company_documents, projected_records, metadata_entries, provenance_errors, replayed_catalog, replayed_states, stored_rows, quarantined_events, outbox_summary, event_previews, detail_periods, zipped_lists, best_details, unfinished_products, redirected_records, usable_images,
     longest_texts, numbered_tables, open_moves, recovered_moves, recovery_counts, committed_rows, catalog_companies,
 )
 QUERIES = {f.__name__: f for f in _FEEDS}
@@ -410,6 +452,8 @@ SELECT o_orderkey AS record_id, CASE WHEN tried IS NULL THEN 'upsert_seen' ELSE
     "metadata_entries": "SELECT 'checkpoint_key' AS name, count(*) AS rows, 1 AS values FROM events UNION ALL SELECT CASE WHEN event_id % 2 = 0 THEN 'migration' ELSE 'final_url' END, count(*), count(DISTINCT event_id) FROM events GROUP BY 1",
     "provenance_errors": "WITH r AS (SELECT CASE WHEN event_id % 100 = 0 THEN '07' WHEN event_id % 10 = 1 THEN user_id::VARCHAR ELSE (event_id + 1000000)::VARCHAR END AS source_row FROM events) SELECT source_row, count(*) AS documents FROM r GROUP BY 1 HAVING NOT regexp_full_match(source_row, '[1-9][0-9]*') OR count(*) > 1",
     "replayed_catalog": f"WITH {_K}, later AS (SELECT DISTINCT document_key FROM e WHERE seq > (SELECT count(*) // 2 FROM e)) SELECT file_status, last_attempt_status, count(*) AS documents, count(later.document_key) AS replayed FROM cat LEFT JOIN later USING (document_key) GROUP BY 1, 2",
+    "replayed_states": _RECORDS["merged_catalog"],
+    "stored_rows": f"SELECT * FROM ({_RECORDS['merged_catalog']}) WHERE document_key IN ('DOC_0000000003', 'DOC_0000000004', 'DOC_0000000013', 'DOC_x')",
     "quarantined_events": "SELECT event_id, 'bad' AS reason FROM events WHERE event_type = 'error' AND event_id % 3 <> 0 AND event_id % 5 <> 0",
     "outbox_summary": "SELECT 'pending' AS what, count(*) AS n FROM events WHERE event_type <> 'view' UNION ALL SELECT 'failure:' || event_type, count(*) FROM events GROUP BY 1",
     "event_previews": f"WITH {_E} SELECT event_id, operation, event_id % 14 AS rows, array_to_string(list_transform(range(least(event_id % 14, 10)), lambda i: substr(document_key, 1, 12)), ',') AS first_keys FROM e",

@@ -90,15 +90,20 @@ def _catalog(spark, sf):
     return catalog.merge_events(spark.createDataFrame([], catalog.SCHEMA), _catalog_events(spark, sf))
 
 
-def merged_catalog(spark, sf):
-    """Events out of order, merged into the latest state of each document."""
+def catalog_states(rows):
+    """The columns of catalog rows that events set, as they are compared with SQL's."""
     clock = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
-    return _catalog(spark, sf).select(
+    return rows.select(
         "document_key", "product_name", "last_seen_run_id", clock("last_seen_at"), "sale_status", clock("status_checked_at"), "status_missing_count", "document_label", "file_status", "sha256", "file_size",
         "last_attempt_status", clock("last_attempt_at"), clock("downloaded_at"), "last_download_run_id", "last_status_run_id", F.try_element_at("source_metadata", F.lit("migration")).alias("migration"), F.try_element_at("source_metadata", F.lit("final_url")).alias("final_url"),
     )
 
 
+def merged_catalog(spark, sf):
+    """Events out of order, merged into the latest state of each document."""
+    return catalog_states(_catalog(spark, sf))
+
+
 def catalog_report(spark, sf):
     return catalog.constraint_report(_catalog(spark, sf))
 
