@@ -23,7 +23,7 @@ FILE_STATES = ("PENDING", "AVAILABLE", "UNAVAILABLE", "INVALID", "MANUAL_REVIEW"
 
 def _key(raw: Column, composed: bool) -> Column:
     text = nfc(raw) if composed else raw.cast("string")
-    return F.regexp_replace(F.lower(empty_if_null(text)), r"(?U)[\s​﻿]+", "")
+    return F.regexp_replace(F.lower(empty_if_null(text)), r"(?U)[\s\x{200b}\x{feff}]+", "")
 
 
 def sale_state(raw: Column, explicit: Column | None = None, end: Column | None = None, as_of: Column | None = None, composed: bool = True) -> Column:

@@ -1,5 +1,6 @@
 """Rule tables: inputs and what is expected of them."""
 
+import json
 import datetime as dt
 
 import pytest
@@ -97,6 +98,13 @@ def test_links(spark):
     assert run(spark, [("ⅣＡ　b",), ("ASCII",)], "v string", text.folded(F.col("v"))) == ["iva b", "ascii"]
 
 
+def test_scrubbed_columns_and_json_agree(spark):
+    rows = ["http://h/p?a=1&token=2&b=#f", "HTTP://H/p", "http://h/p?", "http://h/?q=%20a+b&%ED%95%9C=한", "//h/p?a=1", "//h/p?sig=1&a", "a b\t c?x=1#y", "http://h?access-key=1", "mailto:x?auth=1&b=2*~", "x://h/?&&a&=1", "?", "#f", "http://h/%zz?a=%zz", "post|x?token=1", "POST|x?token=1#z"]
+    one = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, u string").select("i", text.scrub_url(F.col("u")).alias("a"), text.scrub_json(F.to_json(F.struct(F.array("u").alias("v")))).alias("b")).orderBy("i").collect()
+    assert [r.a for r in one] == [json.loads(r.b)["v"][0] for r in one]
+    assert [r.a for r in one][:7] == ["http://h/p?a=1&b=", "http://H/p", "http://h/p", "http://h/?q=+a+b&%ED%95%9C=%ED%95%9C", "//h/p?a=1", "//h/p?a=", "a b c?x=1#y"]
+
+
 def test_keys(spark):
     version = keys.product_version_key(*map(F.col, "cpnstu"))
     rows = [("A", "1", " n  m ", "2026-01-01", "2026-01-01", "u"), ("A", "1", "n m", "2026-01-01", "2026-01-01", "u"), ("B", None, "", None, None, None)]
