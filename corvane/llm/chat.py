@@ -35,13 +35,22 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: m[1], text)
 
 
-def paths(value: object, at: str = "") -> set[str]:
-    """Paths of the leaves of a nested record; list items share the path ``[]``, and kinds are told apart."""
-    if isinstance(value, dict):
-        return {p for k, v in value.items() for p in paths(v, f"{at}.{k}")} or {f"{at}:object"}
-    if isinstance(value, list):
-        return {p for v in value for p in paths(v, f"{at}[]")} or {f"{at}[]"}
-    return {at}
+def paths(value: object) -> set[str]:
+    """Paths of the leaves of a nested record; list items share the path ``[]``, and kinds are told apart. Depth is bounded by memory only."""
+    found, todo = set(), [("", value)]
+    while todo:
+        at, own = todo.pop()
+        if isinstance(own, dict):
+            todo += [(f"{at}.{k}", v) for k, v in own.items()]
+            if not own:
+                found.add(f"{at}:object")
+        elif isinstance(own, list):
+            todo += [(f"{at}[]", v) for v in own]
+            if not own:
+                found.add(f"{at}[]")
+        else:
+            found.add(at)
+    return found
 
 
 def fingerprint(value: object) -> str:
@@ -151,7 +160,7 @@ def format_records(records: DataFrame) -> DataFrame:
     """``records(conv_id, record)``, each record a JSON string -> ``conv_id, layout, formatted, mask``.
 
     ``layout`` is the record's fingerprint; ``formatted`` and ``mask`` (spans of characters under the loss) are null if
-    no mapping is known for it, or if the record is null or no JSON. Missing and null texts are empty; rows are formatted one by one,
+    no mapping is known for it, or if the record is null, no JSON, or nested beyond what the JSON reader takes (some thousand levels). Missing and null texts are empty; rows are formatted one by one,
     so repeated ones come out repeated; an empty table gives an empty one; other columns are not read.
     """
 
@@ -161,7 +170,7 @@ def format_records(records: DataFrame) -> DataFrame:
             for conv, text in zip(frame["conv_id"], frame["record"], strict=True):
                 try:
                     record = json.loads(text) if isinstance(text, str) else None
-                except ValueError:
+                except (ValueError, RecursionError):
                     record = None
                 turns = canonical(record)
                 formatted, spans = render(turns) if turns is not None else (None, None)

@@ -84,3 +84,10 @@ def test_odd_items_and_roles():
     assert canonical({"messages": [{"role": "user", "content": "a"}, "b"]}) is None and canonical({"messages": ["a"]}) is None
     assert canonical({"turns": [{"role": "Human", "text": "a"}]}) == [("Human", "a")]
     assert canonical({"messages": [{"role": "Human", "content": "a"}]}) == [("user", "a")]
+
+
+@pytest.mark.parametrize("depth", [500, 3_000, 100_000])
+def test_deeply_nested_records(spark, depth):
+    rows = [(1, "[" * depth + "]" * depth), (2, '{"a":' * depth + "1" + "}" * depth), (3, '{"prompt":"p","completion":"c"}')]
+    got = {r.conv_id: r for r in format_records(spark.createDataFrame(rows, "conv_id long, record string")).collect()}
+    assert got[1].formatted is None and got[2].formatted is None and got[3].formatted
