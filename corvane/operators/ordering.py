@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -64,6 +64,48 @@ def collision_names(df: DataFrame, path: str, digest: str, seq: str = "ingest_se
     return ranked.withColumn("stored_path", stored).withColumn("outcome", outcome).drop("_first", "_n")
 
 
+def names_beside_stored(df: DataFrame, path: str, digest: str, stored: DataFrame, seq: str = "ingest_seq") -> DataFrame:
+    """The same where files are stored already, ``stored(stored_path, digest)``: ``x_3.pdf`` takes number 3 of ``x.pdf`` (and 1 of itself).
+
+    A content that a path has under any of its numbers isn't stored again; new ones take the numbers that are free, in order of arrival.
+    With a path's taken numbers in order, the i-th being t, those up to the k-th free one are the ones with t - i + 1 <= k; a running count over
+    taken and new numbers together says how many.
+    """
+    form = r"^(.*?)(?:_(\d+))?(\.[A-Za-z0-9]{1,10})?$"
+    number = F.regexp_extract("stored_path", form, 2)
+    own = stored.select(F.col("stored_path").alias("_path"), F.lit(1).cast("long").alias("_taken"), F.col("digest").alias("_digest"), "stored_path")
+    base = F.concat(F.regexp_extract("stored_path", form, 1), F.regexp_extract("stored_path", form, 3))
+    of_base = stored.where(number.try_cast("long") >= 2).where(~F.startswith(number, F.lit("0"))).select(base, number.cast("long"), "digest", "stored_path")
+    family = own.union(of_base)
+    held = family.groupBy("_path", "_digest").agg(F.min_by("stored_path", "_taken").alias("_held"))
+    told = df.join(held, (F.col(path) == F.col("_path")) & (F.col(digest) == F.col("_digest")), "left").drop("_path", "_digest")
+    known = told.where("_held is not null").withColumn("stored_path", F.col("_held")).withColumn("outcome", F.lit("DUPLICATE_SKIPPED")).drop("_held")
+    new = told.where("_held is null").drop("_held")
+    first = F.min(seq).over(Window.partitionBy(path, digest))
+    ranked = new.withColumn("_first", first).withColumn("_k", F.dense_rank().over(Window.partitionBy(path).orderBy("_first")).cast("long"))
+    taken = family.select("_path", "_taken").distinct().withColumn("_at", F.col("_taken") - F.row_number().over(Window.partitionBy("_path").orderBy("_taken")) + 1)
+    both = taken.select("_path", "_at", F.lit(0).alias("_new")).union(ranked.select(path, "_k", F.lit(1)).distinct())
+    before = F.count_if(F.col("_new") == 0).over(Window.partitionBy("_path").orderBy("_at", "_new").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbers = both.withColumn("_n", F.col("_at") + before).where("_new = 1").select(F.col("_path").alias("_p"), F.col("_at").alias("_a"), "_n")
+    placed = ranked.join(numbers, (F.col(path) == F.col("_p")) & (F.col("_k") == F.col("_a")))
+    stem, end = F.regexp_extract(path, r"^(.*?)(\.[A-Za-z0-9]{1,10})?$", 1), F.regexp_extract(path, r"^(.*?)(\.[A-Za-z0-9]{1,10})?$", 2)
+    name = F.when(F.col("_n") == 1, F.col(path)).otherwise(F.concat(stem, F.lit("_"), F.col("_n").cast("string"), end))
+    outcome = F.when(F.col(seq) == F.col("_first"), "SUCCESS").otherwise("DUPLICATE_SKIPPED")
+    out = placed.withColumn("stored_path", name).withColumn("outcome", outcome).drop("_first", "_k", "_p", "_a", "_n")
+    return known.unionByName(out)
+
+
+def first_wins_counted(df: DataFrame, keys: list[str], seq: str = "ingest_seq", undated: str | None = None) -> tuple[DataFrame, Observation, Observation]:
+    """``first_wins`` that counts on the way: ``raw`` rows before, ``kept`` rows after (and ``undated`` ones, whose column is null).
+
+    The counts are there once the result has been written or collected; they cost no scan of their own.
+    """
+    before, after = Observation(), Observation()
+    kept = first_wins(df.observe(before, F.count(F.lit(1)).alias("raw")), keys, seq)
+    counts = [F.count(F.lit(1)).alias("kept"), *([F.count_if(F.col(undated).isNull()).alias("undated")] if undated else [])]
+    return kept.observe(after, *counts), before, after
+
+
 def numbered(df: DataFrame, group: list[str], order: list[Column], name: str = "n") -> DataFrame:
     """Rows numbered from 1 in each group."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.operators.numbering import numbered_at_scale
+
 from corvane.functions.status import RETRYABLE
 
 KINDS = ("POLICY", "SUMMARY", "METHOD")
@@ -75,6 +77,11 @@ def monthly_index(plan: DataFrame) -> DataFrame:
     return plan.groupBy("month").agg(F.count("*").alias("items"), F.transform(F.array_sort(F.collect_list(F.struct("ingest_seq", "plan_key"))), lambda x: x["plan_key"]).alias("plan_keys"))
 
 
+def monthly_keys(plan: DataFrame) -> DataFrame:
+    """The same index as rows ``month, place, plan_key``, places from 1 in arrival order, for months of any size."""
+    return numbered_at_scale(plan.select("month", "ingest_seq", "plan_key"), "month", ["ingest_seq"], "place").select("month", "place", "plan_key")
+
+
 def monthly_counts(plan: DataFrame) -> DataFrame:
     """Plan items of each month."""
     return plan.groupBy("month").agg(F.count("*").alias("items"))

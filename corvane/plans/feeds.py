@@ -143,6 +143,16 @@ def latest_runs(spark, sf):
     return journals.latest_run(runs)
 
 
+def published_runs(spark, sf):
+    """Summaries of runs, one for each day and kind of event, published under their exact names and read back; some aren't finished."""
+    e = bind.changes(spark, sf)
+    runs = e.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("run_day"), F.concat(F.lit("run_"), F.col("event_type")).alias("run_id")).agg(F.count("*").alias("total_records"))
+    path = fresh_path(spark, "runs")
+    finished = F.when(F.col("total_records") % 5 != 0, F.col("run_day")).alias("finished_at")
+    journals.publish_summaries(runs.select("*", F.lit(3).alias("layout_version"), finished, F.when(F.col("total_records") % 3 == 0, "PARTIAL_SUCCESS").otherwise("SUCCESS").alias("run_status")), path)
+    return journals.completed_runs(spark, path).select("run_day", "run_id", "run_status", "total_records")
+
+
 def filed_by_month(spark, sf):
     """The plan filed under its months, and read back by folder."""
     path = fresh_path(spark, "plan")
@@ -408,7 +418,7 @@ def catalog_companies(spark, sf):
 
 
 _FEEDS = (
-    list_payloads, bad_payloads, inner_cells, xml_lists, xml_column_lists, html_lists, section_links, journal_rows, journal_errors, outbox_events, outbox_errors, latest_runs, filed_by_month, record_files, folder_digests, stored_folders, content_digests,
+    list_payloads, bad_payloads, inner_cells, xml_lists, xml_column_lists, html_lists, section_links, journal_rows, journal_errors, outbox_events, outbox_errors, latest_runs, published_runs, filed_by_month, record_files, folder_digests, stored_folders, content_digests,
     catalog_lookups, catalog_row, company_documents, projected_records, metadata_entries, provenance_errors, replayed_catalog, replayed_states, stored_rows, quarantined_events, outbox_summary, event_previews, detail_periods, zipped_lists, best_details, unfinished_products, redirected_records, usable_images,
     longest_texts, numbered_tables, open_moves, recovered_moves, recovery_counts, committed_rows, catalog_companies,
 )
@@ -434,6 +444,7 @@ ORACLES = {
     "outbox_events": f"WITH {_OUT} SELECT op AS operation, count(*) AS events, min(seq) AS first_seq, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_at FROM y WHERE good GROUP BY 1",
     "outbox_errors": f"WITH {_OUT} SELECT seq AS ingest_seq FROM y WHERE NOT good",
     "latest_runs": "SELECT strftime(ts, '%Y-%m-%d') AS run_day, 'run_' || event_type AS run_id, count(*) AS total_records FROM events GROUP BY 1, 2 ORDER BY 1 DESC, 2 DESC LIMIT 1",
+    "published_runs": """SELECT strftime(ts, '%Y-%m-%d') AS run_day, 'run_' || event_type AS run_id, CASE WHEN count(*) % 3 = 0 THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END AS run_status, count(*) AS total_records FROM events GROUP BY 1, 2 HAVING count(*) % 5 <> 0""",
     "filed_by_month": "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS items, sum(o_orderkey)::BIGINT AS seqs FROM orders GROUP BY 1",
     "record_files": """WITH d AS (SELECT CASE WHEN doc_id % 30 <> 0 THEN source END AS doc_id, doc_id AS n FROM documents)
 SELECT doc_id, count(*) AS rows, count(*) FILTER (n % 7 = 0) AS total, 'pages' AS kind FROM d WHERE doc_id IS NOT NULL GROUP BY 1 UNION ALL SELECT doc_id, count(*), sum(n)::BIGINT, 'images' FROM d WHERE doc_id IS NOT NULL GROUP BY 1

@@ -37,6 +37,10 @@ def monthly_index(spark, sf):
     return reports.monthly_index(bind.plan(spark, sf)).select("month", "items", F.sha2(F.array_join("plan_keys", ","), 256).alias("keys_digest"))
 
 
+def monthly_keys(spark, sf):
+    return reports.monthly_keys(bind.plan(spark, sf))
+
+
 def monthly_counts(spark, sf):
     return reports.monthly_counts(bind.plan(spark, sf))
 
@@ -149,6 +153,15 @@ def status_update_outcomes(spark, sf):
     return outcome
 
 
+def all_status_updates(spark, sf):
+    """The outcomes of one status update for each event."""
+    e = bind.changes(spark, sf)
+    late = e.select("seq", F.when(F.col("event_id") % 9 == 1, F.concat(F.lit("DOC_x"), F.col("event_id").cast("string"))).otherwise(F.col("document_key")).alias("document_key"), F.coalesce("checked_at", "seen_at").alias("status_checked_at"), F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("last_status_run_id"))
+    kinds = dict(part.split(" ", 1) for part in catalog.SCHEMA.split(", "))
+    fill = [F.lit(None).cast(kinds[c]).alias(c) for c in catalog.STATUS if c != "status_checked_at"]
+    return catalog.apply_status_updates(_catalog(spark, sf), late.select("*", *fill, F.lit(None).cast("string").alias("saved_relative_path")))[1]
+
+
 def identity_collisions(spark, sf):
     e = _catalog_events(spark, sf).withColumn("source_product_id", F.when(F.col("seq") % 100 == 7, "other").otherwise("same"))
     return catalog.identity_collisions(spark.createDataFrame([], catalog.SCHEMA), e)
@@ -255,9 +268,17 @@ def word_differences(spark, sf):
     return diff.groupBy("conv_id").agg(F.sum("missing").alias("missing"), F.sum("added").alias("added"))
 
 
+def _images(spark, sf):
+    return table(spark, sf, "documents").select(F.col("lang").alias("doc_id"), F.col("doc_id").cast("int").alias("page_no"), F.sha2("text", 256).alias("sha256"), F.col("doc_id").alias("image_id"), *[F.lit(0.0).alias(c) for c in ("x0", "top", "x1", "bottom")])
+
+
+def image_occurrences(spark, sf):
+    """Every occurrence of an image as a row."""
+    return pages.image_occurrences(_images(spark, sf)).select("doc_id", "sha256", "image_id", "occurrence_no", "page_no")
+
+
 def distinct_images(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("lang").alias("doc_id"), F.col("doc_id").cast("int").alias("page_no"), F.sha2("text", 256).alias("sha256"), F.col("doc_id").alias("image_id"), *[F.lit(0.0).alias(c) for c in ("x0", "top", "x1", "bottom")])
-    return pages.unique_images(d).select("doc_id", "sha256", "image_id", "occurrence_count", F.array_join(F.transform("occurrences", lambda o: o["page_no"].cast("string")), ",").alias("page_nos"))
+    return pages.unique_images(_images(spark, sf)).select("doc_id", "sha256", "image_id", "occurrence_count", F.array_join(F.transform("occurrences", lambda o: o["page_no"].cast("string")), ",").alias("page_nos"))
 
 
 def response_checks(spark, sf):
@@ -299,7 +320,7 @@ def missing_companies(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        pending_plan, orphan_states, latest_downloads, monthly_index, monthly_counts, plan_status_counts, retried, changed_plans, run_roll, merged_catalog, catalog_report, catalog_overview, catalog_violations, catalog_faults, catalog_status_pairs, status_update_outcomes, identity_collisions,
+        pending_plan, orphan_states, latest_downloads, monthly_index, monthly_keys, image_occurrences, monthly_counts, all_status_updates, plan_status_counts, retried, changed_plans, run_roll, merged_catalog, catalog_report, catalog_overview, catalog_violations, catalog_faults, catalog_status_pairs, status_update_outcomes, identity_collisions,
         pending_events, compacted, failures, absent_versions, reconcile_stats, reconcile_actions, reconciled_rows, links, link_targets, carried_types, repeated_page_lines, page_statuses, table_metrics, table_texts, word_differences,
         distinct_images, response_checks, stored_checks, attempt_selection, decoded_payloads, union_of_channels, missing_companies,
     )
@@ -366,6 +387,8 @@ WHERE NOT coalesce(s.download_status IN ('SUCCESS', 'DUPLICATE_SKIPPED') AND c_c
     "orphan_states": f"WITH {_P} SELECT month, count(*) AS orphans FROM p WHERE ingest_seq % 10 = 3 GROUP BY 1",
     "latest_downloads": f"WITH {_P} SELECT dedupe_key, plan_key, download_status FROM (SELECT *, row_number() OVER (PARTITION BY dedupe_key ORDER BY updated_at DESC, ingest_seq DESC) AS rn FROM p) WHERE rn = 1",
     "monthly_index": f"WITH {_P} SELECT month, count(*) AS items, sha256(string_agg(plan_key, ',' ORDER BY ingest_seq)) AS keys_digest FROM p GROUP BY 1",
+    "monthly_keys": f"WITH {_P} SELECT month, row_number() OVER (PARTITION BY month ORDER BY ingest_seq) AS place, plan_key FROM p",
+    "image_occurrences": "SELECT lang AS doc_id, sha256(text) AS sha256, min(doc_id) OVER (PARTITION BY lang, sha256(text)) AS image_id, row_number() OVER (PARTITION BY lang, sha256(text) ORDER BY doc_id) AS occurrence_no, doc_id AS page_no FROM documents",
     "monthly_counts": f"WITH {_P} SELECT month, count(*) AS items FROM p GROUP BY 1",
     "plan_status_counts": f"WITH {_P} SELECT 'C' || substr(dedupe_key, 1, 1) AS company_code, download_status, count(*) AS n FROM p GROUP BY 1, 2 UNION ALL SELECT NULL, download_status, count(*) FROM p GROUP BY 2",
     "retried": f"""WITH {_P}, s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dedupe_key ORDER BY ingest_seq DESC) AS rn FROM p) WHERE rn = 1)
@@ -386,6 +409,10 @@ SELECT rule, (SELECT count(*) FROM events WHERE event_id % k = 0) AS bad_rows FR
     "status_update_outcomes": f"""WITH {_K}, a AS (
   SELECT 0 AS seq, document_key, status_checked_at AS t FROM cat UNION ALL SELECT seq, CASE WHEN event_id % 9 = 1 THEN 'DOC_x' || event_id ELSE document_key END, coalesce(checked_at, seen_at) FROM e WHERE event_id % 2 = 1
 ), j AS (SELECT *, bool_or(seq = 0) OVER (PARTITION BY document_key) AS there, max(t) OVER (PARTITION BY document_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM a)
+SELECT count(*) AS requested, count(*) FILTER (there AND (latest IS NULL OR t >= latest)) AS updated, count(*) FILTER (there AND t < latest) AS stale_noop, count(*) FILTER (NOT there) AS missing FROM j WHERE seq > 0""",
+    "all_status_updates": f"""WITH {_K}, a AS (
+  SELECT 0 AS seq, document_key, status_checked_at AS t FROM cat UNION ALL SELECT seq, CASE WHEN event_id % 9 = 1 THEN 'DOC_x' || event_id ELSE document_key END, coalesce(checked_at, seen_at) FROM e
+), j AS (SELECT *, bool_or(seq = 0) OVER (PARTITION BY document_key) AS there, max(t) OVER (PARTITION BY document_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM a)
 SELECT count(*) AS requested, count(*) FILTER (there AND (latest IS NULL OR t >= latest)) AS updated, count(*) FILTER (there AND t < latest) AS stale_noop, count(*) FILTER (NOT there) AS missing FROM j WHERE seq > 0""",
     "identity_collisions": f"""WITH {_E}, i AS (SELECT *, seq % 100 = 7 AS other, arg_min(seq % 100 = 7, seq) OVER (PARTITION BY document_key) AS first_other FROM e) SELECT document_key, seq FROM i WHERE other <> first_other""",
     "pending_events": f"WITH {_E} SELECT operation, event_type, count(*) AS pending FROM e WHERE event_type <> 'view' AND event_id % 13 <> 0 GROUP BY 1, 2",

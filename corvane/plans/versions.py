@@ -216,6 +216,50 @@ def collisions(spark, sf):
     return ordering.collision_names(v, "path", "digest").select("l_orderkey", "l_linenumber", "stored_path", "outcome")
 
 
+def collisions_beside_stored(spark, sf):
+    """File names where a first half of the versions is stored already, under the names it got, and one number of each path has been deleted."""
+    v = ordering.first_wins(bind.versions(spark, sf), ["l_orderkey", "l_linenumber"])
+    v = v.select("ingest_seq", "l_orderkey", "l_linenumber", F.concat("company_code", F.lit("/"), F.col("l_partkey").cast("string"), F.lit(".pdf")).alias("path"), F.concat("raw_status", F.col("l_linenumber").cast("string")).alias("digest"))
+    early = F.col("l_orderkey") % 2 == 0
+    stored = ordering.collision_names(v.where(early), "path", "digest").where("outcome = 'SUCCESS' and not stored_path like '%\\_2.pdf'").select("stored_path", "digest")
+    return ordering.names_beside_stored(v.where(~early), "path", "digest", stored).select("l_orderkey", "l_linenumber", "stored_path", "outcome")
+
+
+def counted_versions(spark, sf):
+    """What a dedup of versions sees, keeps and can't date, counted while it runs."""
+    kept, before, after = ordering.first_wins_counted(bind.versions(spark, sf), ["company_code", "source_product_id", "sale_start_date"], undated="target_date")
+    kept.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(before.get["raw"], after.get["kept"], after.get["undated"])], "raw long, kept long, undated long")
+
+
+def _all_matchable(spark, sf):
+    v = bind.versions(spark, sf)
+
+    def side(keep):
+        return v.select("company_code", F.when(keep, F.col("source_product_id")).alias("source_product_id"), F.col("product_name").alias("name"), F.col("sale_start_date").cast("string").alias("sale_start"), F.col("target_date").cast("string").alias("target"), "raw_status").distinct()
+
+    return side(F.col("l_orderkey") % 4 != 0), side(F.col("l_orderkey") % 5 != 0)
+
+
+def all_version_matches(spark, sf):
+    """All versions, some without an id, against all versions, others without one."""
+    a, b = (x.drop("raw_status").distinct() for x in _all_matchable(spark, sf))
+    return joins.match_versions(a, b).groupBy(F.col("v.company_code").alias("company_code")).agg(F.count("*").alias("matches"))
+
+
+def all_active_matches(spark, sf):
+    """Versions that aren't on sale and that one on sale could be."""
+    a, b = _all_matchable(spark, sf)
+    rows, active = (x.drop("raw_status", "target").distinct() for x in (a.where("raw_status <> '판매중'"), b.where("raw_status = '판매중'")))
+    return joins.matches_active(rows, active).groupBy("company_code").agg(F.count("*").alias("n"))
+
+
+def all_companies(spark, sf):
+    """All companies against the registry of all suppliers with money in their account."""
+    registry = table(spark, sf, "supplier").where("s_acctbal > 0").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.upper("n_name").alias("code"))
+    return reports.company_listing(bind.companies(spark, sf), registry)
+
+
 def dedup_statistics(spark, sf):
     return reports.dedup_statistics(bind.versions(spark, sf), ["source_product_id", "sale_start_date"])
 
@@ -263,7 +307,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         period_overview, dates_parsed, periods_parsed, clocks_parsed, versions_by_mode, date_bases, sale_states, document_kinds, kind_counts, document_outcomes, file_states, storage_names, file_names, path_report,
-        key_properties, plain_keys, active_versions, candidate_rows, enriched, company_checks, company_list, registry_gaps, first_versions, last_versions, capped_versions, sample_products, collisions, dedup_statistics,
+        key_properties, plain_keys, active_versions, candidate_rows, enriched, company_checks, company_list, all_companies, all_version_matches, all_active_matches, collisions_beside_stored, counted_versions, registry_gaps, first_versions, last_versions, capped_versions, sample_products, collisions, dedup_statistics,
         repeated_versions, product_counts, link_report, version_matches, active_matches,
     )
 }
@@ -326,6 +370,29 @@ SELECT code, 'MISSING' AS side FROM a WHERE code NOT IN (SELECT code FROM r) UNI
     "collisions": f"""WITH {_V}, o AS (SELECT *, company_code || '/' || l_partkey AS path FROM (SELECT *, {_FIRST.format('l_orderkey, l_linenumber')} AS rn FROM v) WHERE rn = 1),
 n AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY {SQL['seq']}) AS i FROM o), f AS (SELECT *, min(i) OVER (PARTITION BY path, raw_status) AS first_i FROM n)
 SELECT l_orderkey, l_linenumber, path || CASE WHEN k = 1 THEN '' ELSE '_' || k END || '.pdf' AS stored_path, CASE WHEN i = first_i THEN 'SUCCESS' ELSE 'DUPLICATE_SKIPPED' END AS outcome FROM (SELECT *, dense_rank() OVER (PARTITION BY path ORDER BY first_i) AS k FROM f)""",
+    "collisions_beside_stored": f"""WITH {_V}, o AS (SELECT *, company_code || '/' || l_partkey AS path, raw_status || l_linenumber AS digest FROM (SELECT *, {_FIRST.format('l_orderkey, l_linenumber')} AS rn FROM v) WHERE rn = 1),
+n AS (SELECT *, row_number() OVER (PARTITION BY path, l_orderkey % 2 ORDER BY {SQL['seq']}) AS i FROM o), f AS (SELECT *, min(i) OVER (PARTITION BY path, l_orderkey % 2, digest) AS first_i FROM n),
+k AS (SELECT *, dense_rank() OVER (PARTITION BY path, l_orderkey % 2 ORDER BY first_i) AS k FROM f),
+s AS (SELECT path, k AS taken, digest FROM k WHERE l_orderkey % 2 = 0 AND i = first_i AND k <> 2),
+w AS (SELECT x.*, s.taken FROM k x LEFT JOIN s ON s.path = x.path AND s.digest = x.digest WHERE l_orderkey % 2 = 1),
+c AS (SELECT path, digest, dense_rank() OVER (PARTITION BY path ORDER BY first_i) AS fresh FROM (SELECT DISTINCT path, digest, first_i FROM w WHERE taken IS NULL)),
+g AS (SELECT path, max(taken) AS top FROM s GROUP BY 1),
+free AS (SELECT path, n, row_number() OVER (PARTITION BY path ORDER BY n) AS fresh FROM (SELECT p.path, unnest(range(1, p.wanted + coalesce(g.top, 0) + 1)) AS n FROM (SELECT path, count(*) AS wanted FROM c GROUP BY 1) p LEFT JOIN g USING (path)) x WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.path = x.path AND s.taken = x.n))
+SELECT l_orderkey, l_linenumber, w.path || CASE WHEN coalesce(taken, free.n) = 1 THEN '' ELSE '_' || coalesce(taken, free.n) END || '.pdf' AS stored_path, CASE WHEN taken IS NULL AND i = first_i THEN 'SUCCESS' ELSE 'DUPLICATE_SKIPPED' END AS outcome
+FROM w LEFT JOIN c ON c.path = w.path AND c.digest = w.digest LEFT JOIN free ON free.path = c.path AND free.fresh = c.fresh""",
+    "counted_versions": f"WITH {_V}, k AS (SELECT {_FIRST.format('company_code, source_product_id, sale_start_date')} AS rn, target_date FROM v) SELECT count(*) AS raw, count(*) FILTER (rn = 1) AS kept, count(*) FILTER (rn = 1 AND target_date IS NULL) AS undated FROM k",
+    "all_version_matches": f"""WITH {_V}, a AS (SELECT DISTINCT company_code, CASE WHEN l_orderkey % 4 <> 0 THEN source_product_id END AS id, product_name AS name, sale_start_date AS s, target_date AS t FROM v),
+b AS (SELECT DISTINCT company_code, CASE WHEN l_orderkey % 5 <> 0 THEN source_product_id END AS id, product_name AS name, sale_start_date AS s, target_date AS t FROM v)
+SELECT company_code, count(*) AS matches FROM (
+  SELECT a.company_code FROM a JOIN b ON a.company_code = b.company_code AND a.id = b.id AND a.s IS NOT DISTINCT FROM b.s
+  UNION ALL SELECT a.company_code FROM a JOIN b ON a.company_code = b.company_code AND a.name = b.name WHERE (a.id IS NULL OR b.id IS NULL) AND CASE WHEN a.s IS NOT NULL AND b.s IS NOT NULL THEN a.s = b.s ELSE a.t = b.t END) GROUP BY 1""",
+    "all_active_matches": f"""WITH {_V}, a AS (SELECT DISTINCT company_code, CASE WHEN l_orderkey % 4 <> 0 THEN source_product_id END AS id, product_name AS name, sale_start_date AS s FROM v WHERE raw_status <> '판매중'),
+b AS (SELECT DISTINCT company_code, CASE WHEN l_orderkey % 5 <> 0 THEN source_product_id END AS id, product_name AS name, sale_start_date AS s FROM v WHERE raw_status = '판매중')
+SELECT company_code, count(*) AS n FROM (
+  SELECT a.* FROM a JOIN b ON a.company_code = b.company_code AND a.id = b.id AND coalesce(a.s = b.s, true)
+  UNION SELECT a.* FROM a JOIN b ON a.company_code = b.company_code AND a.name = b.name WHERE (a.id IS NULL OR b.id IS NULL) AND coalesce(a.s = b.s, true)) GROUP BY 1""",
+    "all_companies": f"""WITH {_C}, r AS (SELECT DISTINCT upper(n_name) AS code FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0)
+SELECT c.*, r.code IS NOT NULL AS registered, r.code IS NOT NULL AND collection_status = 'ACTIVE' AS runnable FROM c LEFT JOIN r ON r.code = c.code""",
     "dedup_statistics": f"WITH {_V}, k AS (SELECT company_code, source_product_id, sale_start_date, count(*) AS n, max((target_date IS NULL)::INTEGER) AS u FROM v GROUP BY 1, 2, 3) SELECT company_code, sum(n)::BIGINT AS raw, count(*) AS deduped, sum(n)::BIGINT - count(*) AS duplicates, sum(u)::BIGINT AS undated FROM k GROUP BY 1",
     "repeated_versions": "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "product_counts": f"WITH {_V} SELECT company_code, count(DISTINCT (product_name, source_product_id)) AS products FROM v GROUP BY 1",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -88,7 +89,7 @@ SUMMARY = "run_id string, layout_version int, finished_at string, run_status str
 
 def completed_runs(spark: SparkSession, path: str) -> DataFrame:
     """Summaries of finished runs under ``year/month/day/run_id/summary.json``; half-written and odd ones are left out."""
-    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    folder = F.url_decode(F.replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2), F.lit("+"), F.lit("%2B")))
     read = spark.read.schema(SUMMARY).option("multiLine", True).option("mode", "PERMISSIVE").json(f"{path}/*/*/*/*/summary.json")
     day = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})/(\d{2})/(\d{2})/[^/]+/summary\.json$", 0)
     told = read.select("*", folder.alias("_dir"), F.regexp_replace(F.substring(day, 2, 10), "/", "-").alias("run_day"))
@@ -105,6 +106,34 @@ def write_summary(summary: DataFrame, path: str) -> None:
     summary.coalesce(1).write.mode("overwrite").json(path)
 
 
+def publish_summaries(summaries: DataFrame, path: str) -> int:
+    """Each run's summary as one file ``year/month/day/run_id/summary.json`` under ``path``, where ``completed_runs`` finds it; returns how many.
+
+    ``summaries(run_day, run_id, ...)``, a row for each run, with the run's date as ``2026-07-01``. Files are written beside their place and renamed into it, so a reader sees a whole summary or none; a summary
+    that is there already is replaced. One rename for each run passes through the driver.
+    """
+    spark = summaries.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    staged = f"{path.rstrip('/')}/_staged"
+    day = F.split("run_day", "-")
+    folder = F.concat_ws("/", day, "run_id").alias("_folder")
+    text = F.to_json(F.struct(*[c for c in summaries.columns if c != "run_day"])).alias("value")
+    summaries.select(folder, text).repartition("_folder").write.mode("overwrite").partitionBy("_folder").text(staged)
+    root = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = root.getFileSystem(conf)
+    done = 0
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{staged}/_folder=*/part-*")):
+        name = unquote(status.getPath().getParent().getName().removeprefix("_folder="))
+        target = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}/summary.json")
+        fs.mkdirs(target.getParent())
+        if fs.exists(target):
+            fs.delete(target, False)
+        fs.rename(status.getPath(), target)
+        done += 1
+    fs.delete(root, True)
+    return done
+
+
 def write_by_month(plan: DataFrame, path: str) -> None:
     """The plan filed under its months."""
     plan.write.mode("overwrite").partitionBy("month").json(path)
