@@ -172,6 +172,25 @@ def record_files(spark, sf):
     return counts[0].unionByName(counts[1]).unionByName(bad[0]).unionByName(bad[1])
 
 
+def extracted_records(spark, sf):
+    """Lines, tables and warnings of pages written as JSON lines and read back by their schema; every 30th record names no document."""
+    d = table(spark, sf, "documents").select(F.when(F.col("doc_id") % 30 != 0, F.col("source")).alias("doc_id"), F.col("doc_id").cast("int").alias("page_no"), "text", "lang")
+    box = [F.lit(1.0).alias(c) for c in ("x0", "top", "x1", "bottom")]
+    lines = d.select("doc_id", "page_no", F.posexplode(F.split("text", "\n")).alias("line_no", "text"), *box)
+    tables = d.select("doc_id", "page_no", (F.col("page_no") % 4).alias("candidate_index"), F.array(*[F.lit(float(i)) for i in range(4)]).alias("bbox"), F.transform(F.split("text", "\n"), lambda x: F.array(x, F.lit("|"))).alias("rows"))
+    warnings = d.select("doc_id", "lang", "page_no").select("doc_id", F.upper("lang").alias("code"), "page_no", F.concat(F.lit('a "quoted" \\ '), "lang").alias("message"))
+    path = fresh_path(spark, "records")
+    journals.write_records(path, lines=lines, tables=tables, warnings=warnings)
+    sums = {"lines": F.sum(F.length("text")), "tables": F.sum(F.size("rows") + F.col("candidate_index")), "warnings": F.sum(F.length("message") + F.length("code"))}
+    out = None
+    for kind, total in sums.items():
+        good, bad = journals.read_records(spark, path, kind)
+        one = good.groupBy("doc_id").agg(F.count("*").alias("rows"), total.cast("long").alias("total")).withColumn("kind", F.lit(kind))
+        one = one.unionByName(bad.agg(F.lit(None).cast("string").alias("doc_id"), F.count("*").alias("rows"), F.lit(0).cast("long").alias("total")).withColumn("kind", F.lit(f"bad {kind}")))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def folder_digests(spark, sf):
     """Folders of the same files under other names have equal digests."""
     o = table(spark, sf, "orders").select(F.col("o_orderkey"), (F.col("o_orderkey") % 100).alias("folder"))
@@ -418,7 +437,7 @@ def catalog_companies(spark, sf):
 
 
 _FEEDS = (
-    list_payloads, bad_payloads, inner_cells, xml_lists, xml_column_lists, html_lists, section_links, journal_rows, journal_errors, outbox_events, outbox_errors, latest_runs, published_runs, filed_by_month, record_files, folder_digests, stored_folders, content_digests,
+    list_payloads, bad_payloads, inner_cells, xml_lists, xml_column_lists, html_lists, section_links, journal_rows, journal_errors, outbox_events, outbox_errors, latest_runs, published_runs, filed_by_month, record_files, extracted_records, folder_digests, stored_folders, content_digests,
     catalog_lookups, catalog_row, company_documents, projected_records, metadata_entries, provenance_errors, replayed_catalog, replayed_states, stored_rows, quarantined_events, outbox_summary, event_previews, detail_periods, zipped_lists, best_details, unfinished_products, redirected_records, usable_images,
     longest_texts, numbered_tables, open_moves, recovered_moves, recovery_counts, committed_rows, catalog_companies,
 )
@@ -449,6 +468,10 @@ ORACLES = {
     "record_files": """WITH d AS (SELECT CASE WHEN doc_id % 30 <> 0 THEN source END AS doc_id, doc_id AS n FROM documents)
 SELECT doc_id, count(*) AS rows, count(*) FILTER (n % 7 = 0) AS total, 'pages' AS kind FROM d WHERE doc_id IS NOT NULL GROUP BY 1 UNION ALL SELECT doc_id, count(*), sum(n)::BIGINT, 'images' FROM d WHERE doc_id IS NOT NULL GROUP BY 1
 UNION ALL SELECT NULL, count(*), 0, 'bad pages' FROM d WHERE doc_id IS NULL UNION ALL SELECT NULL, count(*), 0, 'bad images' FROM d WHERE doc_id IS NULL""",
+    "extracted_records": """WITH d AS (SELECT CASE WHEN doc_id % 30 <> 0 THEN source END AS doc_id, doc_id AS n, lang, string_split(text, chr(10)) AS l FROM documents), l AS (SELECT doc_id, unnest(l) AS x FROM d)
+SELECT doc_id, count(*) AS rows, sum(length(x))::BIGINT AS total, 'lines' AS kind FROM l WHERE doc_id IS NOT NULL GROUP BY 1 UNION ALL SELECT doc_id, count(*), sum(len(l) + n % 4)::BIGINT, 'tables' FROM d WHERE doc_id IS NOT NULL GROUP BY 1
+UNION ALL SELECT doc_id, count(*), sum(2 * length(lang) + 13)::BIGINT, 'warnings' FROM d WHERE doc_id IS NOT NULL GROUP BY 1
+UNION ALL SELECT NULL, (SELECT count(*) FROM l WHERE doc_id IS NULL), 0, 'bad lines' UNION ALL SELECT NULL, (SELECT count(*) FROM d WHERE doc_id IS NULL), 0, 'bad tables' UNION ALL SELECT NULL, (SELECT count(*) FROM d WHERE doc_id IS NULL), 0, 'bad warnings'""",
     "folder_digests": "SELECT (o_orderkey % 100)::VARCHAR AS folder, count(*) AS files, CASE WHEN bool_or(o_orderkey = 7) THEN 2 ELSE 1 END AS contents FROM orders GROUP BY 1",
     "stored_folders": "SELECT event_type, 1 AS files, 64 AS digits FROM events GROUP BY 1",
     "content_digests": "SELECT doc_id, sha256(text) AS sha256 FROM documents",

@@ -306,6 +306,13 @@ def decoded_payloads(spark, sf):
     return payloads.decoded(bind.encoded_pages(spark, sf)).select("page_id", "charset", "replaced", "text")
 
 
+def decoded_documents(spark, sf):
+    """All texts as UTF-8 bytes whose header says so, says nothing, or names an encoding that nobody knows."""
+    header = F.when(F.col("doc_id") % 3 == 0, "text/html; charset=UTF-8").when(F.col("doc_id") % 3 == 1, "text/html").otherwise("text/html; charset=x-none")
+    bodies = table(spark, sf, "documents").select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("body"), header.alias("content_type"))
+    return payloads.decoded(bodies).select("doc_id", "charset", "replaced", F.sha2("text", 256).alias("text_sha256"))
+
+
 def union_of_channels(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     both = joins.union_tabs({"on_sale": o.where("o_orderstatus = 'O'"), "ended": o.where("o_orderstatus = 'F'")})
@@ -322,7 +329,7 @@ QUERIES = {
     for f in (
         pending_plan, orphan_states, latest_downloads, monthly_index, monthly_keys, image_occurrences, monthly_counts, all_status_updates, plan_status_counts, retried, changed_plans, run_roll, merged_catalog, catalog_report, catalog_overview, catalog_violations, catalog_faults, catalog_status_pairs, status_update_outcomes, identity_collisions,
         pending_events, compacted, failures, absent_versions, reconcile_stats, reconcile_actions, reconciled_rows, links, link_targets, carried_types, repeated_page_lines, page_statuses, table_metrics, table_texts, word_differences,
-        distinct_images, response_checks, stored_checks, attempt_selection, decoded_payloads, union_of_channels, missing_companies,
+        distinct_images, response_checks, stored_checks, attempt_selection, decoded_payloads, decoded_documents, union_of_channels, missing_companies,
     )
 }
 
@@ -387,6 +394,7 @@ WHERE NOT coalesce(s.download_status IN ('SUCCESS', 'DUPLICATE_SKIPPED') AND c_c
     "orphan_states": f"WITH {_P} SELECT month, count(*) AS orphans FROM p WHERE ingest_seq % 10 = 3 GROUP BY 1",
     "latest_downloads": f"WITH {_P} SELECT dedupe_key, plan_key, download_status FROM (SELECT *, row_number() OVER (PARTITION BY dedupe_key ORDER BY updated_at DESC, ingest_seq DESC) AS rn FROM p) WHERE rn = 1",
     "monthly_index": f"WITH {_P} SELECT month, count(*) AS items, sha256(string_agg(plan_key, ',' ORDER BY ingest_seq)) AS keys_digest FROM p GROUP BY 1",
+    "decoded_documents": "SELECT doc_id, 'utf-8' AS charset, false AS replaced, sha256(coalesce(text, '')) AS text_sha256 FROM documents",
     "monthly_keys": f"WITH {_P} SELECT month, row_number() OVER (PARTITION BY month ORDER BY ingest_seq) AS place, plan_key FROM p",
     "image_occurrences": "SELECT lang AS doc_id, sha256(text) AS sha256, min(doc_id) OVER (PARTITION BY lang, sha256(text)) AS image_id, row_number() OVER (PARTITION BY lang, sha256(text) ORDER BY doc_id) AS occurrence_no, doc_id AS page_no FROM documents",
     "monthly_counts": f"WITH {_P} SELECT month, count(*) AS items FROM p GROUP BY 1",
