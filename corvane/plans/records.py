@@ -189,14 +189,19 @@ def absent_versions(spark, sf):
     return streams.absences(runs)
 
 
-def reconciled(spark, sf):
-    """States of documents against a day's sightings, and what a run does about it."""
+def reconciled(spark, sf, last_day=False):
+    """States of documents against a day's sightings, and what a run does about it. ``last_day``: the sightings are all events of the last day that each document has any."""
     e = bind.changes(spark, sf)
     rows = ordering.first_wins(e, ["document_key"], "seq").select(
         F.col("document_key").alias("key"), F.col("seq").alias("ingest_seq"), F.concat(F.lit("C"), F.substring("document_key", 14, 1)).alias("company_code"), F.when(F.col("event_type") == "error", "ENDED").otherwise("ACTIVE").alias("state"),
         (F.col("event_id") % 2).cast("int").alias("status_missing_count"), F.concat(F.lit("r/판매중__"), F.col("document_key"), F.lit("/f.pdf")).alias("saved_relative_path"), F.lit("f.pdf").alias("saved_filename"),
     )
-    seen = e.where("event_type in ('view', 'signup') and event_id % 40 = 0").select(F.col("document_key").alias("key"), F.when(F.col("value") > 40, "ENDED").otherwise("ACTIVE").alias("state"), F.col("event_type").alias("raw_status"), F.when(F.col("event_id") % 3 == 0, F.to_date("ts")).alias("sale_end_date"), "seq")
+    if last_day:
+        latest = e.groupBy("document_key").agg(F.max(F.to_date("ts")).alias("_day"))
+        sighted = e.join(latest, "document_key").where((F.to_date("ts") == F.col("_day")) & (F.col("event_type") != "error"))
+    else:
+        sighted = e.where("event_type in ('view', 'signup') and event_id % 40 = 0")
+    seen = sighted.select(F.col("document_key").alias("key"), F.when(F.col("value") > 40, "ENDED").otherwise("ACTIVE").alias("state"), F.col("event_type").alias("raw_status"), F.when(F.col("event_id") % 3 == 0, F.to_date("ts")).alias("sale_end_date"), "seq")
     coverage = rows.select("company_code").distinct().withColumn("complete", ~F.col("company_code").isin("C3", "C4"))
     return rows, reconcile.decisions(rows, reconcile.observations(seen), coverage)
 
@@ -214,6 +219,20 @@ def reconciled_rows(spark, sf):
     return reconcile.updated_rows(rows, decided).select("key", "state", "status_missing_count", "saved_relative_path", "status_check_result")
 
 
+def all_reconcile_stats(spark, sf):
+    """The same where a run sees all that happened on each document's last day."""
+    return reconcile.stats(reconciled(spark, sf, last_day=True)[1])
+
+
+def all_reconcile_actions(spark, sf):
+    return reconcile.actions(reconciled(spark, sf, last_day=True)[1]).select("key", "old_state", "new_state", "old_path", "new_path", "reason", "sale_end_date", "raw_status", "move_required", "missing_count")
+
+
+def all_reconciled_rows(spark, sf):
+    rows, decided = reconciled(spark, sf, last_day=True)
+    return reconcile.updated_rows(rows, decided).select("key", "state", "status_missing_count", "saved_relative_path", "status_check_result")
+
+
 # Pages, links, tables, images, responses.
 
 
@@ -327,7 +346,7 @@ def missing_companies(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        pending_plan, orphan_states, latest_downloads, monthly_index, monthly_keys, image_occurrences, monthly_counts, all_status_updates, plan_status_counts, retried, changed_plans, run_roll, merged_catalog, catalog_report, catalog_overview, catalog_violations, catalog_faults, catalog_status_pairs, status_update_outcomes, identity_collisions,
+        pending_plan, orphan_states, latest_downloads, monthly_index, monthly_keys, image_occurrences, monthly_counts, all_status_updates, all_reconcile_stats, all_reconcile_actions, all_reconciled_rows, plan_status_counts, retried, changed_plans, run_roll, merged_catalog, catalog_report, catalog_overview, catalog_violations, catalog_faults, catalog_status_pairs, status_update_outcomes, identity_collisions,
         pending_events, compacted, failures, absent_versions, reconcile_stats, reconcile_actions, reconciled_rows, links, link_targets, carried_types, repeated_page_lines, page_statuses, table_metrics, table_texts, word_differences,
         distinct_images, response_checks, stored_checks, attempt_selection, decoded_payloads, decoded_documents, union_of_channels, missing_companies,
     )
@@ -376,6 +395,7 @@ z AS (
   FROM d
 ),
 y AS (SELECT *, CASE WHEN found OR absent THEN replace(old_path, '판매중__', CASE new_state WHEN 'ACTIVE' THEN '판매중__' WHEN 'ENDED' THEN '판매완료__' ELSE '상태미상__' END) ELSE old_path END AS new_path FROM z)"""
+_RA = _R.replace("FROM e WHERE event_type IN ('view', 'signup') AND event_id % 40 = 0", "FROM (SELECT *, max(ts::DATE) OVER (PARTITION BY document_key) AS last_day FROM e) WHERE event_type <> 'error' AND ts::DATE = last_day")
 _L = "l AS (SELECT page_id, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS x FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*?href=\"[^\"]*\"[^>]*>.*?</a>') AS a FROM pages)), h AS (SELECT page_id, pos, regexp_extract(x, 'href=\"([^\"]*)\"', 1) AS href, regexp_extract(x, '>([^<]*)</a>', 1) AS label FROM l)"
 _M = f"""{SQL["cells"]}, u AS (SELECT conv_id, turn, len(cells) AS n, unnest(cells) AS c FROM w),
 m AS (
@@ -430,9 +450,13 @@ SELECT count(*) AS requested, count(*) FILTER (there AND (latest IS NULL OR t >=
 s AS (SELECT *, count(*) FILTER (found) OVER (PARTITION BY key ORDER BY run) AS spell FROM r), n AS (SELECT *, row_number() OVER (PARTITION BY key, spell ORDER BY run) AS missing FROM s WHERE NOT found AND complete)
 SELECT key, run, missing FROM n WHERE missing = 2""",
     "reconcile_stats": f"""WITH {_R} SELECT count(*) FILTER (old_state = 'ACTIVE') AS candidates, count(*) FILTER ((found OR absent) AND new_state = 'ACTIVE') AS still_active, count(*) FILTER ((found OR absent) AND new_state = 'ENDED') AS ended,
+  count(*) FILTER ((found OR absent) AND new_state = 'UNKNOWN') AS unknown, count(*) FILTER (reason = 'first_complete_absence_grace') AS missing_grace, count(*) FILTER (failed) AS partial_or_failed, count(*) FILTER (NOT (found OR absent OR failed)) AS unchanged FROM y""",
+    "all_reconcile_stats": f"""WITH {_RA} SELECT count(*) FILTER (old_state = 'ACTIVE') AS candidates, count(*) FILTER ((found OR absent) AND new_state = 'ACTIVE') AS still_active, count(*) FILTER ((found OR absent) AND new_state = 'ENDED') AS ended,
   count(*) FILTER ((found OR absent) AND new_state = 'UNKNOWN') AS unknown, count(*) FILTER (reason = 'first_complete_absence_grace') AS missing_grace, count(*) FILTER (failed) AS partial_or_failed, count(*) FILTER (NOT (found OR absent OR failed)) AS unchanged FROM y""",
     "reconcile_actions": f"""WITH {_R} SELECT key, old_state, new_state, old_path, new_path, reason, CASE WHEN found THEN sale_end_date END AS sale_end_date, CASE WHEN found THEN raw_status END AS raw_status, new_path <> old_path AS move_required, missing_count FROM y WHERE found OR absent""",
+    "all_reconcile_actions": f"""WITH {_RA} SELECT key, old_state, new_state, old_path, new_path, reason, CASE WHEN found THEN sale_end_date END AS sale_end_date, CASE WHEN found THEN raw_status END AS raw_status, new_path <> old_path AS move_required, missing_count FROM y WHERE found OR absent""",
     "reconciled_rows": f"""WITH {_R} SELECT key, new_state AS state, missing_count AS status_missing_count, new_path || '/f.pdf' AS saved_relative_path, CASE WHEN found THEN 'CONFIRMED' WHEN absent THEN 'MISSING' END AS status_check_result FROM y""",
+    "all_reconciled_rows": f"""WITH {_RA} SELECT key, new_state AS state, missing_count AS status_missing_count, new_path || '/f.pdf' AS saved_relative_path, CASE WHEN found THEN 'CONFIRMED' WHEN absent THEN 'MISSING' END AS status_check_result FROM y""",
     "links": f"WITH {_L} SELECT page_id, pos, href, label FROM h",
     "link_targets": f"WITH {_L} SELECT regexp_extract(url, '^https?://([^/]*)', 1) AS host, count(*) AS links, count(DISTINCT href) AS targets FROM h JOIN pages USING (page_id) GROUP BY 1",
     "carried_types": f"WITH {_E}, s AS (SELECT last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY document_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM e) SELECT section, count(*) AS rows FROM s GROUP BY 1",
