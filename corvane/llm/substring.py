@@ -5,7 +5,8 @@ chooses the one that begins at its least 10-word hash, so equal windows choose e
 suffix comes as its left context.
 
 1. Suffixes are grouped by their first 10 words; groups of one document are leaves, and go. Suffixes whose whole
-   surroundings are equal are one path, of which the smallest document is noted.
+   surroundings are equal are one path, of which the smallest document is noted. A path that a document repeats, as lines
+   that it says over and over do, is one row of that document, with all its places.
 2. Groups that are small enough for memory become trees: the suffixes in order with the lengths of their common prefixes
    are the tree's leaves and inner nodes. Two trees are made, of right and of left contexts; a window is an inner node of the
    one at 50 - k words and of the other at k words, and repeats if these two share a leaf of a smaller document.
@@ -34,7 +35,7 @@ WINDOW, ANCHOR = 50, 10
 #: A group of so many words is the largest that becomes a tree in memory; smaller groups are worked off together up to so many bytes of text.
 GROUP_WORDS, BATCH_BYTES = 1_000_000, 1 << 23
 
-_RUN = "struct<anchor:long,path1:long,path2:long,start:int,len:int,lead:int>"
+_RUN = "struct<anchor:long,path1:long,path2:long,starts:array<int>,len:int,lead:int>"
 _PROFILE = f"doc_id long, text_key binary, n_words long, key1 long, key2 long, words_sha256 string, runs array<{_RUN}>"
 _SUFFIX = "anchor long, path1 long, path2 long, doc_id long, lead int, len int, text binary"
 _REPEAT = "anchor long, path1 long, path2 long, doc_id long, at int, n int"
@@ -91,6 +92,15 @@ def _runs(w: tk.Words, window: int, anchor: int) -> tuple[np.ndarray, ...]:
     return r, first - w.ptr[:-1][r], length, suffix - first, prefix[suffix], path1, path2
 
 
+def _once(row: np.ndarray, path1: np.ndarray, path2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order that puts the runs of one row with one path together, and where each such group begins (and the last one ends)."""
+    order = np.lexsort((path2, path1, row))
+    keys = np.stack([row.astype(tk.U), path1, path2])[:, order]
+    new = np.ones(len(row) + 1, bool)
+    new[1:-1] = (keys[:, 1:] != keys[:, :-1]).any(0)
+    return order, np.flatnonzero(new)
+
+
 def _profiles(window: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,10 +111,13 @@ def _profiles(window: int, anchor: int):
                 sha = [hashlib.sha256(text[a:b]).hexdigest() for a, b in zip(ptr[:-1], ptr[1:], strict=True)]
                 row, start, length, lead, a, path1, path2 = _runs(w, window, anchor)
                 key1, key2 = tk.sequence_keys(w, s.rows)
+                order, group = _once(row, path1, path2)
+                first = order[group[:-1]]
+                starts = pa.ListArray.from_arrays(pa.array(group.astype(np.int32)), pa.array(start[order].astype(np.int32)))
                 entries = pa.StructArray.from_arrays(
-                    [tk.signed(a), tk.signed(path1), tk.signed(path2), *(pa.array(x.astype(np.int32)) for x in (start, length, lead))], names=["anchor", "path1", "path2", "start", "len", "lead"]
+                    [*(tk.signed(x[first]) for x in (a, path1, path2)), starts, *(pa.array(x[first].astype(np.int32)) for x in (length, lead))], names=["anchor", "path1", "path2", "starts", "len", "lead"]
                 )
-                edge = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=s.rows))]).astype(np.int32)
+                edge = np.concatenate([[0], np.cumsum(np.bincount(row[first], minlength=s.rows))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(s.first, s.rows), batch.column(2).slice(s.first, s.rows), pa.array(np.diff(w.ptr)), tk.signed(key1), tk.signed(key2), pa.array(sha), pa.ListArray.from_arrays(pa.array(edge), entries)],
                     names=["doc_id", "text_key", "n_words", "key1", "key2", "words_sha256", "runs"],
@@ -114,11 +127,13 @@ def _profiles(window: int, anchor: int):
 
 
 def _spans(column: pa.Array, i: int) -> np.ndarray:
-    """The (start, len) pairs of row ``i`` of a list-of-struct column."""
-    if not column.is_valid:
-        return np.zeros((0, 2), np.int64)
+    """The (first window, number of windows) pairs of row ``i``, whose spans lie ``at`` windows behind each of their ``starts``."""
     x = column.slice(i, 1).flatten()
-    return np.stack([x.field("start").to_numpy(), x.field("len").to_numpy()], 1) if len(x) else np.zeros((0, 2), np.int64)
+    many = x.field("starts").value_lengths().to_numpy() if len(x) else np.zeros(0, np.int64)
+    if not many.sum():
+        return np.zeros((0, 2), np.int64)
+    at, n = (np.repeat(x.field(c).to_numpy(), many) for c in ("at", "len"))
+    return np.stack([x.field("starts").flatten().to_numpy() + at, n], 1).astype(np.int64)
 
 
 def _same(s: tk.Slice, w: tk.Words, batch: pa.RecordBatch) -> np.ndarray:
@@ -311,8 +326,8 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     traced = materialize(join_hot(alive, paths, _PATH, "doc_id"), "traced")
     discard(inner, alive, paths)
 
-    whole = traced.where("doc_id > least").select("doc_id", "key1", "key2", "start", "len")
-    unique = traced.where("doc_id = least").dropDuplicates(_PATH)
+    whole = traced.where("doc_id > least").select("doc_id", "key1", "key2", "starts", F.lit(0).alias("at"), "len")
+    unique = traced.where("doc_id = least").withColumn("start", F.col("starts")[0]).drop("starts").dropDuplicates(_PATH)
     forks = unique.groupBy("anchor").agg(*spread, F.sum(F.col("len") + (window - 1)).alias("words")).where("low < high").select("anchor", "n", (F.col("words") > GROUP_WORDS).alias("large"))
     forked = join_hot(unique, materialize(forks, "forks"), ["anchor"], "doc_id")
     wanted = forked.groupBy("doc_id", "key1", "key2", "large").agg(F.collect_list(F.struct(*_PATH, "start", "len", "lead")).alias("runs"))
@@ -326,10 +341,10 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     firstly = materialize(nodes.groupBy("node1", "node2").agg(*spread).where("low < high").select("node1", "node2", "low", "n"), "firstly")
     large = join_hot(nodes, firstly, ["node1", "node2"], "path1").where("doc_id > low").select(*_PATH, "doc_id", "at", F.lit(1).alias("n"))
     repeats = materialize(small.union(large).distinct(), "repeats")
-    part = repeats.join(traced.where("doc_id = least").select(*_PATH, "doc_id", "key1", "key2", "start"), [*_PATH, "doc_id"])
-    part = part.select("doc_id", "key1", "key2", (F.col("start") + F.col("at")).alias("start"), F.col("n").alias("len"))
+    part = repeats.join(traced.where("doc_id = least").select(*_PATH, "doc_id", "key1", "key2", "starts"), [*_PATH, "doc_id"])
+    part = part.select("doc_id", "key1", "key2", "starts", "at", F.col("n").alias("len"))
 
-    spans = whole.union(part).groupBy("doc_id", "key1", "key2").agg(F.collect_list(F.struct("start", "len")).alias("spans"))
+    spans = whole.union(part).groupBy("doc_id", "key1", "key2").agg(F.collect_list(F.struct("starts", "at", "len")).alias("spans"))
     cuts = affected.join(spans, "doc_id").select("doc_id", "text", "key1", "key2", "spans").mapInArrow(_cut(window), _CUT)
     cuts = cuts.dropDuplicates(["doc_id", "key1", "key2"])
     profiles = profile.drop("runs").join(copied, ["key1", "key2"], "left")

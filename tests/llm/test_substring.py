@@ -119,3 +119,15 @@ def test_a_tree_against_brute_force():
         for i in range(0, 200, 7):
             for j in range(200):
                 assert (node[i] == node[j]) == (group[i] == group[j] and rows[i][:depth] == rows[j][:depth])
+
+
+def test_lines_that_a_document_repeats_are_one_path(spark, monkeypatch):
+    import corvane.llm.substring as module
+
+    line, tables = " ".join(f"l{i}" for i in range(9)), {}
+    keep = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: tables.setdefault(name, keep(df, name)))
+    rows = [(i, " ".join([f"a{i}", *[line] * (300 + i), f"b{i}", *[line] * 300, *(f"c{i}-{j}" for j in range(60))])) for i in range(12)]
+    assert answer(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
+    alive = tables["traced"]
+    assert alive.count() == alive.select("doc_id", "path1", "path2").distinct().count() < 400
