@@ -14,13 +14,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.llm import textkit as tk
 from corvane.llm.store import materialize
 
 WINDOW, LITERALS, COVERAGE = 5, 3, 0.8
+#: An item of one or two words tells nothing ("the", "a lot") unless these take so many bytes.
+TELLING_BYTES = 10
 #: Size of the bit table that benchmark windows are noted in, whatever their number: 2 ** 23 bits are 1 MB.
 TABLE_BITS = 23
 
@@ -164,6 +166,8 @@ def _windows(s: tk.Slice, texts: pa.Array, known: _Lexicon, sizes: Iterable[int]
     for size in range(1, WINDOW) if sizes is None else sizes:
         short, fits = tk.grams(w, size)
         at = w.ptr[:-1][length == size] if sizes is None else np.flatnonzero(fits)
+        if sizes is None and size <= 2:
+            at = at[w.end[at + size - 1] - w.start[at] >= TELLING_BYTES]
         parts.append((at, short[at], size, None))
     at = np.concatenate([p[0] for p in parts])
     filled = np.zeros((len(at), WINDOW), tk.U)
@@ -203,6 +207,17 @@ def _noted(windows: DataFrame) -> np.ndarray:
     return table
 
 
+def _candidates(found: DataFrame, own: DataFrame, counts: DataFrame, coverage: float) -> DataFrame:
+    """Pairs ``doc_id, item_id`` of which the document holds one of the item's least frequent windows, as many as can't all be missing."""
+    frequency = found.groupBy("hash", "size").agg(F.count("*").alias("met"))
+    told = own.select("item_id", "spot", "hash", "size").distinct()
+    spots = told.join(frequency, ["hash", "size"], "left").groupBy("item_id", "spot").agg(F.sum(F.coalesce("met", F.lit(0))).alias("met"))
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("met", "spot"))
+    probes = spots.withColumn("rank", rank).join(counts, "item_id").where(F.col("rank") <= F.col("n_windows") - F.ceil(coverage * F.col("n_windows")) + 1)
+    probes = told.join(probes.select("item_id", "spot"), ["item_id", "spot"]).select("item_id", "hash", "size").distinct()
+    return found.select("doc_id", "hash", "size").join(probes, ["hash", "size"]).select("doc_id", "item_id").distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """Pairs ``doc_id, item_id, n_windows, matched, changed``: documents that hold a benchmark item, as it is or re-parameterised.
 
@@ -210,13 +225,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     document at one offset or another, with consistent slots or in the same words (in any case), ``changed`` the slot values that differ at the best offset. A pair is given if
     matched >= coverage * n_windows.
 
-    An item without such a window counts its windows of plain words, and one shorter than a window all its words as one.
+    An item without such a window counts its windows of plain words, and one shorter than a window all its words as one; one
+    of a word or two with fewer than TELLING_BYTES bytes is not looked for, as any document may hold these.
     A number may become any other, wherever it stands; a unit or name becomes one unit or name throughout, and different names
     stay different, else the windows of that offset don't count.
 
     Null and blank texts and rows without id give no pair; repeated rows give one;
     empty tables an empty one. Only ids and texts are read. Documents' windows are first tried against a bit table of fixed
     size, then joined exactly, so a larger benchmark costs a larger join and not a larger broadcast.
+
+    A document that lacks more than a share of 1 - coverage of an item's windows is no pair, so it holds one at least of any set that
+    exceeds this share. Candidates are the documents that hold one of the item's least frequent windows, so many; windows that
+    many items and documents share are only looked at for these.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null")
     wanted = materialize(items.mapInArrow(_all_windows, _HITS), "items")
@@ -233,10 +253,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
                 yield _emit(batch.column(0), s, row[hit], place[hit], g[hit], fill[hit], size[hit])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null")
-    found = texts.mapInArrow(hits, _HITS).select(F.col("id").alias("doc_id"), "place", "hash", "size", "fill")
+    found = materialize(texts.mapInArrow(hits, _HITS).select(F.col("id").alias("doc_id"), "place", "hash", "size", "fill"), "hits")
     own = wanted.select(F.col("id").alias("item_id"), F.col("place").alias("spot"), "hash", "size", F.col("fill").alias("want"))
     counts = wanted.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("place").alias("n_windows"))
-    met = found.join(own, ["hash", "size"]).withColumn("pairs", F.expr("transform(filter(arrays_zip(want, fill), p -> p.want <> 0), p -> named_struct('want', p.want, 'fill', if(p.fill = 0, p.want, p.fill) & -4L))"))
+    candidates = materialize(_candidates(found, own, counts, coverage), "candidates")
+    met = candidates.join(own, "item_id").join(found, ["doc_id", "hash", "size"]).withColumn("pairs", F.expr("transform(filter(arrays_zip(want, fill), p -> p.want <> 0), p -> named_struct('want', p.want, 'fill', if(p.fill = 0, p.want, p.fill) & -4L))"))
     lined = met.groupBy("doc_id", "item_id", (F.col("place") - F.col("spot")).alias("shift")).agg(F.collect_set("spot").alias("spots"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
     bound, names = "filter(pairs, p -> p.want & 3L >= 2L)", "filter(pairs, p -> p.want & 3L = 3L)"
     consistent = F.expr(f"size({bound}) = size(array_distinct({bound}.want)) and size({names}) = size(array_distinct({names}.fill))")

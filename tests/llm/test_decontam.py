@@ -77,3 +77,24 @@ def test_values_that_coincide_and_items_without_templates(spark):
     got = pairs(spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, hash string"), bench)
     assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (10, 7)}
     assert got[1, 1][2] == 2 and got[2, 2] == (1, 1, 0) and got[3, 3] == (1, 1, 0)
+
+
+def test_windows_that_all_items_share_make_no_candidates(spark, monkeypatch):
+    import corvane.llm.decontam as module
+
+    tables, keep = {}, module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: tables.setdefault(name, keep(df, name)))
+    rnd = random.Random(5)
+    opening = "read the passage below with care and then answer the question that comes after it"
+    tail = lambda: " ".join(f"t{rnd.randrange(10**6)}x" for _ in range(14))
+    items = [(i, f"{opening} {tail()}", 0) for i in range(300)]
+    docs = [(i, f"{tail()} {opening} {tail()}") for i in range(300)] + [(1000 + i, f"{tail()} {items[i][1]} {tail()}") for i in range(0, 300, 7)]
+    got = pairs(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, B))
+    assert set(got) == {(1000 + i, i) for i in range(0, 300, 7)}
+    assert tables["candidates"].count() == len(got)
+
+
+def test_items_of_common_words_are_not_looked_for(spark):
+    bench = spark.createDataFrame([(1, "the", 0), (2, "a lot", 0), (3, "photosynthesis", 0), (4, "of the same", 0)], B)
+    docs = spark.createDataFrame([(1, "the end of a lot"), (2, "on photosynthesis"), (3, "more of the same"), (4, "the")], "doc_id long, text string")
+    assert set(pairs(docs, bench)) == {(2, 3), (3, 4)}
