@@ -77,25 +77,73 @@ def match_versions(versions: DataFrame, catalog: DataFrame) -> DataFrame:
     v, r = side(versions, "v"), side(catalog, "r")
     start = F.coalesce(F.col("v_sale_start"), F.lit("")) == F.coalesce(F.col("r_sale_start"), F.lit(""))
     ids = F.col("v_source_product_id") == F.col("r_source_product_id")
-    by_id = v.join(r, (v.company_code == r.company_code) & ids & start)
+    company = v.company_code == r.company_code
     one_id_missing = F.col("v_source_product_id").isNull() | F.col("r_source_product_id").isNull()
-    dates = F.when(F.col("v_sale_start").isNotNull() & F.col("r_sale_start").isNotNull(), F.col("v_sale_start") == F.col("r_sale_start")).otherwise(F.col("v_target") == F.col("r_target"))
-    by_name = v.join(r, (v.company_code == r.company_code) & (F.col("v_name") == F.col("r_name")) & one_id_missing & dates)
-    return by_id.select("v", "r").union(by_name.select("v", "r"))
+    one_start_missing = F.col("v_sale_start").isNull() | F.col("r_sale_start").isNull()
+    names = company & (F.col("v_name") == F.col("r_name")) & one_id_missing
+    by_id = v.join(r, company & ids & start)
+    by_start = v.join(r, names & (F.col("v_sale_start") == F.col("r_sale_start")))
+    by_target = v.join(r, names & (F.col("v_target") == F.col("r_target")) & one_start_missing)
+    return by_id.select("v", "r").union(by_start.select("v", "r")).union(by_target.select("v", "r"))
+
+
+def match_counts(versions: DataFrame, catalog: DataFrame) -> DataFrame:
+    """How many pairs ``match_versions`` gives for each ``company_code`` (trimmed, upper case), told from the sizes of groups without making pairs.
+
+    Of a group of one company, name and start, all pairs match but those with two ids; of one of company, name and target, of these those that
+    have a start on one side only, or on none.
+    """
+
+    def side(df: DataFrame, ours: bool) -> DataFrame:
+        c = {c: F.nullif(F.col(c), F.lit("")) for c in ("source_product_id", "name", "sale_start", "target")}
+        by_id = F.struct(F.lit("id").alias("way"), c["source_product_id"].alias("value"), F.coalesce(c["sale_start"], F.lit("")).alias("day"))
+        by_start = F.struct(F.lit("start").alias("way"), c["name"].alias("value"), c["sale_start"].alias("day"))
+        by_target = F.struct(F.lit("target").alias("way"), c["name"].alias("value"), c["target"].alias("day"))
+        ways = F.filter(F.array(by_id, by_start, by_target), lambda w: w["value"].isNotNull() & w["day"].isNotNull())
+        told = df.select(F.upper(F.trim("company_code")).alias("company_code"), c["source_product_id"].isNotNull().alias("known"), c["sale_start"].isNotNull().alias("dated"), F.explode(ways).alias("w"))
+        return told.where("company_code is not null").select("company_code", "w.*", "known", "dated", F.lit(ours).alias("ours"))
+
+    def size(ours: bool, *flags: str):
+        test = F.col("ours") == F.lit(ours)
+        for flag in flags:
+            test = test & F.col(flag)
+        return F.count_if(test)
+
+    kinds = {"n": (), "i": ("known",), "d": ("dated",), "id": ("known", "dated")}
+    sizes = [size(ours, *flags).alias(f"{name}_{kind}") for name, ours in (("v", True), ("r", False)) for kind, flags in kinds.items()]
+    groups = side(versions, True).union(side(catalog, False)).groupBy("company_code", "way", "value", "day").agg(*sizes)
+    pairs = {kind: F.col(f"v_{kind}") * F.col(f"r_{kind}") for kind in kinds}
+    one_id_missing = pairs["n"] - pairs["i"]
+    matches = F.when(F.col("way") == "id", pairs["n"]).when(F.col("way") == "start", one_id_missing).otherwise(one_id_missing - (pairs["d"] - pairs["id"]))
+    return groups.groupBy("company_code").agg(F.sum(matches).alias("matches")).where("matches > 0")
 
 
 def matches_active(rows: DataFrame, active: DataFrame) -> DataFrame:
-    """List rows that any active row could be, dates being compared only where both have one.
+    """List rows, once each, that any active row could be, dates being compared only where both have one.
 
-    Both sides have ``company_code, source_product_id, name, sale_start``; the active side is reduced to distinct keys first.
+    Both sides have ``company_code, source_product_id, name, sale_start``. The active side is reduced to one row for each id and each name of a company,
+    with the days on which it starts, so that many active rows of one name aren't met one by one.
     """
-    told = active.select("company_code", F.nullif("source_product_id", F.lit("")).alias("_id"), F.nullif("name", F.lit("")).alias("_name"), F.nullif("sale_start", F.lit("")).alias("_start")).distinct()
-    start = F.coalesce(F.nullif(rows.sale_start, F.lit("")) == told["_start"], F.lit(True))
-    own_id, own_name = F.nullif(rows.source_product_id, F.lit("")), F.nullif(rows["name"], F.lit(""))
-    by_id = rows.join(told, (rows.company_code == told.company_code) & (own_id == told["_id"]) & start, "left_semi")
-    loose = own_id.isNull() | told["_id"].isNull()
-    by_name = rows.join(told, (rows.company_code == told.company_code) & (own_name == told["_name"]) & loose & start, "left_semi")
-    return by_id.union(by_name).distinct()
+    told = active.select("company_code", *[F.nullif(c, F.lit("")).alias(f"_{c}") for c in ("source_product_id", "name", "sale_start")])
+    idless = F.col("_source_product_id").isNull()
+    dateless = F.col("_sale_start").isNull()
+
+    def days(which=None):
+        day, none = ("_sale_start", dateless) if which is None else (F.when(which, F.col("_sale_start")), dateless & which)
+        seen = F.bool_or(F.lit(True) if which is None else which)
+        return F.struct(F.collect_set(day).alias("days"), F.bool_or(none).alias("undated"), seen.alias("seen"))
+
+    def met(own):
+        day = F.nullif(F.col("sale_start"), F.lit(""))
+        return F.coalesce(own["seen"] & (day.isNull() | own["undated"] | F.array_contains(own["days"], F.coalesce(day, F.lit("")))), F.lit(False))
+
+    keyed = rows.distinct()
+    for column, sets in (("source_product_id", {"_by_id": days()}), ("name", {"_by_name": days(), "_by_idless": days(idless)})):
+        offered = told.where(F.col(f"_{column}").isNotNull()).groupBy(F.col("company_code").alias("_company"), F.col(f"_{column}").alias("_value")).agg(*[x.alias(n) for n, x in sets.items()])
+        keyed = keyed.join(offered, (F.col("company_code") == F.col("_company")) & (F.col(column) == F.col("_value")), "left").drop("_company", "_value")
+    own_id = F.nullif(F.col("source_product_id"), F.lit(""))
+    named = F.when(own_id.isNull(), met(F.col("_by_name"))).otherwise(met(F.col("_by_idless")))
+    return keyed.where(met(F.col("_by_id")) | named).select(*rows.columns)
 
 
 def redirected(records: DataFrame, catalog: DataFrame, keys: list[str]) -> DataFrame:
