@@ -18,14 +18,20 @@ DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 PRODUCT_PREFIX, DOCUMENT_PREFIX = "PROD_VER_", "DOC_"
 PRODUCT_KEY = f"^{PRODUCT_PREFIX}[0-9A-Za-z]{{{KEY_DIGITS}}}$"
 DOCUMENT_KEY = f"^{DOCUMENT_PREFIX}[0-9A-Za-z]{{{KEY_DIGITS}}}$"
+#: How many keys there are, and two digits at a time.
+_KEYS, _PAIRS = 62**KEY_DIGITS, [a + b for a in DIGITS for b in DIGITS]
 SHA256 = "^[0-9a-f]{64}$"
 
 
 def short_key(kind: str, payload: dict) -> str:
     """Ten digits of base 62 from the BLAKE2b digest of a canonical payload."""
     digest = hashlib.blake2b(canonical_json({"kind": kind, "payload": payload}).encode(), digest_size=32).digest()
-    number = int.from_bytes(digest, "big")
-    return "".join(DIGITS[number // 62**i % 62] for i in range(KEY_DIGITS - 1, -1, -1))
+    number = int.from_bytes(digest, "big") % _KEYS
+    out = []
+    for _ in range(KEY_DIGITS // 2):
+        number, last = divmod(number, 3844)
+        out.append(_PAIRS[last])
+    return "".join(reversed(out))
 
 
 @F.pandas_udf(T.StringType())

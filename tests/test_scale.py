@@ -93,3 +93,27 @@ def test_published_summaries(spark, tmp_path):
     assert sorted((r.run_day, r.run_id) for r in journals.completed_runs(spark, str(tmp_path)).collect()) == [("2026-07-01", "r 1=x"), ("2026-07-02", "r2")]
     journals.publish_summaries(runs.where("run_id = 'r2'").withColumn("total_records", F.lit(9)), str(tmp_path))
     assert journals.completed_runs(spark, str(tmp_path)).where("run_id = 'r2'").first().total_records == 9
+
+
+def test_first_of_a_key_takes_keys_and_order_along_once(spark):
+    rows = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), (None, 3, "z"), (None, None, "w"), ("b", None, "v")], "k string, ingest_seq long, v string")
+    got = {(r.k, r.ingest_seq, r.v) for r in ordering.first_wins(rows, ["k"]).collect()}
+    assert got == {("a", 1, "y"), (None, 3, "z"), ("b", None, None)}
+    assert {(r.k, r.v) for r in ordering.last_wins(rows, ["k"]).where("ingest_seq is not null").collect()} == {("a", "x"), (None, "z")}
+    plan = ordering.first_wins(rows, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" not in plan
+
+
+def test_collision_names_deal_rows_once(spark):
+    rows = spark.createDataFrame([(i, f"p{i % 7}.pdf", f"d{i % 3}") for i in range(60)], "ingest_seq long, path string, digest string").localCheckpoint()
+    plan = ordering.collision_names(rows, "path", "digest")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_characters_differ_without_a_join(spark):
+    from corvane.operators import rebuilt
+
+    pairs = spark.createDataFrame([(1, "aab한", "abc"), (2, None, "x"), (3, "", None), (4, "same", "emas")], "id long, l string, r string")
+    d = rebuilt.character_difference(pairs, "id", "l", "r")
+    assert {tuple(r) for r in d.collect()} == {(1, "a", 1, 0), (1, "한", 1, 0), (1, "c", 0, 1), (2, "x", 0, 1)}
+    assert "Join" not in d._jdf.queryExecution().optimizedPlan().toString()
