@@ -183,7 +183,10 @@ def missing_values(have: DataFrame, required: DataFrame, column: str) -> DataFra
 
 def multiset_difference(left: DataFrame, right: DataFrame, keys: list[str], token: str) -> DataFrame:
     """Tokens that occur more often on one side: ``missing`` (left only) and ``added`` (right only) of each key and token."""
-    a = left.groupBy(*keys, token).agg(F.count("*").alias("_l"))
-    b = right.groupBy(*keys, token).agg(F.count("*").alias("_r"))
-    both = a.join(b, [*keys, token], "full").select(*keys, token, F.coalesce("_l", F.lit(0)).alias("_l"), F.coalesce("_r", F.lit(0)).alias("_r"))
-    return both.where("_l <> _r").select(*keys, token, F.greatest(F.col("_l") - F.col("_r"), F.lit(0)).alias("missing"), F.greatest(F.col("_r") - F.col("_l"), F.lit(0)).alias("added"))
+    return net_difference(left.select(*keys, token, F.lit(1).alias("_n")).union(right.select(*keys, token, F.lit(-1))), keys, token, "_n")
+
+
+def net_difference(tokens: DataFrame, keys: list[str], token: str, sign: str) -> DataFrame:
+    """The same of tokens of both sides together, 1 for each of the left and -1 for each of the right: one grouping and no join."""
+    net = tokens.groupBy(*keys, token).agg(F.sum(sign).alias("_net")).where("_net <> 0")
+    return net.select(*keys, token, F.greatest("_net", F.lit(0)).alias("missing"), F.greatest(-F.col("_net"), F.lit(0)).alias("added"))
