@@ -215,7 +215,8 @@ def table_shapes(spark, sf):
 
 def _attempts(spark, sf):
     """Parts as tables that a model rebuilt well or badly, in eight ways."""
-    p = table(spark, sf, "part").withColumn("way", F.col("p_partkey") % 8)
+    # A part is a short row and a long check, so parts are dealt to the session's number of tasks, not to the file's splits.
+    p = table(spark, sf, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey").withColumn("way", F.col("p_partkey") % 8)
     price, size = F.col("p_retailprice").cast("decimal(18,2)").cast("string"), F.col("p_size").cast("string")
     row = lambda a, b: F.concat(F.lit("| "), a, F.lit(" | "), b, F.lit(" |"))
     head = F.lit("| 항목 | 값 |\n| --- | --- |\n")
