@@ -7,13 +7,15 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.text import absolute_url, clean
 
 #: Fixed value: encodings tried after the one that the header names.
 ENCODINGS = ("utf-8", "euc-kr", "cp949")
+#: So many payloads are decoded at a time.
+AT_A_TIME = 64
 
 
 def unwrap(payloads: DataFrame, item: str, ok: str = "S") -> tuple[DataFrame, DataFrame]:
@@ -135,8 +137,9 @@ def html_rows(pages: DataFrame) -> DataFrame:
 
 def by_header(rows: DataFrame) -> DataFrame:
     """Rows of tables as maps from the header's words to cells; rows that a span shortens are aligned to the right."""
-    head = rows.where("is_header").groupBy("page_id", "table_no").agg(F.min_by("cells", "row_no").alias("head"))
-    body = rows.where("not is_header").join(head, ["page_id", "table_no"])
+    whole = Window.partitionBy("page_id", "table_no")  # a join with the headers would parse all pages twice
+    headed = rows.where("page_id is not null and table_no is not null").withColumn("head", F.min_by("cells", F.when(F.col("is_header"), F.col("row_no"))).over(whole))
+    body = headed.where("not is_header and head is not null")
     short = F.greatest(F.size("head") - F.size("cells"), F.lit(0))
     filled = F.slice(F.concat(F.array_repeat(F.lit(None).cast("string"), short), "cells"), 1, F.size("head"))
     return body.select("page_id", "table_no", "row_no", F.map_from_entries(F.arrays_zip(F.transform("head", lambda h, i: F.when(h == "", F.concat(F.lit("column_"), (i + 1).cast("string"))).otherwise(h)), filled)).alias("row"))
@@ -162,11 +165,18 @@ def decode_bytes(body: bytes | None, header: str | None, fallback: str = "utf-8"
     return (body or b"").decode("utf-8", "replace"), "utf-8", True
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time, so that texts of a whole batch needn't be held as objects, as a table and as output at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, AT_A_TIME):
+            yield batch.slice(start, AT_A_TIME)
+
+
 def decoded(payloads: DataFrame, fallback: str = "utf-8") -> DataFrame:
     """``payloads(..., body binary, content_type)`` with ``text, charset, replaced``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             found = [decode_bytes(b.as_py(), c, fallback) for b, c in zip(batch.column("body"), batch.column("content_type").to_pylist(), strict=True)]
             extra = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.string()), pa.array([f[2] for f in found], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, "text", "charset", "replaced"])
