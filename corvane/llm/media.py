@@ -29,6 +29,8 @@ MEETINGS, HAMMING, AGREEING = 2, 60, 5
 SHIFT = 4.0
 #: So many pictures of one size are described at a time.
 STACK = 32
+#: Pictures of a bucket that one task compares with as many others.
+BLOCK = 256
 
 _DISC = np.array([(y, x) for y in range(-RADIUS, RADIUS + 1, 2) for x in range(-RADIUS, RADIUS + 1, 2) if y * y + x * x <= RADIUS * RADIUS], np.int32)
 
@@ -275,14 +277,25 @@ def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["u", "v", "agreeing"], dtype="int64")
 
 
+def _meetings(buckets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """A row ``u, v`` (u < v) for each two pictures of each bucket of ``buckets(image_id, bucket)``.
+
+    A bucket's pictures are dealt to blocks, and blocks meet in pairs, each pair of blocks by itself, so the pairs of a large bucket are many tasks' work.
+    """
+    in_bucket = Window.partitionBy("bucket").orderBy("image_id")
+    placed = buckets.select("bucket", "image_id", F.floor((F.row_number().over(in_bucket) - 1) / block).cast("int").alias("own"), F.count("*").over(Window.partitionBy("bucket")).alias("n"))
+    placed = placed.where("n > 1").withColumn("last", F.floor((F.col("n") - 1) / block).cast("int"))
+    left = placed.select("bucket", F.col("own").alias("a"), F.explode(F.sequence("own", "last")).alias("b"), F.col("image_id").alias("u"))
+    right = placed.select("bucket", F.explode(F.sequence(F.lit(0), "own")).alias("a"), F.col("own").alias("b"), F.col("image_id").alias("v"))
+    return left.join(right, ["bucket", "a", "b"]).where("u < v").select("u", "v")
+
+
 def image_copies(images: DataFrame) -> DataFrame:
     """One row per row of ``images(image_id, width, height, pixels, ...)``: ``image_id, n_corners, component_id, n_links, kept``.
 
     ``component_id`` is the smallest image_id that links reach, ``n_links`` counts the links of the image's representative to
     other pictures, ``kept`` says whether the row is its component's first. Equal pictures are first reduced to one
-    representative. In a bucket of a Hamming table, in order of image_id, each picture meets the bucket's first and the one
-    just ahead of it: in buckets of up to three that is every pair, in larger ones a spanning order, so that a group of n copies
-    costs some multiple of n meetings. Two pictures that meet in MEETINGS buckets are compared in full, all corners with
+    representative. In a bucket of a Hamming table each picture meets every other. Two pictures that meet in MEETINGS buckets are compared in full, all corners with
     all. A picture has one row in a bucket, so no bucket holds more than one row for each picture.
 
     Null, empty and misfit pixels have no corners and are linked with nothing, nor are rows without image_id, whose
@@ -294,9 +307,7 @@ def image_copies(images: DataFrame) -> DataFrame:
     classes = materialize(seen.where("image_id is not null and key is not null").groupBy("key").agg(F.min("image_id").alias("rep")), "classes")
     reps = seen.where(F.col("n_corners") >= AGREEING).join(classes.withColumnRenamed("rep", "image_id"), ["key", "image_id"], "left_semi").select("image_id", "places", "codes")
     buckets = reps.select("image_id", "codes").mapInArrow(_bucketed, "image_id long, bucket long")
-    in_bucket = Window.partitionBy("bucket").orderBy("image_id")
-    placed = buckets.select(F.first("image_id").over(in_bucket).alias("head"), F.lag("image_id").over(in_bucket).alias("ahead"), F.col("image_id").alias("v"))
-    met = placed.where("ahead < v").select("v", F.explode(F.array_distinct(F.array("head", "ahead"))).alias("u"))
+    met = _meetings(buckets)
     pairs = materialize(met.groupBy("u", "v").count().where(F.col("count") >= MEETINGS).select("u", "v"), "meetings")
 
     ends = pairs.select("u", "v", F.col("u").alias("image_id")).union(pairs.select("u", "v", F.col("v").alias("image_id")))
