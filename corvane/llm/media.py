@@ -1,19 +1,20 @@
 """Copies among images by local descriptors.
 
 Corners of several scales get 256 binary tests, turned to the corner's orientation. Descriptors meet in Hamming tables, each
-keyed by 44 of the tests. Pictures that meet at least twice are compared corner by corner, and their matches must agree on
-one similarity transform (turn, scale and shift) to make a link.
+keyed by 40 of the tests, with 8 tests of a corner beside it. Pictures in which two such corners lie alike are compared corner by
+corner, and their matches must agree on one similarity transform (turn, scale and shift) to make a link.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.llm.components import connected_components
@@ -23,9 +24,13 @@ SCALES = (1.0, 0.84, 0.707, 0.595, 0.5)
 RADIUS, TURNS, TESTS = 14, 72, 256
 #: A corner is the strongest place so many pixels around it, so their number grows with the picture.
 APART = 8
-TABLES, KEY_BITS = 4, 44
-#: Pictures are compared if they meet so often; a match may differ in so many of the 256 tests; a link needs so many matches that agree on one transform.
-MEETINGS, HAMMING, AGREEING = 2, 60, 5
+TABLES, KEY_BITS = 4, 40
+#: A corner is known together with each of so many corners of its scale nearest to it, of which the first 8 tests of the table go into the key.
+BESIDE = 3
+#: How two corners lie: the way from one to the other and the other's turn, both against the one's turn, in 256 steps, and their distance, in steps of a 16th octave. Such places may differ by so many steps.
+TURN_STEPS, LENGTH_STEPS = 15, 5
+#: A match may differ in so many of the 256 tests; a link needs so many matches that agree on one transform.
+HAMMING, AGREEING = 60, 5
 SHIFT = 4.0
 #: So many pictures of one size are described at a time.
 STACK = 32
@@ -193,6 +198,44 @@ def table_keys(codes: np.ndarray) -> np.ndarray:
     return np.stack(keys, 1) if keys else np.zeros((len(codes), 0), np.int64)
 
 
+def beside(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every corner with each of the BESIDE corners of its scale nearest to it, as two rows of numbers; one that is alone in its scale is beside itself."""
+    ones, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for scale in np.unique(places[:, 2]):
+        at = np.nonzero(places[:, 2] == scale)[0]
+        most = min(BESIDE, len(at) - 1)
+        if not most:
+            ones.append(at)
+            others.append(at)
+        chunk = 1 + (1 << 20) // len(at)
+        for start in range(0, len(at) if most else 0, chunk):
+            some = at[start : start + chunk]
+            away = ((places[some, None, :2] - places[at, :2]) ** 2).sum(2)
+            away[np.arange(len(some)), np.arange(start, start + len(some))] = np.inf
+            ones.append(np.repeat(some, most))
+            others.append(at[np.argsort(away, axis=1, kind="stable")[:, :most]].ravel())
+    return np.concatenate(ones), np.concatenate(others)
+
+
+def shapes(places: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How corners ``other`` lie seen from corners ``one``, the same however the picture is turned, sized and shifted: way, turn and distance, a byte each."""
+    step = (places[other, :2] - places[one, :2]) * places[one, 2:3]
+    way = np.rint((np.arctan2(step[:, 1], step[:, 0]) - places[one, 3]) * (128 / np.pi)).astype(np.int32) % 256
+    turn = np.rint((places[other, 3] - places[one, 3]) * (128 / np.pi)).astype(np.int32) % 256
+    length = np.clip(np.rint(16 * np.log2(np.maximum(np.hypot(step[:, 0], step[:, 1]), 1))), 0, 255).astype(np.int32)
+    return np.where(one == other, 0, way << 16 | turn << 8 | length)
+
+
+def shapes_alike(a: str, b: str) -> Column:
+    """Whether two shapes may be the same two corners'."""
+
+    def byte(c: str, n: int) -> Column:
+        return F.shiftright(F.col(c), 8 * n).bitwiseAND(255)
+
+    turned = [F.abs(byte(a, n) - byte(b, n)) for n in (2, 1)]
+    return reduce(lambda x, y: x & y, [F.least(d, 256 - d) <= TURN_STEPS for d in turned], F.abs(byte(a, 0) - byte(b, 0)) <= LENGTH_STEPS)
+
+
 def decode(pixels: bytes | None, width: int | None, height: int | None) -> np.ndarray:
     """Eight-bit gray pixels by rows; anything that doesn't fit its size is an empty image."""
     if not pixels or not width or not height or width < 1 or height < 1 or len(pixels) != width * height:
@@ -253,15 +296,22 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each picture and bucket of a Hamming table that its corners fall in."""
+    """One row for each picture, bucket of a Hamming table that a corner with one beside it falls in, and shape of the two."""
     for batch in batches:
-        ids, buckets = [], []
-        for i, c in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            own = np.unique(table_keys(np.frombuffer(c.as_py() or b"", np.uint8).reshape(-1, TESTS // 8)))
+        ids, buckets, lies = [], [], []
+        for i, p, c in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            places = unpacked_places(p.as_py() or b"")
+            keys = table_keys(np.frombuffer(c.as_py() or b"", np.uint8).reshape(-1, TESTS // 8))
+            one, other = beside(places)
+            own = np.empty((len(one), TABLES), [("bucket", "<i8"), ("shape", "<i4")])
+            own["bucket"] = keys[one] << 8 | keys[other] // TABLES & 255
+            own["shape"] = shapes(places, one, other)[:, None]
+            own = np.unique(own)
             ids.append(np.full(len(own), i, np.int64))
-            buckets.append(own)
+            buckets.append(own["bucket"])
+            lies.append(own["shape"])
         if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(buckets))], names=["image_id", "bucket"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, buckets, lies)], names=["image_id", "bucket", "shape"])
 
 
 def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -278,16 +328,17 @@ def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _meetings(buckets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """A row ``u, v`` (u < v) for each two pictures of each bucket of ``buckets(image_id, bucket)``.
+    """A row ``u, v`` (u < v) for each two rows of pictures in a bucket of ``buckets(image_id, bucket, shape)`` whose shapes are alike; without shapes all are.
 
-    A bucket's pictures are dealt to blocks, and blocks meet in pairs, each pair of blocks by itself, so the pairs of a large bucket are many tasks' work.
+    A bucket's rows are dealt to blocks, and blocks meet in pairs, each pair of blocks by itself, so the pairs of a large bucket are many tasks' work.
     """
-    in_bucket = Window.partitionBy("bucket").orderBy("image_id")
-    placed = buckets.select("bucket", "image_id", F.floor((F.row_number().over(in_bucket) - 1) / block).cast("int").alias("own"), F.count("*").over(Window.partitionBy("bucket")).alias("n"))
+    rows = buckets if "shape" in buckets.columns else buckets.withColumn("shape", F.lit(0))
+    in_bucket = Window.partitionBy("bucket").orderBy("image_id", "shape")
+    placed = rows.select("bucket", "image_id", "shape", F.floor((F.row_number().over(in_bucket) - 1) / block).cast("int").alias("own"), F.count("*").over(Window.partitionBy("bucket")).alias("n"))
     placed = placed.where("n > 1").withColumn("last", F.floor((F.col("n") - 1) / block).cast("int"))
-    left = placed.select("bucket", F.col("own").alias("a"), F.explode(F.sequence("own", "last")).alias("b"), F.col("image_id").alias("u"))
-    right = placed.select("bucket", F.explode(F.sequence(F.lit(0), "own")).alias("a"), F.col("own").alias("b"), F.col("image_id").alias("v"))
-    return left.join(right, ["bucket", "a", "b"]).where("u < v").select("u", "v")
+    left = placed.select("bucket", F.col("own").alias("a"), F.explode(F.sequence("own", "last")).alias("b"), F.col("image_id").alias("u"), F.col("shape").alias("from_u"))
+    right = placed.select("bucket", F.explode(F.sequence(F.lit(0), "own")).alias("a"), F.col("own").alias("b"), F.col("image_id").alias("v"), F.col("shape").alias("from_v"))
+    return left.join(right, ["bucket", "a", "b"]).where((F.col("u") < F.col("v")) & shapes_alike("from_u", "from_v")).select("u", "v")
 
 
 def image_copies(images: DataFrame) -> DataFrame:
@@ -295,8 +346,8 @@ def image_copies(images: DataFrame) -> DataFrame:
 
     ``component_id`` is the smallest image_id that links reach, ``n_links`` counts the links of the image's representative to
     other pictures, ``kept`` says whether the row is its component's first. Equal pictures are first reduced to one
-    representative. In a bucket of a Hamming table each picture meets every other. Two pictures that meet in MEETINGS buckets are compared in full, all corners with
-    all. A picture has one row in a bucket, so no bucket holds more than one row for each picture.
+    representative. In a bucket of a Hamming table each picture meets every other. Two pictures are compared in full, all corners with all, if in some
+    bucket both have a corner and one beside it that lie alike.
 
     Null, empty and misfit pixels have no corners and are linked with nothing, nor are rows without image_id, whose
     component is null and which are kept; repeated rows get the same answer each; of different pictures of one image_id the
@@ -306,9 +357,8 @@ def image_copies(images: DataFrame) -> DataFrame:
     seen = materialize(source.mapInArrow(_described, _SEEN), "pictures")
     classes = materialize(seen.where("image_id is not null and key is not null").groupBy("key").agg(F.min("image_id").alias("rep")), "classes")
     reps = seen.where(F.col("n_corners") >= AGREEING).join(classes.withColumnRenamed("rep", "image_id"), ["key", "image_id"], "left_semi").select("image_id", "places", "codes")
-    buckets = reps.select("image_id", "codes").mapInArrow(_bucketed, "image_id long, bucket long")
-    met = _meetings(buckets)
-    pairs = materialize(met.groupBy("u", "v").count().where(F.col("count") >= MEETINGS).select("u", "v"), "meetings")
+    buckets = reps.select("image_id", "places", "codes").mapInArrow(_bucketed, "image_id long, bucket long, shape int")
+    pairs = materialize(_meetings(buckets).distinct(), "meetings")
 
     ends = pairs.select("u", "v", F.col("u").alias("image_id")).union(pairs.select("u", "v", F.col("v").alias("image_id")))
     picture = F.struct("places", "codes")
