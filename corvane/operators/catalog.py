@@ -57,10 +57,13 @@ def identity_collisions(catalog: DataFrame, events: DataFrame) -> DataFrame:
     return told.where(~F.equal_null("identity", "first")).select("document_key", "seq")
 
 
-def _flagged(catalog: DataFrame, events: DataFrame) -> DataFrame:
+def _history(catalog: DataFrame, events: DataFrame) -> DataFrame:
     old = catalog.select(F.lit(0).cast("long").alias("seq"), F.lit(True).alias("result"), *COLUMNS)
     new = events.select(F.col("seq").cast("long").alias("seq"), (F.col("operation") == "upsert_result").alias("result"), *COLUMNS)
-    new = new.withColumn("last_attempt_at", F.when(F.col("result"), F.col("last_attempt_at")))
+    return old.unionByName(new.withColumn("last_attempt_at", F.when(F.col("result"), F.col("last_attempt_at"))))
+
+
+def _flagged(catalog: DataFrame, events: DataFrame) -> DataFrame:
     by_key = Window.partitionBy("document_key").orderBy("seq")
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -68,7 +71,7 @@ def _flagged(catalog: DataFrame, events: DataFrame) -> DataFrame:
         latest = F.max(F.when(among, F.col(clock))).over(before)
         return F.coalesce(latest.isNull() | (F.col(clock) >= latest), F.lit(False))
 
-    rows = old.unionByName(new).withColumn("base", F.row_number().over(by_key) == 1)
+    rows = _history(catalog, events).withColumn("base", F.row_number().over(by_key) == 1)
     rows = rows.withColumn("ns", F.col("base") | newer("last_seen_at", F.lit(True)))
     rows = rows.withColumn("na", F.col("base") | (F.col("result") & newer("last_attempt_at", F.col("result") | F.col("base"))))
     return rows.withColumn("st", F.col("base") | (F.col("ns") & newer("status_checked_at", F.col("ns"))))
@@ -92,18 +95,24 @@ def merge_events(catalog: DataFrame, events: DataFrame) -> DataFrame:
     rows = _flagged(catalog, events)
     told = F.col("base") | (F.col("result") & (F.col("na") | F.col("ns")))
     real = F.col("na") & (F.col("base") | ~F.equal_null(F.col("last_attempt_status"), F.lit("DRY_RUN")))
-    merged = rows.groupBy("document_key").agg(
+    # Which row each column comes from is told by numbers alone; only those rows are then read whole.
+    accepted = {"seen": F.col("ns"), "status": F.col("st"), "attempt": F.col("na"), "real_file": real, "any_file": F.col("na"), "identity_version": F.col("ns") | told} | dict.fromkeys(DOCUMENT, told)
+    accepted |= {"last_download_run_id": F.col("na"), "last_status_run_id": F.col("base") | (F.col("result") & F.col("st"))}
+    accepted |= {c: accepted[c] & F.col(c).isNotNull() for c in (*DOCUMENT, *RUNS)}
+    columns = {"seen": SEEN, "status": STATUS, "attempt": ATTEMPT, "real_file": FILE, "any_file": FILE}
+    at = [F.max(F.when(ok, F.col("seq"))).alias(f"_{name}") for name, ok in accepted.items()]
+    places = rows.groupBy("document_key").agg(F.min("seq").alias("_first"), F.max(F.when(told, F.col("downloaded_at"))).alias("_downloaded"), *at)
+    whole = _history(catalog, events).drop("result").withColumnRenamed("document_key", "_key")
+    wanted = reduce(lambda a, b: a | F.coalesce(b, F.lit(False)), [F.col("seq") == F.col(f"_{name}") for name in accepted], F.col("seq") == F.col("_first"))
+    read = whole.join(places, F.equal_null("_key", "document_key")).where(wanted)
+
+    def taken(name: str, value: Column) -> Column:
+        return F.max_by(value, F.when(F.col("seq") == F.col(f"_{name}"), F.col("seq"))).alias(name)
+
+    merged = read.groupBy("document_key").agg(
         F.min_by("company_code", "seq").alias("company_code"),
-        _last(SEEN, F.col("ns")).alias("seen"),
-        _last(STATUS, F.col("st")).alias("status"),
-        _last(ATTEMPT, F.col("na")).alias("attempt"),
-        _last(FILE, real).alias("real_file"),
-        _last(FILE, F.col("na")).alias("any_file"),
-        *[_last_filled(c, told) for c in DOCUMENT],
-        F.max(F.when(told, F.col("downloaded_at"))).alias("downloaded_at"),
-        _last_filled("last_download_run_id", F.col("na")),
-        _last_filled("last_status_run_id", F.col("base") | (F.col("result") & F.col("st"))),
-        F.max_by("identity_version", F.when(F.col("ns") | told, F.col("seq"))).alias("identity_version"),
+        *[taken(name, F.struct(*columns[name]) if name in columns else F.col(name)) for name in accepted],
+        F.first("_downloaded").alias("downloaded_at"),
     )
     file = F.when(F.col("real_file.file_status") == "AVAILABLE", F.col("real_file")).otherwise(F.col("any_file"))
     flat = merged.withColumn("file", file).select(

@@ -276,7 +276,7 @@ def replayed_catalog(spark, sf):
 
 
 def replayed_states(spark, sf):
-    """Events as an outbox of four files, some twice, one bad in the middle, replayed into a stored catalog: the stream stops there, the event is set aside, the stream goes on."""
+    """Events that arrive in an outbox in four parts, some twice, one bad in the middle, replayed into a stored catalog: the stream stops there, the event is set aside, the stream goes on."""
     e = _catalog_events(spark, sf)
     half = table(spark, sf, "events").count() // 2
     payload = F.to_json(F.struct(*catalog.COLUMNS), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
@@ -285,18 +285,29 @@ def replayed_states(spark, sf):
     bad = F.to_json(F.struct((F.col("seq") * 2 + 1).alias("seq"), F.lit("bad").alias("event_id"), F.struct(F.lit("drop_all").alias("operation"), F.lit("{}").alias("payload")).alias("event")))
     lines = lines.union(lines.where("seq % 7 = 0")).union(e.where(F.col("seq") == half).select("seq", bad.alias("value")))
     source, path, log, aside = (fresh_path(spark, n) for n in ("outbox", "replayed", "log", "aside"))
-    for i in range(4):
+
+    def arrive(i):
         part = lines.where((F.col("seq") > half * i // 2) & ((F.col("seq") <= half * (i + 1) // 2) | F.lit(i == 3)))
-        part.repartition(1).sortWithinPartitions("seq").select("value").write.mode("append").text(source)
+        part.select("value").write.mode("append").text(source)
+
+    def replay():
+        outbox.replay_outbox(spark, source, path, log, aside, files=100_000, buckets=16).awaitTermination()
+
     spark.createDataFrame([], outbox.IDS).write.json(aside)
+    arrive(0)
+    replay()
+    arrive(1)
     try:
-        outbox.replay_outbox(spark, source, path, log, aside, files=1, buckets=16).awaitTermination()
+        replay()
         raise AssertionError("the bad event should have stopped the stream")
     except StreamingQueryException as stopped:
         if "PoisonedEventError" not in str(stopped):
             raise
+    arrive(2)
     spark.createDataFrame([("bad",)], outbox.IDS).write.mode("append").json(aside)
-    outbox.replay_outbox(spark, source, path, log, aside, files=1).awaitTermination()
+    replay()
+    arrive(3)
+    replay()
     return catalog_states(outbox.catalog_table(spark, path).read())
 
 

@@ -69,10 +69,10 @@ def append_log(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     (writer.partitionBy(*by) if by else writer).json(path)
 
 
-def parse_events(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``lines(ingest_seq, value)`` of an outbox -> events ``ingest_seq, event_id, created_at, operation, payload`` and errors.
+def judged_events(lines: DataFrame) -> DataFrame:
+    """``lines(ingest_seq, value)`` of an outbox as events, and whether each is ``good``.
 
-    An event needs an id, a known operation and a payload whose keys have the right form; a caller stops at any error.
+    An event needs an id, a known operation and a payload whose keys have the right form.
     """
     event = F.from_json("value", "event_id string, created_at string, event struct<operation:string,payload:string>")
     told = lines.withColumn("e", event).select("ingest_seq", "value", "e.event_id", F.try_to_timestamp("e.created_at").alias("created_at"), "e.event.operation", "e.event.payload")
@@ -81,7 +81,13 @@ def parse_events(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     statuses = F.from_json("payload", "rows array<struct<document_key:string>>")["rows"]
     listed = F.coalesce(F.forall(statuses, lambda r: r["document_key"].rlike(DOCUMENT_KEY)), F.lit(False))
     good = F.col("event_id").isNotNull() & F.coalesce(F.col("operation").isin(*OPERATIONS), F.lit(False)) & F.when(F.col("operation") == "update_status_rows", listed).otherwise(keyed)
-    return told.where(good).drop("value"), told.where(~good).select("ingest_seq", "value")
+    return told.withColumn("good", good)
+
+
+def parse_events(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``lines(ingest_seq, value)`` of an outbox -> events ``ingest_seq, event_id, created_at, operation, payload`` and errors; a caller stops at any error."""
+    told = judged_events(lines)
+    return told.where("good").drop("value", "good"), told.where(~F.col("good")).select("ingest_seq", "value")
 
 
 SUMMARY = "run_id string, layout_version int, finished_at string, run_status string, total_records long, companies map<string,string>"

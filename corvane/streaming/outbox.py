@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corvane.operators.catalog import COLUMNS, SCHEMA, STATUS, apply_status_updates, identity_collisions, merge_events
-from corvane.sources.journals import parse_events
+from corvane.sources.journals import judged_events
 from corvane.sources.scratch import fresh_path
 from corvane.streaming.store import BucketedTable, Staging
 
@@ -54,8 +54,12 @@ def replayed_onto(catalog: DataFrame, upserts: DataFrame, updates: DataFrame) ->
     """The catalog after all events, each document's in order.
 
     Documents don't depend on each other, so of each the first stretch of events of one sort is applied, then its second, and so on: as
-    many rounds as some document changes between sorts, not as there are events.
+    many rounds as some document changes between sorts, not as there are events. Events of a single sort are one round.
     """
+    if updates.isEmpty():
+        return merge_events(catalog, upserts)
+    if upserts.isEmpty():
+        return apply_status_updates(catalog, updates)[0].select(*COLUMNS)
     marks = upserts.select("document_key", "seq", F.lit(0).alias("sort")).union(updates.select("document_key", "seq", F.lit(1)))
     by_key = Window.partitionBy("document_key").orderBy("seq")
     changed = marks.withColumn("_new", F.coalesce((F.col("sort") != F.lag("sort").over(by_key)).cast("int"), F.lit(0)))
@@ -94,19 +98,18 @@ def apply_outbox(lines: DataFrame, path: str, quarantined: DataFrame | None = No
     catalog, acked, staging = catalog_table(spark, path, **how), id_table(spark, path, **how), Staging(spark, path)
     if staging.ready():
         _publish(staging, catalog, acked)
-    told = lines.select(F.coalesce(F.get_json_object("value", "$.seq").try_cast("long"), F.lit(-1)).alias("ingest_seq"), F.get_json_object("value", "$.event_id").alias("event_id"), "value")
+    told = _kept(lines.select(F.coalesce(F.get_json_object("value", "$.seq").try_cast("long"), F.lit(-1)).alias("ingest_seq"), F.get_json_object("value", "$.event_id").alias("event_id"), "value"), "told")
     pending = told.join(acked.matching(told.where("event_id is not null")), "event_id", "left_anti")
     if quarantined is not None:
         pending = pending.join(quarantined.select("event_id"), "event_id", "left_anti")
-    pending = _kept(pending, "pending")
-    firsts = pending.where("event_id is not null").groupBy("event_id").agg(F.min("ingest_seq").alias("ingest_seq"))
-    firsts = pending.join(firsts, ["event_id", "ingest_seq"], "left_semi").dropDuplicates(["event_id"]).select("ingest_seq", "value").union(pending.where("event_id is null").select("ingest_seq", "value"))
-    events, errors = parse_events(firsts)
-    events = _kept(events.select(F.col("ingest_seq").alias("seq"), "event_id", "operation", "payload"), "events")
+    firsts = pending.where("event_id is not null").groupBy("event_id").agg(F.min(F.struct("ingest_seq", "value")).alias("first")).select("first.*")
+    firsts = firsts.union(pending.where("event_id is null").select("ingest_seq", "value"))
+    judged = _kept(judged_events(firsts).select(F.col("ingest_seq").alias("seq"), "event_id", "operation", "payload", "good"), "judged")
+    events, errors = judged.where("good").drop("good"), judged.where(~F.col("good"))
     upserts, updates = _kept(upserts_of(events), "upserts"), _kept(updates_of(events), "updates")
     buckets = catalog.touched(upserts.select("document_key").union(updates.select("document_key")))
     before = catalog.read(buckets)
-    bad = errors.select(F.col("ingest_seq").alias("seq")).union(events.where("seq < 0").select("seq")).union(identity_collisions(before, upserts).select("seq")).agg(F.min("seq")).first()[0]
+    bad = errors.select("seq").union(events.where("seq < 0").select("seq")).union(identity_collisions(before, upserts).select("seq")).agg(F.min("seq")).first()[0]
     if bad is not None:
         events, upserts, updates = (rows.where(F.col("seq") < bad) for rows in (events, upserts, updates))
     staging.stage(rows=replayed_onto(before, upserts, updates), ids=events.select("event_id"))
