@@ -29,6 +29,8 @@ TABLES, KEY_BITS = 4, 40
 BESIDE = 3
 #: How two corners lie: the way from one to the other and the other's turn, both against the one's turn, in 256 steps, and their distance, in steps of a 16th octave. Such places may differ by so many steps.
 TURN_STEPS, LENGTH_STEPS = 15, 5
+#: Two pictures that meet once only are compared if of 32 further tests, half of either corner's, no more than so many differ.
+ONCE = 4
 #: A match may differ in so many of the 256 tests; a link needs so many matches that agree on one transform.
 HAMMING, AGREEING = 60, 5
 SHIFT = 4.0
@@ -163,17 +165,34 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(np.ascontiguousarray(a).view("<u8")[:, None] ^ np.ascontiguousarray(b).view("<u8")[None]).sum(2)
 
 
+def _grouped(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal places follow each other, and where each begins in it."""
+    order = np.lexsort(places.T)
+    new = np.ones(len(places), bool)
+    new[1:] = (np.diff(places[order], axis=0) != 0).any(1)
+    return order, np.nonzero(new)[0]
+
+
 def agreeing(a: np.ndarray, b: np.ndarray) -> int:
     """Most matches (rows of a and b: x, y, scale, turn) that one similarity transform explains, each corner once."""
+    if not len(a):
+        return 0
     best = 0
     turn = b[:, 3] - a[:, 3]
     size = a[:, 2] / b[:, 2]
-    for t, s, origin_a, origin_b in zip(turn, size, a[:, :2], b[:, :2], strict=True):
+    corners = [_grouped(np.rint(x[:, :2] / 4)) for x in (a, b)]
+    chunk = 1 + (1 << 18) // len(a)
+    for start in range(0, len(a), chunk):
+        k = slice(start, start + chunk)
+        t, s = turn[k, None], size[k, None]
         c, n = np.cos(t) * s, np.sin(t) * s
-        moved = (a[:, :2] - origin_a) @ np.array([[c, n], [-n, c]]) + origin_b
-        near = (np.abs(moved - b[:, :2]).max(1) <= SHIFT * max(1, s)) & (np.abs(np.angle(np.exp(1j * (turn - t)))) < 0.35) & (np.abs(np.log2(size / s)) < 0.3)
-        if near.sum() > best:
-            best = max(best, min(len({tuple(p) for p in np.rint(x[near, :2] / 4)}) for x in (a, b)))
+        x, y = (a[:, i] - a[k, i, None] for i in (0, 1))
+        near = (np.abs(x * c - y * n + b[k, 0, None] - b[:, 0]) <= SHIFT * np.maximum(1, s)) & (np.abs(x * n + y * c + b[k, 1, None] - b[:, 1]) <= SHIFT * np.maximum(1, s))
+        near &= (np.abs((turn - t + np.pi) % (2 * np.pi) - np.pi) < 0.35) & (np.abs(np.log2(size / s)) < 0.3)
+        near = near[near.sum(1) > best]
+        if len(near):
+            each = [np.logical_or.reduceat(near[:, order], starts, axis=1).sum(1) for order, starts in corners]
+            best = max(best, int(np.minimum(*each).max()))
     return best
 
 
@@ -295,23 +314,30 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each picture, bucket of a Hamming table that a corner with one beside it falls in, and shape of the two."""
+def _bucketed(batches: Iterator[pa.RecordBatch], tested: bool = False) -> Iterator[pa.RecordBatch]:
+    """One row for each picture, bucket of a Hamming table that a corner with one beside it falls in, and shape of the two; if ``tested``, with 32 tests of theirs by which no bucket is known, in its higher bits."""
     for batch in batches:
-        ids, buckets, lies = [], [], []
+        found = []
         for i, p, c in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
             places = unpacked_places(p.as_py() or b"")
-            keys = table_keys(np.frombuffer(c.as_py() or b"", np.uint8).reshape(-1, TESTS // 8))
+            codes = np.frombuffer(c.as_py() or b"", np.uint8).reshape(-1, TESTS // 8)
+            keys = table_keys(codes)
             one, other = beside(places)
-            own = np.empty((len(one), TABLES), [("bucket", "<i8"), ("shape", "<i4")])
-            own["bucket"] = keys[one] << 8 | keys[other] // TABLES & 255
-            own["shape"] = shapes(places, one, other)[:, None]
-            own = np.unique(own)
-            ids.append(np.full(len(own), i, np.int64))
-            buckets.append(own["bucket"])
-            lies.append(own["shape"])
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, buckets, lies)], names=["image_id", "bucket", "shape"])
+            shape = shapes(places, one, other)
+            if tested:  # tables know 0 to 159 of the one's tests, 128 to 159 of the other's
+                shape = shape | np.concatenate([codes[one, 20:22], codes[other, :2]], 1).view("<u4")[:, 0].astype(np.int64) << 24
+            bucket, shape = (keys[one] << 8 | keys[other] // TABLES & 255).ravel(), np.repeat(shape, TABLES)
+            order = np.lexsort((shape, bucket))
+            bucket, shape = bucket[order], shape[order]
+            new = np.ones(len(bucket), bool)
+            new[1:] = (bucket[1:] != bucket[:-1]) | (shape[1:] != shape[:-1])
+            found.append((np.full(new.sum(), i, np.int64), bucket[new], shape[new].astype(np.int64 if tested else np.int32)))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["image_id", "bucket", "shape"])
+
+
+def _bucketed_with_tests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _bucketed(batches, True)
 
 
 def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -327,18 +353,51 @@ def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["u", "v", "agreeing"], dtype="int64")
 
 
+def _met(buckets: DataFrame, block: int) -> DataFrame:
+    """Each row of a bucket beside those of the ``block`` rows that follow it whose shapes are like its own, and once, not ``alike``, each row of larger buckets; written, so that buckets are dealt and sorted once."""
+    rows = buckets if "shape" in buckets.columns else buckets.withColumn("shape", F.lit(0))
+    in_bucket = Window.partitionBy("bucket").orderBy("image_id", "shape")
+    size = F.count("*").over(in_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    # Two lists, as a structure would be made, and shuffled, beside the columns that it is made of.
+    later = [F.collect_list(c).over(in_bucket.rowsBetween(1, block)).alias(f"{c}_later") for c in ("image_id", "shape")]
+    placed = rows.select("image_id", "shape", "bucket").select("*", F.row_number().over(in_bucket).alias("number"), (size > block + 1).alias("large"), *later)
+    each = placed.select("*", F.posexplode_outer(F.arrays_zip("image_id_later", "shape_later")).alias("nth", "other"))
+    met = each.select("image_id", "shape", "bucket", "number", "large", (F.coalesce("nth", F.lit(0)) == 0).alias("first"), F.col("other.image_id_later").alias("image_id_v"), F.col("other.shape_later").alias("shape_v"))
+    return materialize(met.withColumn("alike", F.coalesce(_alike(), F.lit(False))).where(F.col("alike") | (F.col("large") & F.col("first"))), "met")
+
+
+def _alike() -> Column:
+    return (F.col("image_id") < F.col("image_id_v")) & shapes_alike("shape", "shape_v")
+
+
 def _meetings(buckets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """A row ``u, v`` (u < v) for each two rows of pictures in a bucket of ``buckets(image_id, bucket, shape)`` whose shapes are alike; without shapes all are.
+    """A row ``u, v`` (u < v) for each two rows of pictures in a bucket of ``buckets(image_id, bucket, shape)`` whose shapes are alike; without shapes all are. ``differ`` counts the tests in the shapes that differ.
 
-    A bucket's rows are dealt to blocks, and blocks meet in pairs, each pair of blocks by itself, so the pairs of a large bucket are many tasks' work.
+    A row meets the ``block`` rows that follow it in its bucket where they lie. The rest of a large bucket's rows are dealt to blocks, and blocks meet in pairs, each pair of blocks
+    by itself, so the pairs of a large bucket are many tasks' work.
     """
-    rows = buckets if "shape" in buckets.columns else buckets.withColumn("shape", F.lit(0))
-    in_bucket = Window.partitionBy("bucket").orderBy("image_id", "shape")
-    placed = rows.select("bucket", "image_id", "shape", F.floor((F.row_number().over(in_bucket) - 1) / block).cast("int").alias("own"), F.count("*").over(Window.partitionBy("bucket")).alias("n"))
-    placed = placed.where("n > 1").withColumn("last", F.floor((F.col("n") - 1) / block).cast("int"))
-    left = placed.select("bucket", F.col("own").alias("a"), F.explode(F.sequence("own", "last")).alias("b"), F.col("image_id").alias("u"), F.col("shape").alias("from_u"))
-    right = placed.select("bucket", F.explode(F.sequence(F.lit(0), "own")).alias("a"), F.col("own").alias("b"), F.col("image_id").alias("v"), F.col("shape").alias("from_v"))
-    return left.join(right, ["bucket", "a", "b"]).where((F.col("u") < F.col("v")) & shapes_alike("from_u", "from_v")).select("u", "v")
+    return _pairs(_met(buckets, block), block)
+
+
+def _pairs(met: DataFrame, block: int) -> DataFrame:
+    def pairs(found: DataFrame) -> DataFrame:
+        differ = F.bit_count(F.shiftrightunsigned(F.col("shape").bitwiseXOR(F.col("shape_v")), 24))
+        return found.select(F.col("image_id").alias("u"), F.col("image_id_v").alias("v"), differ.alias("differ"))
+
+    crowd = met.where("large and first").withColumn("own", F.floor((F.col("number") - 1) / block).cast("int"))
+    last = crowd.groupBy("bucket").agg(F.max("own").alias("last"))
+    left = crowd.join(last, "bucket").select("bucket", F.col("own").alias("a"), F.explode(F.sequence("own", "last")).alias("b"), "image_id", "shape", "number")
+    right = crowd.select("bucket", F.explode(F.sequence(F.lit(0), "own")).alias("a"), F.col("own").alias("b"), *[F.col(c).alias(f"{c}_v") for c in ("image_id", "shape", "number")])
+    far = left.join(right, ["bucket", "a", "b"]).where((F.col("number_v") > F.col("number") + block) & _alike())
+    return pairs(met.where("alike")).unionByName(pairs(far))
+
+
+def _compared(meetings: DataFrame) -> DataFrame:
+    """Of ``meetings(u, v, differ)`` the pairs to be compared: those that meet more than once, or once with corners whose further tests differ little, too.
+
+    Copies meet many times; strangers nearly always once, and their number grows with the square of the pictures'.
+    """
+    return meetings.groupBy("u", "v").agg(F.count("*").alias("n"), F.min("differ").alias("differ")).where((F.col("n") > 1) | (F.col("differ") <= ONCE)).select("u", "v")
 
 
 def image_copies(images: DataFrame) -> DataFrame:
@@ -347,7 +406,7 @@ def image_copies(images: DataFrame) -> DataFrame:
     ``component_id`` is the smallest image_id that links reach, ``n_links`` counts the links of the image's representative to
     other pictures, ``kept`` says whether the row is its component's first. Equal pictures are first reduced to one
     representative. In a bucket of a Hamming table each picture meets every other. Two pictures are compared in full, all corners with all, if in some
-    bucket both have a corner and one beside it that lie alike.
+    bucket both have a corner and one beside it that lie alike, and that happens twice or these corners' further tests differ little.
 
     Null, empty and misfit pixels have no corners and are linked with nothing, nor are rows without image_id, whose
     component is null and which are kept; repeated rows get the same answer each; of different pictures of one image_id the
@@ -357,8 +416,10 @@ def image_copies(images: DataFrame) -> DataFrame:
     seen = materialize(source.mapInArrow(_described, _SEEN), "pictures")
     classes = materialize(seen.where("image_id is not null and key is not null").groupBy("key").agg(F.min("image_id").alias("rep")), "classes")
     reps = seen.where(F.col("n_corners") >= AGREEING).join(classes.withColumnRenamed("rep", "image_id"), ["key", "image_id"], "left_semi").select("image_id", "places", "codes")
-    buckets = reps.select("image_id", "places", "codes").mapInArrow(_bucketed, "image_id long, bucket long, shape int")
-    pairs = materialize(_meetings(buckets).distinct(), "meetings")
+    buckets = reps.select("image_id", "places", "codes").mapInArrow(_bucketed_with_tests, "image_id long, bucket long, shape long")
+    met = _met(buckets, BLOCK)
+    pairs = materialize(_compared(_pairs(met, BLOCK)), "meetings")
+    discard(met)
 
     ends = pairs.select("u", "v", F.col("u").alias("image_id")).union(pairs.select("u", "v", F.col("v").alias("image_id")))
     picture = F.struct("places", "codes")
