@@ -44,3 +44,9 @@ def test_same_rows_of_two_payloads_still_count_once(spark):
     body = lambda *names: json.dumps({"listDisclosure": [{"insNm": n, "inscd": n[0]} for n in names]})
     df = spark.createDataFrame([(2, "LINA_LIFE", {"tab": ENDED}, body("a late", "b")), (1, "LINA_LIFE", {"tab": ON}, body("a", "c", "a again"))], KIND)
     assert sorted((r.ingest_seq, r.row_no, r.product_name_raw) for r in site_versions(df).collect()) == [(1, 1, "a"), (1, 2, "c"), (2, 2, "b")]
+
+
+def test_the_query_shuffles_its_lines_only(spark):
+    from corvane.plans.sites import site_versions as query
+
+    assert _shuffles(query(spark, "/root/testdata/sf0.001")) == 1
